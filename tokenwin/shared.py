@@ -7,13 +7,16 @@ DataFrame it survives the loss of executors, and its size is known to the optimi
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIR = "tokenwin.shared.dir"
 _written: list[str] = []
+_shipped: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -46,3 +49,18 @@ def release_tables(spark: SparkSession) -> None:
     while _written:
         path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Not needed where the cluster has it installed or ``--py-files`` names it.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent
+        archive = shutil.make_archive(
+            f"{tempfile.mkdtemp(prefix='tokenwin-')}/{package.name}", "zip", package.parent, package.name
+        )
+        sc.addPyFile(archive)
+        _shipped.add(sc.applicationId)
