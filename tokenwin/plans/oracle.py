@@ -178,9 +178,9 @@ def oracle_sql() -> dict[str, str]:
         "vector_add": f"""
             with {_PAIRS}
             select seq_id, k,
-              round(list_inner_product(a, {_WIDE}) + list_inner_product(b, {_WIDE}), 6) + 0.0 as added,
-              round(list_inner_product(a, {_WIDE}), 6) + 0.0 as unchanged,
-              round(list_inner_product(list_concat(a, b), range(1, 129)::double[]), 6) + 0.0
+              round((list_inner_product(a, {_WIDE}) + list_inner_product(b, {_WIDE})) / 64, 4) + 0.0 as added,
+              round(list_inner_product(a, {_WIDE}) / 64, 4) + 0.0 as unchanged,
+              round(list_inner_product(list_concat(a, b), range(1, 129)::double[]) / 128, 4) + 0.0
                 as flattened
             from pairs""",
         "array_parts": f"""
@@ -199,29 +199,29 @@ def oracle_sql() -> dict[str, str]:
         "embed_tokens": f"""
             with {_VOCAB}, {_VECS}
             select 0::bigint as seq_id, k, t::int as t, token,
-              round(list_inner_product(coalesce(vec, {_ZERO}), {_WIDE}), 6) + 0.0 as vec_sum
+              round(list_inner_product(coalesce(vec, {_ZERO}), {_WIDE}) / 64, 4) + 0.0 as vec_sum
             from cells join vocab using (token) left join vecs using (idx) where t < 64""",
         "embed_target": f"""
             with {_USUAL_WITH_SPARSE_VOCAB}, {_VECS}
             select 0::bigint as seq_id, k, token,
-              round(list_inner_product(coalesce(vec, {_ZERO}), {_WIDE}), 6) + 0.0 as vec_sum
+              round(list_inner_product(coalesce(vec, {_ZERO}), {_WIDE}) / 64, 4) + 0.0 as vec_sum
             from usual left join vocab using (token) left join vecs using (idx) where t = 64""",
         "position_aware": f"""
             with {_FEATURES}
-            select 0::bigint as seq_id, k, t::int as t, round(sum(c * (j + 1)), 6) + 0.0 as x_sum
+            select 0::bigint as seq_id, k, t::int as t, round(sum(c * (j + 1)) / 64, 4) + 0.0 as x_sum
             from features group by k, t""",
         "channel_first": f"""
             with {_FEATURES}
             select 0::bigint as seq_id, k, count(*)::int as cells,
-              round(sum(c * (j * 64 + t + 1)), 6) + 0.0 as flat_sum
+              round(sum(c * (j * 64 + t + 1)) / 4096, 4) + 0.0 as flat_sum
             from features group by k""",
         "training_examples": f"""
             with {_FEATURES},
             sums as (
-              select k, count(*)::int as cells, round(sum(c * (j * 64 + t + 1)), 6) + 0.0 as features_sum
+              select k, count(*)::int as cells, round(sum(c * (j * 64 + t + 1)) / 4096, 4) + 0.0 as features_sum
               from features group by k),
             labels as (
-              select k, round(list_inner_product(coalesce(vec, {_ZERO}), {_WIDE}), 6) + 0.0 as label_sum
+              select k, round(list_inner_product(coalesce(vec, {_ZERO}), {_WIDE}) / 64, 4) + 0.0 as label_sum
               from cells join vocab using (token) left join vecs using (idx) where t = 64)
             select 0::bigint as seq_id, k, cells, features_sum, label_sum from sums join labels using (k)""",
         "window_features": f"""

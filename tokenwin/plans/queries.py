@@ -24,6 +24,7 @@ WINDOW, STRIDE = 64, 32
 # Windows with gaps between them, so that some tokens stay without an index.
 SPARSE_WINDOW, SPARSE_STRIDE = 4, 97
 DIGITS = 6
+CHECKSUM_DIGITS = 4
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,9 +56,13 @@ def rounded(c: Column | str) -> Column:
 
 
 def checksum(array: Column | str, length: int) -> Column:
-    """Weighted sum of an array that any change of order would alter."""
+    """Weighted sum of an array that any change of order would alter.
+
+    Weights end at 1 and fewer digits are kept, as sums of thousands of cells differ in the last
+    bits with the order of addition.
+    """
     weights = F.sequence(F.lit(1), F.lit(length))
-    return rounded(vectors.dot(array, weights))
+    return F.round(vectors.dot(array, weights) / length, CHECKSUM_DIGITS) + F.lit(0.0)
 
 
 def joined(array: Column | str, by: str = ",") -> Column:
@@ -427,7 +432,7 @@ def q_learn_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _train(spark: SparkSession, sf_dir: str, epochs: int):
     tokens, names, emb, width = _embedding_inputs(spark, sf_dir)
-    examples = features.training_examples(tokens, names, emb, WINDOW, STRIDE, width)
+    examples = features.training_examples(tokens, names, emb, WINDOW, STRIDE, width, packed=True)
     total = windows.window_count(tokens, WINDOW, STRIDE).agg(F.sum("windows")).first()[0]
     model, log = training.train(examples, emb, names, training.TrainConfig(epochs=epochs), total)
     return examples, emb, names, model, log
