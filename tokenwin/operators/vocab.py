@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tokenwin.operators.lookup import lookup
 from tokenwin.operators.numbering import number_rows
-from tokenwin.operators.windows import target_pairs, window_cells, window_pairs, with_length
+from tokenwin.operators.windows import target_pairs, window_cells, window_pairs, window_total, with_length
 
 UNKNOWN = -1
 
@@ -23,13 +23,13 @@ def distinct_tokens(tokens: DataFrame, w: int, s: int) -> DataFrame:
     follows from its own position. Rows are thus neither exploded nor shuffled before the
     aggregation, and that combines on the map side first.
     """
-    first_input = f"greatest(0L, (pos - {w - 1} + {s - 1}) div {s})"
-    total = f"((seq_len - {w + 1}) div {s} + 1)"
-    as_input = F.expr(f"{first_input} * {s} <= pos and {first_input} < {total}")
-    as_target = F.expr(f"pos >= {w} and (pos - {w}) % {s} = 0 and (pos - {w}) div {s} < {total}")
+    # The total is 0 for a sequence too short for a window.
+    total = window_total("seq_len", w, s)
+    first_input = F.expr(f"greatest(0L, (pos - {w - 1} + {s - 1}) div {s})")
+    as_input = (first_input * s <= F.col("pos")) & (first_input < total)
+    as_target = F.expr(f"pos >= {w} and (pos - {w}) % {s} = 0") & (F.expr(f"(pos - {w}) div {s}") < total)
     return (
         with_length(tokens)
-        .where(F.col("seq_len") >= w + 1)
         .where(as_input | as_target)
         .groupBy("token")
         .agg(F.min(F.struct((~as_input).cast("int").alias("is_target"), "seq_id", "pos")).alias("_first"))

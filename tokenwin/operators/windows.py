@@ -16,7 +16,8 @@ from tokenwin.shared import write_shared
 BLOCK_SPAN = 2048
 
 
-def _window_total(length: str, w: int, s: int) -> Column:
+def window_total(length: str, w: int, s: int) -> Column:
+    """Number of full windows in a sequence."""
     return F.expr(f"if({length} >= {w + 1}, ({length} - {w + 1}) div {s} + 1, 0L)")
 
 
@@ -34,7 +35,7 @@ def with_length(tokens: DataFrame) -> DataFrame:
 
 def window_count(tokens: DataFrame, w: int, s: int) -> DataFrame:
     """``(seq_id, seq_len, windows)``"""
-    return sequence_lengths(tokens).withColumn("windows", _window_total("seq_len", w, s))
+    return sequence_lengths(tokens).withColumn("windows", window_total("seq_len", w, s))
 
 
 def window_cells(tokens: DataFrame, w: int, s: int) -> DataFrame:
@@ -43,7 +44,7 @@ def window_cells(tokens: DataFrame, w: int, s: int) -> DataFrame:
     Each row finds the numbers of its windows from its position alone, so nothing is shuffled.
     """
     first = F.expr(f"greatest(0L, (pos - {w} + {s - 1}) div {s})")
-    last = F.least(F.expr(f"pos div {s}"), _window_total("seq_len", w, s) - 1)
+    last = F.least(F.expr(f"pos div {s}"), window_total("seq_len", w, s) - 1)
     rows = with_length(tokens)
     payload = [c for c in rows.columns if c not in ("seq_id", "pos", "seq_len")]
     return (
@@ -107,12 +108,14 @@ def window_pairs(tokens: DataFrame, w: int, s: int, partitions: int | None = Non
 
 def array_windows(df: DataFrame, seq_col: str, array_col: str, w: int, s: int) -> DataFrame:
     """Windows of one array per row, for many short sequences; nothing is shuffled."""
-    # The condition is repeated inside, as a filter may be moved and a falling range would fail.
+    # Short arrays give NULL and drop out after the explode; a filter on the array itself would be
+    # pushed down and compute the array again.
     starts = F.when(F.size("_a") >= w + 1, F.sequence(F.lit(0), F.size("_a") - (w + 1), F.lit(s)))
+    pieces = F.transform(starts, lambda i: F.slice("_a", i + 1, w + 1))
     return (
         df.select(F.col(seq_col).alias("seq_id"), F.col(array_col).alias("_a"))
-        .where(F.size("_a") >= w + 1)
-        .select("seq_id", F.posexplode(F.transform(starts, lambda i: F.slice("_a", i + 1, w + 1))).alias("k", "_w"))
+        .select("seq_id", F.posexplode_outer(pieces).alias("k", "_w"))
+        .where(F.col("k").isNotNull())
         .select(
             "seq_id",
             F.col("k").cast("bigint").alias("k"),

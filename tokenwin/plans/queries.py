@@ -18,6 +18,7 @@ from tokenwin.operators import evaluate, features, job_metrics, training, vocab,
 from tokenwin.operators.embed_learning import learn_embeddings
 from tokenwin.operators.split import split_examples
 from tokenwin.shared import new_path
+from tokenwin.sources.spread import spread
 from tokenwin.sources.tokens import read_token_ids, tokens_from_arrays, tokens_from_table
 
 WINDOW, STRIDE = 64, 32
@@ -30,7 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def event_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +48,8 @@ def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vector_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("idx"), F.col("embedding").alias("vec"))
+    vecs = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return vecs.select(F.col("vec_id").alias("idx"), F.col("embedding").alias("vec"))
 
 
 def rounded(c: Column | str) -> Column:
@@ -354,11 +356,8 @@ def q_true_token(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _mean_vectors(tokens: DataFrame, names: DataFrame, emb: DataFrame, width: int) -> DataFrame:
     """A plain prediction for each window: the mean vector of its inputs."""
     cells = features.embed_tokens(tokens, names, emb, width, WINDOW, STRIDE)
-    sums = cells.select("seq_id", "k", F.posexplode("vec").alias("j", "v")).groupBy("seq_id", "k", "j")
-    means = sums.agg(F.avg("v").alias("v")).groupBy("seq_id", "k")
-    return means.agg(F.sort_array(F.collect_list(F.struct("j", "v"))).alias("c")).select(
-        "seq_id", "k", F.col("c.v").alias("prediction")
-    )
+    means = (F.avg(F.get("vec", F.lit(j))) for j in range(width))
+    return cells.groupBy("seq_id", "k").agg(F.array(*means).alias("prediction"))
 
 
 def q_nearest_token(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,9 +85,17 @@ def tokens_from_table(
 
 
 def tokens_from_arrays(df: DataFrame, seq_col: str, array_col: str) -> DataFrame:
-    """One row per array element; the sequence length comes from the array."""
-    return df.select(
-        F.col(seq_col).cast("bigint").alias("seq_id"),
-        F.size(array_col).cast("bigint").alias("seq_len"),
-        F.posexplode(array_col).alias("pos", "token"),
-    ).select("seq_id", F.col("pos").cast("bigint").alias("pos"), "token", "seq_len")
+    """One row per array element; the sequence length comes from the array.
+
+    The outer form and the later condition keep the optimizer from testing the array in a filter
+    of its own, which would compute an expression such as a split again.
+    """
+    return (
+        df.select(
+            F.col(seq_col).cast("bigint").alias("seq_id"),
+            F.size(array_col).cast("bigint").alias("seq_len"),
+            F.posexplode_outer(array_col).alias("pos", "token"),
+        )
+        .where(F.col("pos").isNotNull())
+        .select("seq_id", F.col("pos").cast("bigint").alias("pos"), "token", "seq_len")
+    )
