@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 # A table is broadcast only when its row count, times the stated row width, stays below this.
 BROADCAST_BYTES = 64 << 20
-# A key is hot when it holds more than 1/HOT_SHARE of the rows, so there are fewer than HOT_SHARE.
-HOT_SHARE = 1000
 
 
 def fits_broadcast(df: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -18,10 +16,13 @@ def fits_broadcast(df: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_BYT
 
 
 def hot_keys(rows: DataFrame, on: list[str], partitions: int) -> DataFrame:
-    """Keys above the hot share, each with the number of pieces its rows are split into."""
+    """Keys with more rows than an average partition, and the pieces each is split into.
+
+    There are fewer such keys than partitions, so they may always be broadcast.
+    """
     counts = rows.groupBy(*on).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n").alias("_total")).scalar()
-    return counts.where(F.col("_n") * HOT_SHARE > total).select(
+    return counts.where(F.col("_n") * partitions > total).select(
         *on, F.ceil(F.col("_n") / total * partitions).cast("int").alias("_pieces")
     )
 
@@ -32,7 +33,7 @@ def salted_join(
     """Shuffle join in which the rows of a hot key are split over several tasks.
 
     ``spread`` names columns of ``rows`` that tell the rows of one key apart. The pieces of all
-    hot keys together are at most ``partitions`` + HOT_SHARE, so ``table`` hardly grows.
+    hot keys together are fewer than twice ``partitions``, so ``table`` hardly grows.
     """
     hot = F.broadcast(hot_keys(rows, on, partitions))
     piece = F.pmod(F.xxhash64(*spread), F.coalesce("_pieces", F.lit(1))).cast("int")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tokenwin.operators.lookup import lookup
 from tokenwin.operators.numbering import number_rows
 from tokenwin.operators.windows import target_pairs, window_cells, window_pairs, window_total, with_length
+from tokenwin.shared import write_shared
 
 UNKNOWN = -1
 
@@ -38,10 +39,13 @@ def distinct_tokens(tokens: DataFrame, w: int, s: int) -> DataFrame:
 
 
 def build_vocab(tokens: DataFrame, w: int, s: int) -> DataFrame:
-    """Number the distinct tokens; the result reads a table in the shared folder."""
+    """Number the distinct tokens; the result reads a table in the shared folder.
+
+    It is used many times, so it is written in its final form.
+    """
     firsts = distinct_tokens(tokens, w, s)
     numbered = number_rows(firsts, ["is_target", "seq_id", "pos"], "_n")
-    return numbered.select("token", (F.col("_n") + 1).alias("idx"))
+    return write_shared(numbered.select("token", (F.col("_n") + 1).alias("idx")), "vocab")
 
 
 def vocab_size(vocab: DataFrame) -> DataFrame:
