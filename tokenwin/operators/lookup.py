@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tokenwin.shared import row_count
+
 # A table is broadcast only when its row count, times the stated row width, stays below this.
 BROADCAST_BYTES = 64 << 20
 
 
 def fits_broadcast(df: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Count at most one row more than the limit allows."""
+    """Compare with the count taken at writing, or count at most one row more than allowed."""
     max_rows = max_bytes // row_bytes
-    return df.limit(max_rows + 1).count() <= max_rows
+    known = row_count(df)
+    return (df.limit(max_rows + 1).count() if known is None else known) <= max_rows
 
 
 def hot_keys(rows: DataFrame, on: list[str], partitions: int) -> DataFrame:

@@ -74,7 +74,7 @@ def lookup_index(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
 def decode_index(df: DataFrame, vocab: DataFrame, spread: list[str], idx: str = "idx", token: str = "token") -> DataFrame:
     """Add the token of an index column, -1 for an index without one."""
     names = vocab.select(F.col("idx").alias(idx), F.col("token").alias(token))
-    found = lookup(df, names, idx, spread=spread)
+    found = lookup(df, names, idx, spread=spread, counted=vocab)
     return found.select(*df.columns, F.coalesce(token, F.lit(UNKNOWN)).alias(token))
 
 

@@ -11,12 +11,15 @@ import shutil
 import tempfile
 import uuid
 from pathlib import Path
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _OWN_DIR = "tokenwin.shared.dir"
 _written: list[str] = []
 _shipped: set[str] = set()
+_row_counts: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,11 +40,19 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def write_shared(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` once and return a DataFrame that reads it back."""
+    """Write ``df`` once, counting its rows, and return a DataFrame that reads it back."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.partitionBy(*(partition_by or [])).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    rows = Observation()
+    df.observe(rows, F.count(F.lit(1)).alias("rows")).write.partitionBy(*(partition_by or [])).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _row_counts[table] = rows.get["rows"]
+    return table
+
+
+def row_count(df: DataFrame) -> int | None:
+    """Rows of a table that ``write_shared`` returned; None for any other."""
+    return _row_counts.get(df)
 
 
 def release_tables(spark: SparkSession) -> None:
