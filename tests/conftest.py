@@ -23,7 +23,7 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     from tokenwin.shared import ship_package
 
-    ship_package(session)
+    ship_package()
     yield session
     session.stop()
 

@@ -86,33 +86,41 @@ def test_recorded_csv(spark, tmp_path):
 
 JOB = """
 import sys
+import numpy as np
 from pyspark.sql import SparkSession
+from tokenwin.operators.training import TrainConfig, train
+from tokenwin.shared import ship_package
+ship_package()
+folder = sys.argv[1]
 spark = (
     SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
     .config("spark.sql.shuffle.partitions", "3").config("spark.eventLog.enabled", "true")
-    .config("spark.eventLog.dir", "file://" + sys.argv[1])
+    .config("spark.eventLog.dir", f"file://{folder}/log").config("spark.checkpoint.dir", f"{folder}/shared")
     .config("spark.eventLog.rolling.enabled", "false").config("spark.eventLog.compress", "false").getOrCreate()
 )
-sc = spark.sparkContext
-spark.range(10).count()
-for epoch in (1, 12):
-    sc.addJobTag(f"epoch-{epoch}")
-    spark.range(1000 * epoch).repartition(3).selectExpr("id % 7 as g").groupBy("g").count().collect()
-    sc.removeJobTag(f"epoch-{epoch}")
+rng = np.random.default_rng(1)
+vectors = rng.normal(size=(5, 4)).astype(np.float32).astype(float)
+rows = [(0, k, rng.normal(size=8).tolist(), vectors[k % 5].tolist()) for k in range(60)]
+examples = spark.createDataFrame(rows, "seq_id long, k long, features array<double>, label array<float>")
+emb = spark.createDataFrame([(i + 1, v.tolist()) for i, v in enumerate(vectors)], "idx long, vec array<float>")
+names = spark.createDataFrame([(10 * i, i + 1) for i in range(5)], "token long, idx long")
+_, log = train(examples, emb, names, TrainConfig(hidden=3, epochs=2, workers=2))
+log.write.parquet(f"{folder}/epochs")
 spark.stop()
 """
 
 
-def test_event_log(spark, tmp_path):
-    """A finished job's log gives task, stage and epoch tables."""
+def test_training_run_to_epoch_rows(spark, tmp_path):
+    """A finished run's event log gives task, stage and epoch tables, and the full epoch rows."""
     (tmp_path / "log").mkdir()
     script = tmp_path / "job.py"
     script.write_text(textwrap.dedent(JOB))
     env = {**os.environ, "PYTHONPATH": str(ROOT)}
-    subprocess.run([sys.executable, str(script), str(tmp_path / "log")], check=True, env=env, timeout=300, capture_output=True)
+    command = [sys.executable, str(script), str(tmp_path)]
+    subprocess.run(command, check=True, env=env, timeout=300, capture_output=True)
     log = event_log.read_event_log(spark, str(tmp_path / "log"))
     tasks, stages, epochs = event_log.task_metrics(log), event_log.stage_metrics(log), event_log.stage_epochs(log)
-    assert {r["epoch"] for r in epochs.collect()} == {1, 12}
+    assert {r["epoch"] for r in epochs.collect()} == {1, 2}
     per_stage = {r["stage_id"]: r["count"] for r in tasks.groupBy("stage_id").count().collect()}
     done = {r["stage_id"]: r for r in stages.collect()}
     assert per_stage == {stage: r["num_tasks"] for stage, r in done.items()}
@@ -120,8 +128,10 @@ def test_event_log(spark, tmp_path):
     assert tasks.where("duration < 0 or failed").count() == 0
     scoped = job_metrics.tasks_by_epoch(tasks, epochs)
     assert 0 < scoped.count() < tasks.count()
-    totals = {r["epoch"]: r for r in job_metrics.shuffle_totals(scoped, ["epoch"]).collect()}
-    for r in totals.values():
-        assert r["total_shuffle_read_bytes"] == r["total_shuffle_write_bytes"] > 0
-    use = job_metrics.resource_use(scoped, ["epoch"]).collect()
-    assert all(r["cpu_ratio"] > 0 for r in use)
+    recorded = read_epoch_metrics(spark, str(tmp_path / "epochs"), EPOCH_LOG)
+    rows = job_metrics.epoch_metrics(recorded, scoped).collect()
+    assert [r["epoch"] for r in rows] == [1, 2] and len(rows[0]) == 18
+    for r in rows:
+        assert r["total_shuffle_read_bytes"] > 0 and r["total_shuffle_write_bytes"] > 0
+        assert 0 <= r["min_task_duration"] <= r["avg_task_duration"] <= r["max_task_duration"] <= r["duration_ms"] + 60_000
+        assert r["failed_task_count"] == 0 and r["cpu_ratio"] > 0

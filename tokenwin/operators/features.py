@@ -121,7 +121,7 @@ def training_examples(
     """``(seq_id, k, features ARRAY<DOUBLE>, label ARRAY<FLOAT>)``
 
     Features are channel-first: component 0 at all ``w`` places, then component 1, and so on. The
-    sums of a block are one numpy addition over a strided view; array lambdas took several times as long.
+    sums of a block are one numpy addition over a strided view; an array lambda took twice as long.
     ``packed=True`` gives the features as BINARY of FLOAT values, which is what training stores:
     thousands of array elements per row are slow to write, shuffle and read.
     """

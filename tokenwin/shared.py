@@ -7,18 +7,17 @@ DataFrame it survives the loss of executors, and its size is known to the optimi
 
 from __future__ import annotations
 
-import shutil
+import sys
 import tempfile
 import uuid
-from pathlib import Path
 from weakref import WeakKeyDictionary
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _OWN_DIR = "tokenwin.shared.dir"
 _written: list[str] = []
-_shipped: set[str] = set()
 _row_counts: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
 
 
@@ -62,16 +61,9 @@ def release_tables(spark: SparkSession) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application.
+def ship_package() -> None:
+    """Pickle the functions of this package by value, so that workers need no copy of it.
 
     Not needed where the cluster has it installed or ``--py-files`` names it.
     """
-    sc = spark.sparkContext
-    if sc.applicationId not in _shipped:
-        package = Path(__file__).resolve().parent
-        archive = shutil.make_archive(
-            f"{tempfile.mkdtemp(prefix='tokenwin-')}/{package.name}", "zip", package.parent, package.name
-        )
-        sc.addPyFile(archive)
-        _shipped.add(sc.applicationId)
+    cloudpickle.register_pickle_by_value(sys.modules[__package__])
