@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenwin.llm import quality, toxicity
+from tokenwin.llm import mixing, quality, tokenfile, toxicity, warc
 from tokenwin.llm.tables import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +21,23 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.token_file_index(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archive_pages(spark, spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    payload_bytes = F.coalesce(F.length("payload").cast("bigint"), F.col("payload_bytes"))
+    return records.select(
+        "page_id", payload_bytes.alias("payload_bytes"), "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality.train_quality(docs, labels, usable=fold("doc_id", 5) != 0)

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 _SPACES = bytes([*range(0x09, 0x0E), 0x20])
 _LOWER = bytes(range(256)).lower()
 _IS_SPACE = bytes(1 if b in _SPACES else 0 for b in range(256))
