@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenwin.llm import mixing, quality, tokenfile, toxicity, warc
+from tokenwin.llm import lm, mixing, quality, tokenfile, toxicity, warc
 from tokenwin.llm.tables import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.token_file_index(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = lm.score_texts(table(spark, sf_dir, "documents"), learn=fold("doc_id", 10) != 0)
+    return scores.withColumn("held_out", fold("doc_id", 10) == 0)
+
+
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")

@@ -7,8 +7,8 @@ it in its class. A text that comes in many copies thus counts as one. A discount
 what it takes goes to the lower order, and at last to the count of both classes together. An expression
 too rare to survive the discount therefore has nearly the same probability in both.
 
-Words are runs of letters and digits in lower case, hashed into 2^20 buckets, and word pairs into
-2^21, so a model has a fixed size. A text is judged by two figures: the difference of the two log-likelihoods,
+Words are runs of letters and digits in lower case, hashed into 2^18 buckets, and word pairs into
+2^19, so a model has a fixed size. A text is judged by two figures: the difference of the two log-likelihoods,
 divided by its words, and the largest share that one word has in it, for a single insult in a long
 text. A logistic function of both, fitted on rows kept out of the counts, gives the score.
 """
@@ -21,6 +21,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +29,7 @@ from tokenwin.llm.labelled import labelled_sample
 from tokenwin.llm.textbytes import mix, plain_text, slices, span_hashes, split_words, text_bytes
 from tokenwin.shared import write_shared
 
-WORDS, PAIRS = 1 << 20, 1 << 21
+WORDS, PAIRS = 1 << 18, 1 << 19
 # The most labelled rows of each class that training reads; three quarters are counted.
 PER_CLASS = 15_000
 DISCOUNTS = (1.0, 4.0, 16.0, 48.0)
@@ -54,14 +55,14 @@ def _buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Buckets of all words, of the words before them, and bounds of the rows."""
     whole, bounds = text_bytes(plain_text(texts))
     words = split_words(whole.translate(_LETTERS), bounds)
-    word = (span_hashes(words.data, words.start, words.end) >> np.uint64(44)).astype(np.int64)
+    word = (span_hashes(words.data, words.start, words.end) >> np.uint64(46)).astype(np.int64)
     before = np.roll(word, 1)
     before[words.first[:-1][words.first[:-1] < len(word)]] = _START
     return word, before, words.first
 
 
 def _pair(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return (mix(before.astype(np.uint64) << np.uint64(20) | word.astype(np.uint64)) >> np.uint64(43)).astype(np.int64)
+    return (mix(before.astype(np.uint64) << np.uint64(20) | word.astype(np.uint64)) >> np.uint64(45)).astype(np.int64)
 
 
 def _runs_of_three(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +181,9 @@ def _model(pairs: DataFrame, n: np.ndarray, total: np.ndarray, cont: np.ndarray,
 
 
 def _calibration(kept: DataFrame, model: ToxicModel) -> tuple[np.ndarray, np.ndarray]:
-    rows = _score(kept, model, ["label"]).toArrow()
+    shipped = _ship(kept, model)
+    rows = _score(kept, shipped, ["label"]).toArrow()
+    shipped.destroy()
     x = np.column_stack([rows.column("mean").to_numpy(), rows.column("peak").to_numpy()])
     return x, rows.column("label").to_numpy().astype(float)
 
@@ -192,8 +195,11 @@ def _pair_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays(columns, ["pair", "label", "over"])
 
 
-def _score(docs: DataFrame, model: ToxicModel, keep: list[str]) -> DataFrame:
-    shipped = docs.sparkSession.sparkContext.broadcast(tuple(model))  # a plain tuple, as workers may lack this module
+def _ship(docs: DataFrame, model: ToxicModel) -> Broadcast:
+    return docs.sparkSession.sparkContext.broadcast(tuple(model))  # a plain tuple, as workers may lack this module
+
+
+def _score(docs: DataFrame, shipped: Broadcast, keep: list[str]) -> DataFrame:
     names = [*keep, "mean", "peak", "score"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,4 +224,4 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, threshold: float = 0.3) -
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     predicted = F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted")
-    return _score(rows, model, ["doc_id"]).select("doc_id", "score", predicted, "mean", "peak")
+    return _score(rows, _ship(docs, model), ["doc_id"]).select("doc_id", "score", predicted, "mean", "peak")
