@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,56 +26,71 @@ BLOCK_TOKENS = 1 << 16
 END_ID = 1
 # Room for the ids of any vocabulary that codes of 16 bits can serve.
 _IDS = 1 << huffman.LIMIT
-_ENCODED = "doc_id bigint, n_tokens int, marks binary, bits binary"
+# Ids that are coded at a time.
+_PIECE = 1 << 20
 _BLOCK = "doc_ids array<bigint>, n_tokens array<int>, marks binary, bits binary"
 
 
-def token_counts(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> np.ndarray:
-    """How often each id occurs in all texts, each followed by the end id."""
+def _token_ids(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+    """``(doc_id, n_tokens, ids)``: two bytes an id, compressed."""
 
-    def add(batches: Iterator[pa.RecordBatch], own: np.ndarray) -> None:
-        for batch in slices(batches):
-            ids, _ = tokenids.encoder(tokenizer, end_id).encode(batch.column("text"))
-            own += np.bincount(ids, minlength=_IDS)
-
-    return sum_vectors(docs.select("text"), add, _IDS)
-
-
-def _encoded(docs: DataFrame, tokenizer: str, end_id: int, lengths: np.ndarray) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = huffman.canonical_codes(lengths)
+        packer = zstandard.ZstdCompressor(level=1)
         for batch in slices(batches):
             ids, bounds = tokenids.encoder(tokenizer, end_id).encode(batch.column("text"))
-            data, edges, offset = huffman.encode(ids, bounds, codes, lengths)
-            n = np.diff(bounds)
-            marks = [offset[a : b : huffman.EVERY].astype("<u4").tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
-            bits = [data[a:b] for a, b in zip(edges[:-1], edges[1:])]
-            columns = [batch.column("doc_id"), pa.array(n.astype(np.int32)), pa.array(marks, pa.binary())]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(bits, pa.binary())], ["doc_id", "n_tokens", "marks", "bits"])
+            plain, n = ids.astype("<u2").tobytes(), np.diff(bounds)
+            packed = [packer.compress(plain[2 * a : 2 * b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+            columns = [batch.column("doc_id"), pa.array(n.astype(np.int32)), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(encode, _ENCODED)
+    return rows.mapInArrow(encode, "doc_id bigint, n_tokens int, ids binary")
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pack documents, in their order, into blocks of about ``BLOCK_TOKENS``; a longer one is alone."""
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Pieces of batches of about ``_PIECE`` ids, or one text, with their ids."""
+    unpacker = zstandard.ZstdDecompressor()
+    for batch in batches:
+        ends, at = np.cumsum(batch.column("n_tokens").to_numpy().astype(np.int64)), 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _PIECE, "right")))
+            piece, at = batch.slice(at, to - at), to
+            plain = b"".join(unpacker.decompress(v) for v in piece.column("ids").to_pylist())
+            yield piece, np.frombuffer(plain, "<u2").astype(np.int64)
+
+
+def _token_counts(rows: DataFrame) -> np.ndarray:
+    def add(batches: Iterator[pa.RecordBatch], own: np.ndarray) -> None:
+        for _, ids in _unpacked(batches):
+            own += np.bincount(ids, minlength=_IDS)
+
+    return sum_vectors(rows.select("n_tokens", "ids"), add, _IDS)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], lengths: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Code documents in their order into blocks of about ``BLOCK_TOKENS``; a longer one is alone."""
     names = ["doc_ids", "n_tokens", "marks", "bits"]
     kinds = [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
+    codes = huffman.canonical_codes(lengths)
 
     def block(rows: list[tuple]) -> pa.RecordBatch:
         ids, n, marks, bits = (list(v) for v in zip(*rows))
         starts = np.cumsum([0] + [len(b) * 8 for b in bits[:-1]])
-        marks = b"".join((np.frombuffer(m, "<u4") + s).astype("<u4").tobytes() for m, s in zip(marks, starts))
+        marks = b"".join((m + s).astype("<u4").tobytes() for m, s in zip(marks, starts))
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip((ids, n, marks, b"".join(bits)), kinds)], names)
 
     held, tokens = [], 0
-    for batch in batches:
-        for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            if held and tokens + row[1] > BLOCK_TOKENS:
+    for piece, ids in _unpacked(batches):
+        sizes = piece.column("n_tokens").to_pylist()
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        data, edges, offset = huffman.encode(ids, bounds, codes, lengths)
+        for i, (doc_id, n) in enumerate(zip(piece.column("doc_id").to_pylist(), sizes)):
+            if held and tokens + n > BLOCK_TOKENS:
                 yield block(held)
                 held, tokens = [], 0
-            held.append(row)
-            tokens += row[1]
+            marks = offset[bounds[i] : bounds[i + 1] : huffman.EVERY]
+            held.append((doc_id, n, marks, data[edges[i] : edges[i + 1]]))
+            tokens += n
     if held:
         yield block(held)
 
@@ -84,17 +100,17 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int = E
 
     A NULL text counts as empty and has the end id alone. Rows without id come first; rows that
     share an id are ordered by their tokens. Without rows the file has no blocks. Only ``doc_id`` and
-    ``text`` are read. Texts are encoded twice, for the counts and for the codes, as keeping plain ids
-    between would take several times the space of the codes; only codes are sorted.
+    ``text`` are read. Texts are encoded once; their ids are kept for the counts and are range-sorted for the blocks.
     """
     spark = docs.sparkSession
-    lengths = huffman.code_lengths(token_counts(docs, tokenizer, end_id))
+    rows = write_shared(_token_ids(docs, tokenizer, end_id), "ids")
+    lengths = huffman.code_lengths(_token_counts(rows))
     used = [(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)]
     spark.createDataFrame(used, "id int, bits int").coalesce(1).write.parquet(f"{path}/codes")
-    encoded = write_shared(_encoded(docs, tokenizer, end_id, lengths), "encoded")
-    ordered = encoded.orderBy(F.col("doc_id").asc_nulls_first(), "n_tokens", "bits").mapInArrow(_blocks, _BLOCK)
+    ordered = rows.orderBy(F.col("doc_id").asc_nulls_first(), "n_tokens", "ids")
+    blocks = ordered.mapInArrow(lambda batches: _blocks(batches, lengths), _BLOCK)
     place = F.monotonically_increasing_id()
-    ordered.select(F.spark_partition_id().alias("part"), place.alias("place"), "*").write.parquet(f"{path}/blocks")
+    blocks.select(F.spark_partition_id().alias("part"), place.alias("place"), "*").write.parquet(f"{path}/blocks")
 
 
 def read_token_file(spark: SparkSession, path: str) -> DataFrame:
