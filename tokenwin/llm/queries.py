@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenwin.llm import lm, mixing, quality, tokenfile, toxicity, warc
+from tokenwin.llm import decontaminate, lines, lm, mixing, oracle, quality, tokenfile, toxicity, warc
 from tokenwin.llm.tables import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.train_toxicity(docs, labels, usable=fold("doc_id", 4) != 2)
@@ -50,9 +54,14 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = lines.drop_boilerplate(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.md5(F.encode("text", "utf-8")).alias("text_md5"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.SQL
