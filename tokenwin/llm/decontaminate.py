@@ -28,15 +28,17 @@ def words(text: Column | str) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), _SEPARATORS), lambda w: w != "")
 
 
-def with_shingles(df: DataFrame, key: str) -> DataFrame:
-    """``(key, shingles)``: hashes of all different runs of five words; none for shorter texts.
+def word_runs(df: DataFrame, key: str) -> DataFrame:
+    """``(key, shingle)``: hashes of all different runs of five words; none for shorter texts.
 
-    One column a step, as an expression inside a lambda would be worked out for each element.
+    One column a step, as an expression inside a lambda would be worked out for each element. The
+    outer form keeps the optimizer from a test of the array, which would be pushed below and do just that.
     """
     hashed = df.select(key, F.transform(words("text"), lambda w: F.xxhash64(w)).alias("w"))
     starts = F.slice("w", 1, F.greatest(F.size("w") - (WORDS - 1), F.lit(0)))
     run = F.transform(starts, lambda _, i: F.xxhash64(*[F.get("w", i + k) for k in range(WORDS)]))
-    return hashed.select(key, F.array_distinct(run).alias("shingles"))
+    rows = hashed.select(key, F.explode_outer(F.array_distinct(run)).alias("shingle"))
+    return rows.where(F.col("shingle").isNotNull())
 
 
 def item_shingles(benchmark: DataFrame) -> DataFrame:
@@ -44,8 +46,8 @@ def item_shingles(benchmark: DataFrame) -> DataFrame:
 
     Rows that repeat an item id make up one item; items without id or of fewer than five words have none.
     """
-    rows = with_shingles(benchmark.where(F.col("item_id").isNotNull()), "item_id")
-    pairs = rows.select("item_id", F.explode("shingles").alias("shingle")).distinct()
+    rows = word_runs(benchmark.where(F.col("item_id").isNotNull()), "item_id")
+    pairs = rows.distinct()
     sizes = pairs.groupBy("item_id").agg(F.count("*").alias("size"))
     return write_shared(pairs.join(sizes, "item_id"), "items")
 
@@ -71,16 +73,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = CONTA
     items = item_shingles(benchmark)
     drawn = sketches(items)
     texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    shingles = with_shingles(texts, "doc_id").select("doc_id", F.explode("shingles").alias("shingle"))
+    shingles = word_runs(texts, "doc_id")
     found = lookup(shingles, drawn, "shingle", spread=["doc_id"], how="inner")
     hits = found.groupBy("doc_id", "item_id").agg(F.count_distinct("shingle").alias("n"), F.first("drawn").alias("drawn"))
     near = hits.where(F.col("n") >= F.col("drawn") * (threshold / 2)).select("doc_id", "item_id")
     near = write_shared(near, "candidates")
     ids = near.select("doc_id").distinct()
     some = F.broadcast(ids) if fits_broadcast(near, 16) else ids
-    again = with_shingles(texts.join(some, "doc_id", "left_semi"), "doc_id")
-    pairs = near.join(again, "doc_id").select("doc_id", "item_id", F.explode("shingles").alias("shingle"))
-    both = lookup(pairs, items, ["item_id", "shingle"], spread=["doc_id"], how="inner")
+    again = word_runs(texts.join(some, "doc_id", "left_semi"), "doc_id")
+    both = lookup(again, items, "shingle", spread=["doc_id"], how="inner").join(near, ["doc_id", "item_id"], "left_semi")
     counted = both.groupBy("doc_id", "item_id").agg(
         F.count_distinct("shingle").alias("matched"), F.first("size").alias("size")
     )

@@ -37,7 +37,7 @@ def boilerplate(pages: DataFrame, site: str, ratio: float = RATIO, least_pages:
     rows = pages.select(_site(site).alias("site"), _lines("text").alias("lines"))
     totals = rows.groupBy("site").agg(F.count("*").alias("pages"))
     hashes = F.array_distinct(F.transform("lines", _key))
-    counts = rows.select("site", F.explode(hashes).alias("line")).where("line is not null")
+    counts = rows.select("site", F.explode_outer(hashes).alias("line")).where("line is not null")
     counts = counts.groupBy("site", "line").agg(F.count("*").alias("n")).where(F.col("n") >= least_pages)
     often = counts.join(totals, "site").where(F.col("n") > F.col("pages") * ratio)
     return write_shared(often.select("site", "line"), "boilerplate")
