@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenwin.llm import decontaminate, lines, lm, mixing, oracle, quality, tokenfile, toxicity, warc
+from tokenwin.llm import decontaminate, lines, lm, mixing, oracle, quality, tokenfile, toxicity, vectors, warc
 from tokenwin.llm.tables import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,10 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.archive_pages(spark, spark.read.parquet(f"{sf_dir}/pages.parquet"))
     payload_bytes = F.coalesce(F.length("payload").cast("bigint"), F.col("payload_bytes"))
