@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenwin.llm import decontaminate, lines, lm, mixing, oracle, quality, tokenfile, toxicity, vectors, warc
+from tokenwin.llm import decontaminate, lines, lm, mixing, neardup, oracle, quality, tokenfile, toxicity, vectors, warc
 from tokenwin.llm.tables import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality.train_quality(docs, labels, usable=fold("doc_id", 5) != 0)
