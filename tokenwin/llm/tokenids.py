@@ -8,6 +8,7 @@ with any other character goes through the unchanged tokenizer as a whole.
 from __future__ import annotations
 
 import json
+import os
 
 import numpy as np
 import pandas as pd
@@ -19,6 +20,7 @@ from tokenwin.llm.textbytes import plain_text, span_hashes, split_words, text_by
 
 # The most pieces that a worker remembers before it starts anew.
 REMEMBERED = 1 << 19
+_AT_ONCE = 4096
 _LOWER = bytes(range(256)).lower()
 _SPACE, _LETTER, _MARK, _WORD = 0, 1, 2, 3
 _KIND = bytes(
@@ -49,9 +51,11 @@ class PieceEncoder:
     def _learn(self, hashes: list[int], texts: list[str], odd: np.ndarray) -> None:
         ids: list[list[int]] = [[]] * len(texts)
         for encoder, chosen in ((self.plain, np.flatnonzero(~odd)), (self.whole, np.flatnonzero(odd))):
-            found = encoder.encode_batch_fast([texts[i] for i in chosen], add_special_tokens=False)
-            for i, e in zip(chosen, found):
-                ids[i] = e.ids
+            # The library's records take a kilobyte a piece, so few of them are held at a time.
+            for at in range(0, len(chosen), _AT_ONCE):
+                some = chosen[at : at + _AT_ONCE].tolist()
+                for i, e in zip(some, encoder.encode_batch_fast([texts[i] for i in some], add_special_tokens=False)):
+                    ids[i] = e.ids
         size = np.array([len(x) for x in ids], np.int64)
         begin = len(self.flat) + np.cumsum(size) - size
         self.slot.update(zip(hashes, range(len(self.begin), len(self.begin) + len(ids))))
@@ -115,5 +119,6 @@ _encoders: dict[tuple[str, int], PieceEncoder] = {}
 def encoder(path: str, end_id: int) -> PieceEncoder:
     """The worker's encoder of this file."""
     if (path, end_id) not in _encoders:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core already
         _encoders[path, end_id] = PieceEncoder(path, end_id)
     return _encoders[path, end_id]
