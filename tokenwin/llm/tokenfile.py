@@ -36,7 +36,7 @@ def _token_ids(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
-        for batch in slices(batches):
+        for batch in slices(batches, most=2 << 20):
             ids, bounds = tokenids.encoder(tokenizer, end_id).encode(batch.column("text"))
             plain, n = ids.astype("<u2").tobytes(), np.diff(bounds)
             packed = [packer.compress(plain[2 * a : 2 * b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]

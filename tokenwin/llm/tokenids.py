@@ -19,7 +19,7 @@ from tokenizers.pre_tokenizers import ByteLevel
 from tokenwin.llm.textbytes import plain_text, span_hashes, split_words, text_bytes
 
 # The most pieces that a worker remembers before it starts anew.
-REMEMBERED = 1 << 19
+REMEMBERED = 3 << 17
 _AT_ONCE = 4096
 _LOWER = bytes(range(256)).lower()
 _SPACE, _LETTER, _MARK, _WORD = 0, 1, 2, 3
