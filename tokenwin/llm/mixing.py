@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenwin.llm.tables import fresh
+from tokenwin.operators.lookup import lookup
 from tokenwin.shared import write_shared
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -127,5 +128,6 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """
     copies = mix(docs).where("copies > 0 and doc_id is not null").groupBy("doc_id").agg(F.max("copies").alias("copies"))
     n, at = fresh(docs.columns, "copies"), fresh(docs.columns, "copy")
-    rows = docs.join(copies.withColumnRenamed("copies", n), "doc_id")
+    # Documents move only if the ids taken do not fit a broadcast.
+    rows = lookup(docs, write_shared(copies.withColumnRenamed("copies", n), "copies"), "doc_id", spread=["text"], how="inner")
     return rows.withColumn(at, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns)

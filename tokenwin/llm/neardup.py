@@ -277,7 +277,16 @@ def _classed(rows: DataFrame, classes: DataFrame, column: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents, with all their columns, that are kept, one row for each id; rows without id go."""
-    kept = write_shared(near_duplicates(docs).where("kept").select("doc_id").distinct(), "kept")
-    some = docs.join(kept, "doc_id", "left_semi")
-    return some.dropDuplicates(["doc_id"])
+    """The documents, with all their columns, that are kept, one row for each id.
+
+    Rows without id stay, as no decision names them. Documents move only if the ids to drop do not fit a broadcast.
+    """
+    out = write_shared(near_duplicates(docs).where("doc_id is not null"), "classes")
+    dropped = write_shared(out.where("not kept").select("doc_id").distinct(), "dropped")
+    kept = docs.join(F.broadcast(dropped) if fits_broadcast(dropped, 16) else dropped, "doc_id", "left_anti")
+    repeated = write_shared(out.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if not row_count(repeated):
+        return kept
+    several = F.broadcast(repeated) if fits_broadcast(repeated, 16) else repeated
+    once = kept.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(several, "doc_id", "left_anti").unionByName(once)

@@ -13,7 +13,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenwin.llm.labelled import labelled_sample
@@ -151,11 +151,13 @@ def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.3)
     return rows.mapInArrow(score, "doc_id bigint, score double, predicted int")
 
 
-def keep_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents, with all their columns, that the classifier does not reject.
+def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that the classifier does not reject; no row moves."""
+    weights = docs.sparkSession.sparkContext.broadcast(train_quality(docs, labels).weights)
 
-    Scores are joined by id, so that a repeated id stays if its best row does; rows without id go.
-    """
-    scores = score_quality(docs, train_quality(docs, labels))
-    kept = scores.where("predicted = 1").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            value = _sigmoid(_logits(weights.value, *features(batch.column("text"))).astype(np.float64))
+            yield batch.filter(pa.array(value >= threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
