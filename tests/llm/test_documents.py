@@ -1,0 +1,335 @@
+"""Operators on documents against brute force, and their results for odd rows."""
+
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tokenwin.llm import decontaminate, lines, lm, mixing, neardup, quality, tokenfile, tokenids, toxicity
+from tokenwin.llm.tables import fold
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def sentence(rng, n, alphabet="abcdefgh"):
+    return " ".join("".join(rng.choice(list(alphabet), rng.integers(2, 7))) for _ in range(n))
+
+
+def by_id(df, *columns):
+    return {r["doc_id"]: tuple(r[c] for c in columns) if len(columns) > 1 else r[columns[0]] for r in df.collect()}
+
+
+# Benchmark decontamination
+
+
+def test_items_are_found_inside_long_documents(spark, make_docs):
+    rng = np.random.default_rng(0)
+    items = [(i, sentence(rng, 10 + 25 * i)) for i in range(1, 6)]
+    docs, expected = [], set()
+    for i, text in items:
+        docs.append((i, f"{sentence(rng, 3000)} {text.upper()} {sentence(rng, 500)}"))
+        docs.append((10 + i, " ".join(text.split()[: len(text.split()) // 2])))
+        expected.add((i, i))
+    docs += [(20, " ".join(items[0][1].split()[:5])), (None, items[0][1])]
+    benchmark = spark.createDataFrame([*items, (7, None), (8, "too short"), (None, items[0][1])], "item_id bigint, text string")
+    found = decontaminate.contaminated(make_docs(docs), benchmark).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == expected
+    assert all(r["containment"] == 1 and r["matched"] == r["size"] for r in found)
+    clean = decontaminate.keep_clean(make_docs(docs), benchmark)
+    assert {r["doc_id"] for r in clean.collect()} == {11, 12, 13, 14, 15, 20, None}
+
+
+def test_decontamination_of_odd_and_empty_tables(spark, odd_docs, make_docs):
+    benchmark = spark.createDataFrame([(1, "a plain text of a few words here")], "item_id bigint, text string")
+    found = decontaminate.contaminated(odd_docs, benchmark)
+    assert [(r["doc_id"], r["item_id"], r["matched"]) for r in found.collect()] == [(1, 1, 4)]
+    assert decontaminate.contaminated(make_docs([]), benchmark).count() == 0
+    assert decontaminate.contaminated(odd_docs, benchmark.limit(0)).count() == 0
+
+
+# Classifiers
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    rng = np.random.default_rng(3)
+    docs, labels = [], []
+    for i in range(600):
+        words = sentence(rng, int(rng.integers(30, 120))).split()
+        bad, toxic = i % 5 == 0, i % 4 == 1
+        if bad:
+            words = [w.upper() + "!!" for w in words]
+        if toxic:
+            for at in rng.integers(0, len(words), 3):
+                words.insert(int(at), str(rng.choice(["zounds", "zwonk"])) + ".")
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(not bad), int(toxic)))
+    docs += [(1000, None), (1001, ""), (None, "a b c"), (0, docs[0][1])]
+    labels += [(0, 0, 0), (1002, 1, 1), (None, 1, 1), (3, None, None)]
+    tables = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    return tables
+
+
+@pytest.mark.parametrize("operator", ["quality", "toxicity"])
+def test_held_out_documents_are_told_apart(labelled, operator):
+    docs, labels = labelled
+    if operator == "quality":
+        model = quality.train_quality(docs, labels, usable=fold("doc_id", 5) != 0)
+        scored, label = quality.score_quality(docs, model), "quality"
+    else:
+        model = toxicity.train_toxicity(docs, labels, usable=fold("doc_id", 5) != 0)
+        scored, label = toxicity.score_toxicity(docs, model), "toxic"
+    rows = scored.collect()
+    assert len(rows) == docs.count()
+    held = scored.where(fold("doc_id", 5) == 0).join(labels.where(f"{label} is not null"), "doc_id")
+    right = held.agg(F.avg((F.col("predicted") == F.col(label)).cast("double"))).first()[0]
+    assert right >= 0.95
+    scores = defaultdict(set)
+    for r in rows:
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3)
+        scores[r["doc_id"]].add(r["score"])
+    assert len(scores[0]) == 1 and scores[1000] == scores[1001]
+
+
+def test_classifiers_of_odd_and_empty_tables(spark, odd_docs, make_docs, labelled):
+    docs, labels = labelled
+    for train, score, label in (
+        (quality.train_quality, quality.score_quality, "quality"),
+        (toxicity.train_toxicity, toxicity.score_toxicity, "toxic"),
+    ):
+        none = train(docs, labels.limit(0))
+        assert {r["score"] for r in score(odd_docs, none).collect()} == {0.5}
+        some = train(docs, labels.where(f"{label} = 1"))
+        assert score(odd_docs, some).count() == odd_docs.count()
+        assert score(make_docs([]), some).count() == 0
+    assert quality.keep_quality(odd_docs, labels.limit(0)).columns == odd_docs.columns
+
+
+# Token files
+
+
+def test_pieces_are_encoded_like_whole_texts():
+    texts = [
+        "Don't it's 'S I'm 123 4a5b", None, "", "áb É È ÷ × ß İ ſ café", "<|endoftext|> a<|startoftext|>b", "hello,world!! foo",
+        "日本語 text ½ ② _x_ a__b", "\x00\x01 \x1f \x85 \x7f", "...!!!'", "ÀÉÞ Ÿ ÿ Œ ΣΑΣ", "é x́y ́",
+    ]
+    whole = Tokenizer.from_file(TOKENIZER)
+    encoder = tokenids.PieceEncoder(TOKENIZER, 1)
+    for _ in range(2):
+        ids, bounds = encoder.encode(pa.array(texts))
+        found = [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+        assert found == [whole.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+
+
+def test_token_file_round_trip(spark, odd_docs, make_docs, tmp_path):
+    path = f"file://{tmp_path}/odd"
+    tokenfile.write_token_file(odd_docs, path, TOKENIZER)
+    whole = Tokenizer.from_file(TOKENIZER)
+    expected = Counter(
+        (r["doc_id"], tuple(whole.encode(r["text"] or "", add_special_tokens=False).ids + [1])) for r in odd_docs.collect()
+    )
+    read = tokenfile.read_token_file(spark, path)
+    assert Counter((r["doc_id"], tuple(r["ids"])) for r in read.collect()) == expected
+    index = sorted(tokenfile.token_index(spark, path).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in index] == [None, 1, 1, 2, 3, 4, 5, 6]
+    at = 0
+    for r in index:
+        assert r["start"] == at
+        at += r["n_tokens"]
+        assert any(i == r["doc_id"] and zlib.crc32(np.array(t, "<u4").tobytes()) == r["ids_crc32"] for i, t in expected)
+    assert tokenfile.token_file_index(make_docs([]), TOKENIZER).count() == 0
+
+
+# Language model
+
+
+def test_base_and_model_scores(spark, make_docs, odd_docs):
+    rng = np.random.default_rng(5)
+    docs = make_docs([(i, sentence(rng, 40, "abc")) for i in range(60)]).unionByName(odd_docs)
+    learn = fold("doc_id", 10) != 0
+    rows = docs.select("doc_id", "text", learn.alias("learn")).collect()
+    tokens = [WORD.findall((r["text"] or "").lower()) + [None] for r in rows]
+    counts = Counter(t for r, ts in zip(rows, tokens) if r["learn"] for t in ts)
+    n, v = sum(counts.values()), len(counts)
+    expected = Counter()
+    for r, ts in zip(rows, tokens):
+        base = sum(math.log10((counts[t] + 0.1) / (n + 0.1 * (v + 1))) for t in ts)
+        expected[r["doc_id"], len(ts), sum(counts[t] > 0 for t in ts), round(base, 6)] += 1
+    scored = lm.score_texts(docs, learn).collect()
+    assert Counter((r["doc_id"], r["n_tokens"], r["n_known"], round(r["base_score"], 6)) for r in scored) == expected
+    assert {r["train_tokens"] for r in scored} == {n}
+    assert all(r["score"] < 0 for r in scored)
+    held = [r for r in scored if zlib.crc32(str(r["doc_id"]).encode()) % 10 == 0 and r["doc_id"] is not None]
+    assert sum(r["score"] for r in held) > 1.2 * sum(r["base_score"] for r in held)
+
+
+def test_rare_words_give_the_same_by_shuffle(spark, make_docs, monkeypatch):
+    rng = np.random.default_rng(6)
+    docs = make_docs([(i, sentence(rng, 30, "ab")) for i in range(20)])
+    near = {r["doc_id"]: r for r in lm.score_texts(docs, F.col("doc_id") < 15).collect()}
+    monkeypatch.setattr(lm, "OFTEN", 8)
+    for r in lm.score_texts(docs, F.col("doc_id") < 15).collect():
+        assert r["n_known"] == near[r["doc_id"]]["n_known"]
+        assert r["base_score"] == pytest.approx(near[r["doc_id"]]["base_score"])
+        assert r["score"] == pytest.approx(near[r["doc_id"]]["score"], rel=1e-5)
+
+
+def test_language_model_without_rows(make_docs, odd_docs):
+    assert lm.score_texts(make_docs([]), F.lit(True)).count() == 0
+    scored = lm.score_texts(odd_docs, F.lit(False)).collect()
+    assert len(scored) == 8 and {r["train_tokens"] for r in scored} == {0}
+    assert all(r["n_known"] == 0 and r["base_score"] == pytest.approx(0) for r in scored)
+
+
+# Mixing
+
+
+def test_mix_meets_targets(make_docs):
+    rng = np.random.default_rng(7)
+    rows = [(i, sentence(rng, int(rng.integers(1, 30))), ["b", "a", None, ""][i % 4] if i % 3 else "a") for i in range(400)]
+    rows += [(1000, "w " * 3000, "a"), (1001, None, "empty")]
+    mixed = mixing.mix(make_docs(rows)).collect()
+    assert len(mixed) == len(rows)
+    words = {i: len(WORD.findall(t or "")) for i, t, _ in rows}
+    names = sorted({s for _, _, s in rows if s is not None}) + [None]
+    sizes = {s: sum(words[i] for i, _, t in rows if t == s) for s in names}
+    weights = {s: [5, 2, 1][k % 3] for k, s in enumerate(names)}
+    targets, free, rest = {}, set(names), float(sum(sizes.values()))
+    while True:
+        share = {s: rest * weights[s] / sum(weights[t] for t in free) for s in free}
+        above = {s for s in free if share[s] > 3 * sizes[s] + 1e-9}
+        if not above:
+            targets |= share
+            break
+        for s in above:
+            targets[s] = 3.0 * sizes[s]
+            rest -= targets[s]
+        free -= above
+    taken = Counter()
+    for r in mixed:
+        assert r["size"] == words[r["doc_id"]] and r["source_size"] == sizes[r["source"]]
+        assert r["target"] == pytest.approx(targets[r["source"]])
+        assert r["taken"] == r["copies"] * r["size"] and 0 <= r["copies"] <= 3
+        taken[r["source"]] += r["taken"]
+    for s in names:
+        assert abs(taken[s] - targets[s]) <= 15
+        copies = {r["copies"] for r in mixed if r["source"] == s and r["size"] and r["doc_id"] != 1000}
+        assert len(copies) <= 3 and max(copies, default=0) - min(copies, default=0) <= 1
+
+
+def test_mix_repeats_and_takes_odd_rows(odd_docs, make_docs):
+    first, second = (sorted(map(str, mixing.mix(odd_docs).collect())) for _ in range(2))
+    assert first == second and len(first) == 8
+    assert mixing.mix(make_docs([])).count() == 0
+    mixed = mixing.mixed_documents(odd_docs)
+    assert mixed.columns == odd_docs.columns
+    copies = by_id(mixing.mix(odd_docs).where("doc_id > 1"), "copies")
+    assert Counter(r["doc_id"] for r in mixed.where("doc_id > 1").collect()) == Counter({i: n for i, n in copies.items() if n})
+
+
+def test_likelier_documents_come_first(make_docs):
+    rows = [(i, "a b c d" if i % 2 else "1 2 3 4", "x" if i < 2000 else "y") for i in range(2400)]
+    taken = mixing.mix(make_docs(rows), weights=(1.0, 5.0)).where("source = 'x'")
+    halves = {r["good"]: r["n"] for r in taken.groupBy((F.col("doc_id") % 2 == 1).alias("good")).agg(F.sum("copies").alias("n")).collect()}
+    assert halves[True] > 1.5 * halves[False]
+
+
+# Near duplicates
+
+
+def plain_classes(docs):
+    """Components of weighted Jaccard at 0.8 over all pairs, with the operator's weights."""
+    idf = neardup.idf_by_bucket(docs)
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect() if r["doc_id"] is not None]
+    words = neardup.words_of(pa.array([t for _, t in rows], pa.string()))
+    runs, times, bounds = neardup._weighted(words)
+    weights = (times * idf[neardup._bucket(runs)]).astype(np.float32)
+    parent = {i: i for i, _ in rows}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    parts = [slice(a, b) for a, b in zip(bounds, bounds[1:])]
+    for x in range(len(rows)):
+        for y in range(x):
+            a, b = parts[x], parts[y]
+            if runs[a].size and runs[b].size:
+                same = neardup.weighted_jaccard(runs[a], weights[a], runs[b], weights[b]) >= 0.8
+            else:
+                same = runs[a].size == runs[b].size
+            if same:
+                low, high = sorted((root(rows[x][0]), root(rows[y][0])))
+                parent[high] = low
+    return {i: root(i) for i, _ in rows}
+
+
+def test_classes_equal_brute_force(make_docs):
+    rng = np.random.default_rng(8)
+    texts = []
+    for group in range(8):
+        base = sentence(rng, int(rng.integers(60, 200))).split()
+        for copy in range(12):
+            words = list(base)
+            for at in rng.integers(0, len(words), [0, 1, 2, 3, 6, 20][copy % 6]):
+                words[int(at)] = f"new{rng.integers(1000)}"
+            texts.append(" ".join(words))
+    texts += [sentence(rng, 80) for _ in range(20)] + ["x y", "X  y", "one", "", None, " "]
+    docs = make_docs([(i * 3 % 1000 + 5, t) for i, t in enumerate(texts)])
+    found = by_id(neardup.near_duplicates(docs), "class_id", "kept")
+    expected = plain_classes(docs)
+    # Pairs near the threshold may be missed with a chance of 0.002, and none is this time.
+    assert {i: c for i, (c, _) in found.items()} == expected
+    assert all(kept == (i == c) for i, (c, kept) in found.items())
+    kept = neardup.keep_one(docs)
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == set(expected.values())
+
+
+def test_a_hot_group_needs_no_pairs_of_all(make_docs):
+    rng = np.random.default_rng(9)
+    base = sentence(rng, 150).split()
+    texts = [" ".join(base[:k] + [f"w{k}"] + base[k + 1 :]) for k in range(150)] + [sentence(rng, 60) for _ in range(50)]
+    found = by_id(neardup.near_duplicates(make_docs(list(enumerate(texts)))), "class_id")
+    assert all(found[i] == 0 for i in range(150)) and all(found[i] == i for i in range(150, 200))
+
+
+def test_near_duplicates_of_odd_rows(odd_docs, make_docs):
+    rows = neardup.near_duplicates(odd_docs).collect()
+    classes = defaultdict(set)
+    for r in rows:
+        classes[r["doc_id"]].add((r["class_id"], r["kept"]))
+    assert len(rows) == 8 and classes[None] == {(None, False)}
+    assert classes[1] == {(1, True)} and classes[2] == {(2, True)} and classes[3] == classes[4] == {(2, False)}
+    kept = neardup.keep_one(odd_docs)
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter([None, 1, 2, 5, 6])
+    assert neardup.near_duplicates(make_docs([])).count() == 0
+
+
+# Lines
+
+
+def test_boilerplate_lines_go(make_docs):
+    rows = [(i, f"Home | About\nown line {i}\n\n  Home | About", "big" if i < 60 else "small") for i in range(64)]
+    rows += [(100 + i, f"rare line\nother {i}", "big") for i in range(4)] + [(200, None, "big"), (201, "", None)]
+    cleaned = by_id(lines.drop_boilerplate(make_docs(rows)), "text", "n_lines", "n_dropped")
+    assert cleaned[3] == ("own line 3\n", 4, 2)
+    assert cleaned[61] == ("Home | About\nown line 61\n\n  Home | About", 4, 0)  # on four pages only
+    assert cleaned[100] == ("rare line\nother 0", 2, 0)
+    assert cleaned[200] == (None, 0, 0) and cleaned[201] == ("", 1, 0)
+    assert lines.drop_boilerplate(make_docs([])).count() == 0
+
+
+def test_lines_of_odd_rows(odd_docs):
+    cleaned = lines.drop_boilerplate(odd_docs, least_pages=2, ratio=0.1)
+    assert cleaned.columns == [c for c in odd_docs.columns if c != "text"] + ["text", "n_lines", "n_dropped"]
+    assert Counter(r["text"] for r in cleaned.where("doc_id = 1").collect()) == Counter({"": 2})
+    assert cleaned.count() == 8
