@@ -17,6 +17,8 @@ from tokenwin.shared import write_shared
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_EPOCHS = 3
+# How often the documents not taken are gone through again for what a long one has left open.
+PASSES = 3
 _WORD = r"[^\x20\x09-\x0D]+"
 _UNIT = float(1 << 52)
 
@@ -65,6 +67,32 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most_
     return rows.select("source", "source_size", target.alias("target"))
 
 
+def _gaps(rows: DataFrame, most_epochs: int) -> DataFrame:
+    """``(name, gap)``: what each source still lacks after whole epochs and the documents taken."""
+    got = F.sum(F.when(F.col("taken"), F.col("size")).otherwise(0))
+    left = F.first(F.col("target") - F.col("epochs") * F.col("source_size"))
+    sums = rows.where(F.col("epochs") < most_epochs).groupBy(F.col("source").alias("name"))
+    return sums.agg((left - got).alias("gap"))
+
+
+def _filled(rows: DataFrame, most_epochs: int) -> DataFrame:
+    """Take, in the order of keys, what fits the gap together, of the documents that fit it alone."""
+    found = rows.join(_gaps(rows, most_epochs), F.col("source").eqNullSafe(F.col("name")), "left").drop("name")
+    fits = ~F.col("taken") & (F.col("size") > 0) & (F.col("size") <= F.col("gap"))
+    found = found.withColumn("own", F.when(fits, F.col("size")).otherwise(0))
+    sums = found.groupBy("source", "part").agg(F.sum("own").alias("sum"))
+    upto = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each source in each task that has it: at most tasks and sources added up.
+    starts = sums.select(
+        F.col("source").alias("name"), F.col("part").alias("in_part"), F.coalesce(F.sum("sum").over(upto), F.lit(0)).alias("start")
+    )
+    found = found.join(starts, (F.col("part") == F.col("in_part")) & F.col("source").eqNullSafe(F.col("name")))
+    inside = Window.partitionBy("part", "source").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.col("start") + F.sum("own").over(inside)
+    taken = F.col("taken") | F.coalesce(fits & (end <= F.col("gap")), F.lit(False))
+    return found.withColumn("taken", taken).select(*rows.columns)
+
+
 def mix(
     docs: DataFrame, size: Column | None = None, weight: Column | None = None,
     weights: tuple[float, ...] = WEIGHTS, most_epochs: int = MOST_EPOCHS,
@@ -72,8 +100,9 @@ def mix(
     """``(doc_id, source, size, source_size, target, copies, taken)`` of every row of ``docs``.
 
     ``copies`` is how often the mix repeats the document and ``taken`` the size of all copies. A
-    source takes the documents whose prefix sums stay within what is left after whole epochs, and then the one
-    whose size comes nearest to the gap, if that narrows it. A NULL source is one of its own, apart from the empty name. A NULL text
+    source takes the documents whose prefix sums stay within what is left after whole epochs; a document longer than
+    that is passed over. What is left open is filled in the same way ``PASSES`` times in all, and then by the one
+    document whose size comes nearest to the gap, if that narrows it. A NULL source is one of its own, apart from the empty name. A NULL text
     has size 0; documents of size 0 are taken like others and add nothing. Rows that repeat an id share its key and
     are ordered by size; an empty table gives no rows. Only ``doc_id``, ``source`` and ``text`` are read.
 
@@ -88,34 +117,25 @@ def mix(
         key.alias("key"),
     )
     slim = write_shared(rows, "sizes")
-    targets = source_targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")))
+    targets = source_targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most_epochs)
     order = [F.col("source").asc_nulls_last(), "key", F.col("doc_id").asc_nulls_last(), "size"]
     sort = slim.orderBy(*order).withColumn("part", F.spark_partition_id())
     placed = write_shared(sort.withColumn("place", F.monotonically_increasing_id()), "sorted")
-    sums = placed.groupBy("source", "part").agg(F.sum("size").alias("own"))
-    upto = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row for each source in each task that has it: at most tasks and sources added up.
-    starts = sums.select("source", "part", F.coalesce(F.sum("own").over(upto), F.lit(0)).alias("start"))
-    starts = starts.join(targets.withColumnRenamed("source", "name"), F.col("source").eqNullSafe(F.col("name"))).drop("name")
-    starts = starts.withColumnRenamed("source", "name").withColumnRenamed("part", "in_part")
-    joined = placed.join(starts, (F.col("part") == F.col("in_part")) & F.col("source").eqNullSafe(F.col("name")))
-    inside = Window.partitionBy("part", "source").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0))
+    named = targets.select(F.col("source").alias("name"), "source_size", "target")
+    rows = placed.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("name"))).drop("name")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    left = F.col("target") - epochs * F.col("source_size")
-    end = before + F.col("size")
-    cut = joined.select("*", epochs.alias("epochs"), left.alias("left"), end.alias("end")).drop("start", "name", "in_part")
-    cut = write_shared(cut.withColumn("taken", (F.col("epochs") < most_epochs) & (F.col("end") <= F.col("left"))), "cut")
-    # What the prefix leaves of a budget is closed by the one document that fits it best.
-    open_ = cut.where(~F.col("taken") & (F.col("epochs") < most_epochs) & (F.col("size") > 0))
-    gaps = cut.groupBy("source").agg(F.first("left").alias("left"), F.sum(F.when(F.col("taken"), F.col("size"))).alias("got"))
-    gaps = gaps.select(F.col("source").alias("name"), (F.col("left") - F.coalesce("got", F.lit(0))).alias("gap"))
+    rows = rows.withColumn("epochs", F.least(epochs, F.lit(most_epochs)))
+    rows = rows.withColumn("taken", F.lit(False))
+    for _ in range(PASSES):
+        rows = write_shared(_filled(rows, most_epochs), "mix")
+    # The one document that fits the gap best closes it.
+    gaps = _gaps(rows, most_epochs)
     off = F.abs(F.col("gap") - F.col("size"))
-    best = open_.join(gaps, F.col("source").eqNullSafe(F.col("name"))).where(off < F.col("gap"))
+    best = rows.join(gaps, F.col("source").eqNullSafe(F.col("name"))).where((F.col("size") > 0) & ~F.col("taken") & (off < F.col("gap")))
     best = best.groupBy("name").agg(F.min(F.struct(off.alias("off"), "part", "place")).alias("last"))
     best = best.select("name", F.col("last.part").alias("last_part"), F.col("last.place").alias("last_place"))
     same = F.col("source").eqNullSafe(F.col("name"))
-    out = cut.join(best, same & (F.col("part") == F.col("last_part")) & (F.col("place") == F.col("last_place")), "left")
+    out = rows.join(best, same & (F.col("part") == F.col("last_part")) & (F.col("place") == F.col("last_place")), "left")
     extra = F.when(F.col("taken") | F.col("last_place").isNotNull(), 1).otherwise(0)
     out = out.withColumn("copies", (F.col("epochs") + extra).cast("bigint"))
     return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tokenwin.llm.components import components
 from tokenwin.llm.tables import sum_vectors
 from tokenwin.llm.textbytes import Words, mix, ngram_hashes, slices, word_hashes, words_of
-from tokenwin.operators.lookup import fits_broadcast, salted_join
+from tokenwin.operators.lookup import fits_broadcast
 from tokenwin.shared import row_count, write_shared
 
 WORDS = 5
@@ -177,8 +177,7 @@ def weighted_jaccard(x: np.ndarray, wx: np.ndarray, y: np.ndarray, wy: np.ndarra
 
 
 def _similarities(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
-    """``(a, b, similarity)`` of each pair; a text with many pairs is split over several tasks."""
-    partitions = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """``(a, b, similarity)`` of each pair; adaptive execution splits the pairs of one text over tasks."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,7 +188,7 @@ def _similarities(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     kinds = [("ra", np.uint64), ("wa", np.float32), ("rb", np.uint64), ("wb", np.float32)]
     left = vectors.select(F.col("id").alias("a"), F.col("runs").alias("ra"), F.col("weights").alias("wa"))
     right = vectors.select(F.col("id").alias("b"), F.col("runs").alias("rb"), F.col("weights").alias("wb"))
-    joined = salted_join(salted_join(pairs, left, ["a"], ["b"], "inner", partitions), right, ["b"], ["a"], "inner", partitions)
+    joined = pairs.join(left, "a").join(right, "b")
     return joined.select("a", "b", *[n for n, _ in kinds]).mapInArrow(compare, "a bigint, b bigint, similarity double")
 
 
@@ -240,8 +239,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         star = write_shared(members.join(leaders, "band").where("id <> leader").withColumn("most", ratio), "star")
         pairs = star.where(F.col("most") >= similarity).select(*_ordered("id", "leader")).distinct()
         compared = write_shared(_similarities(pairs, vectors), "compared")
-        links = write_shared(links.unionByName(compared.where(F.col("similarity") >= similarity).select("a", "b")), "links")
-        classes = components(links)
+        new = write_shared(compared.where(F.col("similarity") >= similarity).select("a", "b"), "new")
+        if row_count(new):
+            links = write_shared(links.unionByName(new), "links")
+            classes = components(links)
         found = compared.select("a", "b", "similarity")
         star = star.select("*", *_ordered("id", "leader")).join(found, ["a", "b"], "left").drop("a", "b")
         # Without a comparison the weights bound the similarity.
@@ -270,10 +271,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
 def _classed(rows: DataFrame, classes: DataFrame, column: str) -> DataFrame:
     """``rows`` with the class of an id, which is the id itself where it has no link."""
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     table = classes.select(F.col("id").alias(column), F.col("component").alias("_class"))
-    found = salted_join(rows, table, [column], [c for c in rows.columns if c != column], "left", partitions)
-    return found.withColumn(f"{column}_class", F.coalesce("_class", column)).drop("_class")
+    return rows.join(table, column, "left").withColumn(f"{column}_class", F.coalesce("_class", column)).drop("_class")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -18,6 +18,18 @@ having count(distinct shingle) >= 0.8 * any_value(size)"""
 
 _WEIGHT = "(1.0 - length(regexp_replace(text, '[A-Za-z \\n]+', '', 'g'))::double / greatest(length(text), 1))"
 
+def _pass(n: int) -> str:
+    """Take what fits the gap together, in the order of keys, of the documents that fit it alone."""
+    return f"""
+gap{n} as (
+  select *, rest - coalesce(sum(case when inside then size end) over (partition by source), 0) as gap from pass{n - 1}),
+own{n} as (select *, case when not inside and epochs < 3 and size <= gap then size else 0 end as own from gap{n}),
+pass{n} as (
+  select * exclude (inside, gap, own), inside or (own > 0 and sum(own) over (
+    partition by source order by key, doc_id, size rows unbounded preceding) <= gap) as inside
+  from own{n})"""
+
+
 # The level of the targets: sources by limit / weight, and the first whose share stays within its limit.
 _OP5 = f"""
 with docs as (
@@ -27,7 +39,7 @@ with docs as (
   from documents),
 sizes as (select source, sum(size)::bigint as s from docs group by source),
 weighed as (
-  select source, s, [5.0, 2.0, 1.0]::double[][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int] as w
+  select source, s, list_extract([5.0::double, 2.0, 1.0], ((row_number() over (order by source nulls last) - 1) % 3 + 1)::int) as w
   from sizes),
 rests as (
   select *, (sum(s) over () - coalesce(sum(3 * s) over before, 0))::double / (sum(w) over () - coalesce(sum(w) over before, 0)) as level
@@ -35,13 +47,12 @@ rests as (
   window before as (order by 3 * s / w, source rows between unbounded preceding and 1 preceding)),
 levels as (select *, max(case when level * w <= 3 * s then level end) over () as fair from rests),
 targets as (select source, s, least(3.0 * s, coalesce(fair * w, 3.0 * s)) as target from levels),
-prefix as (
-  select d.*, t.s, t.target, floor(t.target / t.s) as epochs, t.target - floor(t.target / t.s) * t.s as rest,
-    sum(d.size) over (partition by d.source order by key, doc_id, d.size rows unbounded preceding) as upto
+pass0 as (
+  select d.*, t.s, t.target, least(3, floor(t.target / t.s)) as epochs, t.target - floor(t.target / t.s) * t.s as rest, false as inside
   from docs d join targets t on d.source is not distinct from t.source),
-cut as (select *, epochs < 3 and upto <= rest as inside from prefix),
+{_pass(1)}, {_pass(2)}, {_pass(3)},
 gaps as (
-  select *, rest - coalesce(sum(case when inside then size end) over (partition by source), 0) as gap from cut),
+  select *, rest - coalesce(sum(case when inside then size end) over (partition by source), 0) as gap from pass3),
 closing as (
   select *, case when not inside and epochs < 3 and size > 0 and abs(gap - size) < gap then
     row_number() over (partition by source, not inside and epochs < 3 and size > 0 and abs(gap - size) < gap
