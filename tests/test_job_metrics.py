@@ -1,3 +1,4 @@
+import math
 import os
 import subprocess
 import sys
@@ -51,11 +52,22 @@ def test_gradient_stats(spark):
 def test_epoch_rows(spark, tasks):
     log = spark.createDataFrame([(e, 100 * e, 0.5, 0.1, 0.0, 1.0, 2.0, 0.0, 0.5, 0.001) for e in (1, 2, 3)], EPOCH_LOG)
     rows = job_metrics.epoch_metrics(log, tasks).collect()
-    assert len(rows[0]) == 18
+    assert len(rows[0]) == 19
     first = rows[0].asDict()
     assert (first["total_shuffle_read_bytes"], first["failed_task_count"], first["max_task_duration"]) == (151, 1, 90)
     assert rows[1]["avg_task_duration"] == 7.0
     assert rows[2]["max_task_duration"] == 0 and rows[2]["duration_ms"] == 300
+    for row in rows:
+        average = tasks.where(F.col("epoch") == row["epoch"]).agg(F.avg("duration")).first()[0]
+        slow = tasks.where((F.col("epoch") == row["epoch"]) & (F.col("duration") > 2 * F.lit(average))).count()
+        assert row["skewed_task_count"] == slow
+
+
+def test_a_diverged_run_keeps_its_nan(spark, tasks):
+    nan = float("nan")
+    log = spark.createDataFrame([(9, 100, nan, 0.1, 0.0, 1.0, 2.0, 0.0, 0.5, nan)], EPOCH_LOG)
+    row = job_metrics.epoch_metrics(log, tasks).first()
+    assert math.isnan(row["training_loss"]) and math.isnan(row["learning_rate"]) and row["failed_task_count"] == 0
 
 
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
@@ -130,7 +142,7 @@ def test_training_run_to_epoch_rows(spark, tmp_path):
     assert 0 < scoped.count() < tasks.count()
     recorded = read_epoch_metrics(spark, str(tmp_path / "epochs"), EPOCH_LOG)
     rows = job_metrics.epoch_metrics(recorded, scoped).collect()
-    assert [r["epoch"] for r in rows] == [1, 2] and len(rows[0]) == 18
+    assert [r["epoch"] for r in rows] == [1, 2] and len(rows[0]) == 19
     for r in rows:
         assert r["total_shuffle_read_bytes"] > 0 and r["total_shuffle_write_bytes"] > 0
         assert 0 <= r["min_task_duration"] <= r["avg_task_duration"] <= r["max_task_duration"] <= r["duration_ms"] + 60_000

@@ -3,7 +3,9 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from tokenwin import shared
 from tokenwin.operators.lookup import fits_broadcast, hot_keys, lookup, salted_join
+from tokenwin.shared import release_tables, write_shared
 
 
 def rows(spark):
@@ -43,3 +45,39 @@ def test_several_values_per_key(spark):
 def test_size_check(spark):
     assert fits_broadcast(spark.range(10), 8, 80)
     assert not fits_broadcast(spark.range(11), 8, 80)
+
+
+def test_rows_without_key_are_spread(spark):
+    key = F.when(F.col("id") % 2 == 0, F.col("id") % 5000)
+    half = spark.range(20000).select(F.col("id").alias("row"), key.alias("key"))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = salted_join(half, table(spark), ["key"], ["row"], "left", 8)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 20000 and len(sizes) == 8 and max(sizes) <= 2 * 20000 / 8
+
+
+def test_measured_bytes_decide(spark):
+    wide = write_shared(spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("word")), "wide")
+    assert not fits_broadcast(wide, 64, 5000) and fits_broadcast(wide, 64, 20000)
+
+
+def test_written_tables_are_released(spark, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        kept = list(shared._written)
+        shared._written.clear()
+        write_shared(spark.range(3), "rows")
+        assert list(tmp_path.glob("tokenwin/rows-*"))
+        release_tables(spark)
+        assert not list(tmp_path.glob("tokenwin/rows-*"))
+    finally:
+        shared._written.extend(kept)
+        spark.conf.set("spark.checkpoint.dir", before)

@@ -9,36 +9,51 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenwin.operators.lookup import fits_broadcast
-from tokenwin.operators.vocab import encode
-from tokenwin.operators.windows import target_pairs, window_pairs, with_length
+from tokenwin.operators.vocab import UNKNOWN, lookup_index
+from tokenwin.operators.windows import window_pairs
 
 # Skip-gram keeps two float vectors per token on the driver and in each task.
 MODEL_BYTES = 256 << 20
+# Parts that a model is fitted in. Results depend on it, so it does not follow the cluster.
+PARTS = 8
 
 
 def learn_embeddings(
     tokens: DataFrame, vocab: DataFrame, w: int, s: int, size: int = 50, seed: int = 42, epochs: int = 1,
-    max_bytes: int = MODEL_BYTES,
+    method: str = "skip-gram", parts: int = PARTS, max_bytes: int = MODEL_BYTES,
 ) -> DataFrame:
     """``(idx, vec ARRAY<FLOAT>)`` for every index from 1 on.
 
-    Skip-gram over the windows where its model passes the size check. A larger vocabulary is
-    factorized instead, with vectors that stay distributed throughout.
+    ``method`` is 'skip-gram', which raises an error where its model does not fit ``max_bytes``, or
+    'factorize', whose vectors stay distributed throughout. The size of the data never chooses between them.
     """
-    windows = window_pairs(encode(with_length(tokens), vocab), w, s)
-    if fits_broadcast(vocab, 8 * size, max_bytes):
-        return skip_gram(windows, vocab, size, seed, epochs)
-    return factorize(windows, size, seed, epochs)
+    if method not in ("skip-gram", "factorize"):
+        raise ValueError(f"method must be 'skip-gram' or 'factorize', not {method!r}")
+    windows = encoded_windows(tokens, vocab, w, s)
+    if method == "factorize":
+        return factorize(windows, size, seed, epochs, parts)
+    if not fits_broadcast(vocab.select("idx"), 8 * size, max_bytes):
+        raise ValueError("the skip-gram model is larger than max_bytes; method 'factorize' has no such limit")
+    return skip_gram(windows, vocab, w, size, seed, epochs, parts)
 
 
-def skip_gram(windows: DataFrame, vocab: DataFrame, size: int, seed: int, epochs: int) -> DataFrame:
-    sentences = windows.select(
-        F.concat("input", F.array("target")).cast("array<string>").alias("sentence")
-    )
-    tasks = windows.sparkSession.sparkContext.defaultParallelism
+def encoded_windows(tokens: DataFrame, vocab: DataFrame, w: int, s: int) -> DataFrame:
+    """``(seq_id, k, input, target)`` as indices, -1 for a token without one.
+
+    Tokens are encoded before windows repeat them, and none drops out, so that places stay as they are.
+    """
+    indexed = lookup_index(tokens.select("seq_id", "pos", "token"), vocab)
+    return window_pairs(indexed.select("seq_id", "pos", F.col("idx").alias("token")), w, s)
+
+
+def skip_gram(windows: DataFrame, vocab: DataFrame, w: int, size: int, seed: int, epochs: int, parts: int) -> DataFrame:
+    """Each window is one sentence, and all of it the context of each of its tokens."""
+    known = F.filter(F.concat("input", F.array("target")), lambda i: i != UNKNOWN)
+    sentences = windows.select(known.cast("array<string>").alias("sentence"))
     model = Word2Vec(
-        vectorSize=size, minCount=1, seed=seed, maxIter=epochs, numPartitions=tasks, inputCol="sentence"
-    ).fit(sentences)
+        vectorSize=size, minCount=1, seed=seed, maxIter=epochs, numPartitions=parts, inputCol="sentence",
+        windowSize=w, maxSentenceLength=w + 1,
+    ).fit(sentences)
     return extract_embeddings(model.getVectors(), vocab)
 
 
@@ -50,21 +65,19 @@ def extract_embeddings(vectors: DataFrame, vocab: DataFrame) -> DataFrame:
     return rows.where("idx >= 1").join(vocab.select("idx"), "idx", "left_semi")
 
 
-def factorize(windows: DataFrame, size: int, seed: int, epochs: int) -> DataFrame:
+def cooccurrence_counts(windows: DataFrame) -> DataFrame:
+    """``(a, b, n)``: how often index ``a`` is an input of a window whose target is ``b``; unknown ones are left out."""
+    pairs = windows.where(F.col("target") != UNKNOWN).select(F.explode("input").alias("a"), F.col("target").alias("b"))
+    return pairs.where(F.col("a") != UNKNOWN).groupBy("a", "b").agg(F.count("*").alias("n"))
+
+
+def factorize(windows: DataFrame, size: int, seed: int, epochs: int, parts: int) -> DataFrame:
     """Factorize how often inputs and targets occur together, counted in both directions."""
-    pairs = target_pairs(windows).select(
-        F.explode(
-            F.array(
-                F.struct(F.col("token").alias("a"), F.col("target").alias("b")),
-                F.struct(F.col("target").alias("a"), F.col("token").alias("b")),
-            )
-        ).alias("p")
-    )
-    counts = pairs.groupBy("p.a", "p.b").agg(F.count("*").cast("float").alias("n"))
+    once = cooccurrence_counts(windows)
+    both = once.unionByName(once.select(F.col("b").alias("a"), F.col("a").alias("b"), "n"))
+    counts = both.groupBy("a", "b").agg(F.sum("n").cast("float").alias("n"))
     als = ALS(
         rank=size, maxIter=epochs, implicitPrefs=True, seed=seed,
-        userCol="a", itemCol="b", ratingCol="n",
-        numUserBlocks=windows.sparkSession.sparkContext.defaultParallelism,
-        numItemBlocks=windows.sparkSession.sparkContext.defaultParallelism,
-    )
+        userCol="a", itemCol="b", ratingCol="n", numUserBlocks=parts, numItemBlocks=parts,
+    )
     return als.fit(counts).userFactors.select(F.col("id").cast("bigint").alias("idx"), F.col("features").alias("vec"))

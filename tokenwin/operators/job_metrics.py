@@ -69,9 +69,16 @@ def tasks_by_epoch(tasks: DataFrame, stage_epochs: DataFrame) -> DataFrame:
 
 
 def epoch_metrics(epoch_log: DataFrame, tasks: DataFrame) -> DataFrame:
-    """One row per epoch: the training log with the totals of the epoch's tasks."""
+    """One row per epoch: the training log with the totals of the epoch's tasks.
+
+    An epoch without tasks has totals of 0. Values of the log stay as they are, so the NaN of a run that
+    has diverged is seen.
+    """
     by = ["epoch"]
+    skewed = skewed_tasks(tasks, "epoch").groupBy("epoch").agg(F.count("*").alias("skewed_task_count"))
+    parts = [shuffle_totals(tasks, by), duration_stats(tasks, by), failed_tasks(tasks, by), resource_use(tasks, by), skewed]
     row = epoch_log
-    for part in (shuffle_totals, duration_stats, failed_tasks, resource_use):
-        row = row.join(part(tasks, by), "epoch", "left")
-    return row.na.fill(0).orderBy("epoch")
+    for part in parts:
+        row = row.join(part, "epoch", "left")
+    totals = [c for part in parts for c in part.columns if c != "epoch"]
+    return row.na.fill(0, subset=totals).orderBy("epoch")

@@ -2,32 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import functools
+import operator
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tokenwin.shared import row_count
+from tokenwin.shared import byte_count, remember_count, row_count, write_shared
 
-# A table is broadcast only when its row count, times the stated row width, stays below this.
+# A table is broadcast only when its measured bytes, or its rows times a stated width, stay below this.
 BROADCAST_BYTES = 64 << 20
 
 
 def fits_broadcast(df: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Compare with the count taken at writing, or count at most one row more than allowed."""
+    """Compare the bytes measured at writing, or rows of a stated width; at most one row more than allowed is counted.
+
+    A count that stays below the limit is remembered for the same DataFrame.
+    """
+    measured = byte_count(df)
+    if measured is not None:
+        return measured <= max_bytes
     max_rows = max_bytes // row_bytes
-    known = row_count(df)
-    return (df.limit(max_rows + 1).count() if known is None else known) <= max_rows
+    rows = row_count(df)
+    if rows is None:
+        rows = df.limit(max_rows + 1).count()
+        if rows <= max_rows:
+            remember_count(df, rows)
+    return rows <= max_rows
 
 
 def hot_keys(rows: DataFrame, on: list[str], partitions: int) -> DataFrame:
     """Keys with more rows than an average partition, and the pieces each is split into.
 
-    There are fewer such keys than partitions, so they may always be broadcast.
+    The rows are counted in one pass, and keys with several of them are written. There are fewer hot keys
+    than partitions, so they may always be broadcast.
     """
-    counts = rows.groupBy(*on).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total")).scalar()
-    return counts.where(F.col("_n") * partitions > total).select(
-        *on, F.ceil(F.col("_n") / total * partitions).cast("int").alias("_pieces")
-    )
+    total = Observation()
+    counts = rows.groupBy(*on).agg(F.count("*").alias("_n")).observe(total, F.sum("_n").alias("rows"))
+    counts = write_shared(counts.where("_n > 1"), "keys")
+    share = F.col("_n") * partitions / F.lit(total.get["rows"] or 1)
+    return counts.where(share > 1).select(*on, F.ceil(share).cast("int").alias("_pieces"))
 
 
 def salted_join(
@@ -36,14 +50,17 @@ def salted_join(
     """Shuffle join in which the rows of a hot key are split over several tasks.
 
     ``spread`` names columns of ``rows`` that tell the rows of one key apart. The pieces of all
-    hot keys together are fewer than twice ``partitions``, so ``table`` hardly grows.
+    hot keys together are fewer than twice ``partitions``, so ``table`` hardly grows. Rows with a NULL
+    key find nothing and go to any task.
     """
     hot = F.broadcast(hot_keys(rows, on, partitions))
-    piece = F.pmod(F.xxhash64(*spread), F.coalesce("_pieces", F.lit(1))).cast("int")
-    pieces = F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)
+    scattered = F.xxhash64(*spread)
+    no_key = functools.reduce(operator.or_, [F.col(c).isNull() for c in on])
+    pieces = F.coalesce("_pieces", F.lit(1))
+    piece = F.pmod(scattered, F.when(no_key, partitions).otherwise(pieces)).cast("int")
     left = rows.join(hot, on, "left").withColumn("_piece", piece).drop("_pieces")
-    right = table.join(hot, on, "left").withColumn("_piece", F.explode(pieces)).drop("_pieces")
-    return left.join(right, [*on, "_piece"], how).drop("_piece")
+    right = table.join(hot, on, "left").withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
+    return left.join(right.drop("_pieces"), [*on, "_piece"], how).drop("_piece")
 
 
 def lookup(

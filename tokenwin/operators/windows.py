@@ -29,7 +29,10 @@ def with_length(tokens: DataFrame) -> DataFrame:
     """Add ``seq_len`` where the source did not give it."""
     if "seq_len" in tokens.columns:
         return tokens
-    lengths = write_shared(sequence_lengths(tokens), "lengths")
+    ends = tokens.groupBy("seq_id").agg(F.count("*").alias("seq_len"), F.min("pos").alias("_low"), F.max("pos").alias("_high"))
+    dense = (F.col("_low") == 0) & (F.col("_high") == F.col("seq_len") - 1)
+    length = F.when(dense, F.col("seq_len")).otherwise(F.raise_error(F.lit("positions must count 0, 1, 2, ...")).cast("bigint"))
+    lengths = write_shared(ends.select("seq_id", length.alias("seq_len")), "lengths")
     return lookup(tokens, lengths, "seq_id", spread=["pos"], how="inner", row_bytes=32)
 
 
@@ -57,7 +60,8 @@ def window_cells(tokens: DataFrame, w: int, s: int) -> DataFrame:
 
 def window_targets(tokens: DataFrame, w: int, s: int) -> DataFrame:
     """``(seq_id, k, ...)``: the target row of each window, found without exploding."""
-    rows = with_length(tokens).where((F.col("pos") >= w) & ((F.col("pos") - w) % s == 0))
+    # A token at this place is the last of a full window, whatever the length of the sequence.
+    rows = tokens.where((F.col("pos") >= w) & ((F.col("pos") - w) % s == 0))
     payload = [c for c in rows.columns if c not in ("seq_id", "pos", "seq_len")]
     return rows.select("seq_id", F.expr(f"(pos - {w}) div {s}").alias("k"), *payload)
 
@@ -67,17 +71,30 @@ def windows_per_block(w: int, s: int) -> int:
     return max(1, -(-max(BLOCK_SPAN, 4 * w) // s))
 
 
+def block_partitions(tokens: DataFrame) -> int:
+    """As many as the session sets, or one for each 32 MB that the tokens are estimated to have."""
+    size = int(tokens._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    # Without statistics the estimate is the largest number there is.
+    pieces = size // (32 << 20) if size < 1 << 60 else 0
+    return max(int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions")), pieces)
+
+
 def token_blocks(tokens: DataFrame, w: int, s: int, partitions: int | None = None) -> DataFrame:
     """``(seq_id, block, values)``: the tokens that the windows of one block need, in order.
 
     This is the only shuffle on the way to windows. A block has a bounded length, so one endless
     sequence spreads over all tasks. The number of partitions is set, as the rows are small here
-    but the stages after it make many times more data of them than adaptive sizing expects.
+    but the stages after it make many times more data of them than adaptive sizing expects; it grows
+    with the optimizer's estimate of the tokens' size. A gap within a block raises an error.
     """
-    n = partitions or int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or block_partitions(tokens)
     per_block = windows_per_block(w, s)
     first = F.expr(f"greatest(0L, (pos - {w} + {s - 1}) div {s}) div {per_block}")
     last = F.expr(f"(pos div {s}) div {per_block}")
+    start = F.col("block") * (per_block * s)
+    low, high = F.element_at("_cells.pos", 1), F.element_at("_cells.pos", -1)
+    dense = (low == start) & (high - low + 1 == F.size("_cells"))
+    gap = F.raise_error(F.lit("positions must count 0, 1, 2, ..."))
     return (
         tokens.select("seq_id", "pos", "token", first.alias("_first"), last.alias("_last"))
         .where("_first <= _last")
@@ -85,7 +102,7 @@ def token_blocks(tokens: DataFrame, w: int, s: int, partitions: int | None = Non
         .repartition(n, "seq_id", "block")
         .groupBy("seq_id", "block")
         .agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("_cells"))
-        .select("seq_id", "block", F.col("_cells.token").alias("values"))
+        .select("seq_id", "block", F.when(dense, F.col("_cells.token")).otherwise(gap).alias("values"))
     )
 
 

@@ -87,16 +87,25 @@ with {_DOC_WINDOWS}
 select doc_id as seq_id, k, array_to_string(w[1:64], ' ') as input, w[65] as target from doc_windows"""
 
 
-def _bucket(key: str) -> str:
-    return f"('0x' || substr(md5({key}), 1, 8))::bigint % 10"
+def _split(share: float) -> str:
+    point = "('0x' || substr(md5('0:' || k::varchar), 1, 8))::bigint"
+    return f"case when {point} < {share} * 4294967296 then 'train' else 'validation' end"
 
 
-_SPLIT = f"case when {_bucket("'0:' || k::varchar")} < 8 then 'train' else 'validation' end"
+_SPLIT = _split(0.8)
 
 _INPUT_TEXT = "string_agg(token::varchar, ',' order by t) filter (where t < 64) as input"
 _TARGET = "max(token) filter (where t = 64) as target"
 
 
+def _cooccurrences(tables: str) -> str:
+    return f"""
+      with {tables}
+      select ia.idx as a, ib.idx as b, count(*) as n
+      from cells x join vocab ia on x.token = ia.token join cells y on x.k = y.k and y.t = 64 join vocab ib on y.token = ib.token
+      where x.t < 64 group by ia.idx, ib.idx"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "read_token_ids": """
@@ -232,6 +241,11 @@ def oracle_sql() -> dict[str, str]:
         "split_examples": f"""
             with {_CELLS}
             select 0::bigint as seq_id, k, token, {_SPLIT} as split from cells where t = 64""",
+        "split_examples_95": f"""
+            with {_CELLS}
+            select 0::bigint as seq_id, k, token, {_split(0.95)} as split from cells where t = 64""",
+        "cooccurrence_counts": _cooccurrences(_VOCAB),
+        "cooccurrence_counts_sparse": _cooccurrences(_USUAL_WITH_SPARSE_VOCAB.replace("cells as", "others as", 1)),
         "true_token": f"""
             with {_USUAL_WITH_SPARSE_VOCAB}, {_VECS},
             labels as (

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenwin.functions import vectors
 from tokenwin.functions.positions import positional_encoding
 from tokenwin.operators import evaluate, features, job_metrics, training, vocab, windows
-from tokenwin.operators.embed_learning import learn_embeddings
+from tokenwin.operators.embed_learning import cooccurrence_counts, encoded_windows, learn_embeddings
 from tokenwin.operators.split import split_examples
 from tokenwin.shared import new_path
 from tokenwin.sources.spread import spread
@@ -139,7 +139,8 @@ def q_window_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_window_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return windows.window_labels(windows.window_pairs(event_tokens(spark, sf_dir), WINDOW, STRIDE))
+    labels = windows.window_targets(event_tokens(spark, sf_dir), WINDOW, STRIDE)
+    return windows.window_labels(labels.withColumnRenamed("token", "target"))
 
 
 # Vocabulary
@@ -346,6 +347,21 @@ def q_split_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_examples(labels, F.concat_ws(":", "seq_id", "k"))
 
 
+def q_split_examples_95(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = windows.window_targets(event_tokens(spark, sf_dir), WINDOW, STRIDE)
+    return split_examples(labels, F.concat_ws(":", "seq_id", "k"), 0.95)
+
+
+def q_cooccurrence_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens, names = _events_and_vocab(spark, sf_dir)
+    return cooccurrence_counts(encoded_windows(tokens, names, WINDOW, STRIDE))
+
+
+def q_cooccurrence_counts_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens, names = _events_and_vocab(spark, sf_dir, SPARSE_WINDOW, SPARSE_STRIDE)
+    return cooccurrence_counts(encoded_windows(tokens, names, WINDOW, STRIDE))
+
+
 def q_true_token(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens, names, emb, width = _embedding_inputs(spark, sf_dir, SPARSE_WINDOW, SPARSE_STRIDE)
     labels = features.embed_target(tokens, names, emb, width, WINDOW, STRIDE)

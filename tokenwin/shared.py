@@ -8,28 +8,23 @@ DataFrame it survives the loss of executors, and its size is known to the optimi
 from __future__ import annotations
 
 import sys
-import tempfile
 import uuid
 from weakref import WeakKeyDictionary
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_OWN_DIR = "tokenwin.shared.dir"
 _written: list[str] = []
 _row_counts: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+_byte_counts: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_OWN_DIR, None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    spark.conf.set(_OWN_DIR, tempfile.mkdtemp(prefix="tokenwin-"))
-    return spark.conf.get(_OWN_DIR)
+    """Folder named by ``spark.checkpoint.dir``, else one in the warehouse, which executors share as well."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -38,14 +33,26 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def _value_bytes(field: T.StructField) -> Column:
+    column, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        return F.greatest(F.size(column), F.lit(0)) * 16 + 16
+    return F.lit(16 if isinstance(kind, T.StructType) else 8)
+
+
 def write_shared(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` once, counting its rows, and return a DataFrame that reads it back."""
+    """Write ``df`` once, counting its rows and bytes, and return a DataFrame that reads it back."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    rows = Observation()
-    df.observe(rows, F.count(F.lit(1)).alias("rows")).write.partitionBy(*(partition_by or [])).parquet(path)
+    seen = Observation()
+    bytes_ = F.sum(sum((_value_bytes(f) for f in df.schema.fields), F.lit(16)).cast("bigint"))
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), bytes_.alias("bytes"))
+    counted.write.partitionBy(*(partition_by or [])).parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
-    _row_counts[table] = rows.get["rows"]
+    _row_counts[table] = seen.get["rows"]
+    _byte_counts[table] = seen.get["bytes"] or 0
     return table
 
 
@@ -54,6 +61,15 @@ def row_count(df: DataFrame) -> int | None:
     return _row_counts.get(df)
 
 
+def remember_count(df: DataFrame, rows: int) -> None:
+    _row_counts[df] = rows
+
+
+def byte_count(df: DataFrame) -> int | None:
+    """Bytes of the values of a table that ``write_shared`` returned; None for any other."""
+    return _byte_counts.get(df)
+
+
 def release_tables(spark: SparkSession) -> None:
     """Delete the tables that this process has written with ``write_shared``."""
     while _written:

@@ -46,34 +46,44 @@ def read_token_ids(spark: SparkSession, path: str, on_error: str = "raise") -> D
     else:
         problem = F.concat(F.lit("not a 32-bit integer: "), F.col("text"))
         token = F.coalesce(token, F.raise_error(problem).cast("bigint"))
-    placed = write_shared(
-        lines.select("file", "start", F.monotonically_increasing_id().alias("line"), token.alias("token")),
-        "lines",
-    )
-    splits = placed.groupBy("file", "start").agg(F.count("*").alias("n"), F.min("line").alias("first"))
-    in_order = Window.orderBy("file", "start")
-    offsets = write_shared(
-        splits.select("file", "start", (F.sum("n").over(in_order) - F.col("n") - F.col("first")).alias("shift")),
-        "splits",
-    )
-    tokens = lookup(placed, offsets, ["file", "start"], spread=["line"], row_bytes=512)
+    # Eight bytes stand for the path and place of a split in each line; two splits of one hash would be seen below.
+    split = F.xxhash64("file", "start").alias("split")
+    numbered = lines.select("file", "start", split, F.monotonically_increasing_id().alias("line"), token.alias("token"))
+    names = ["split", "line", "token"]
+    placed = write_shared(numbered.select(*names, "file", "start"), "lines")
+    splits = placed.groupBy("split").agg(
+        F.min(F.struct("file", "start")).alias("first_place"), F.max(F.struct("file", "start")).alias("last_place"),
+        F.count("*").alias("n"), F.min("line").alias("first"),
+    )
+    alike = F.raise_error(F.lit("two file splits have the same hash")).cast("bigint")
+    n = F.when(F.col("first_place") == F.col("last_place"), F.col("n")).otherwise(alike)
+    in_order = Window.orderBy("first_place.file", "first_place.start")
+    shift = F.sum("n").over(in_order) - F.col("n") - F.col("first")
+    offsets = write_shared(splits.withColumn("n", n).select("split", shift.alias("shift")), "splits")
+    tokens = lookup(placed.select(*names), offsets, "split", spread=["line"], row_bytes=32)
     pos = F.col("line") + F.col("shift")
     # A literal key would be folded away, and later shuffles by sequence would not be reused.
     return tokens.select((pos * 0).alias("seq_id"), pos.alias("pos"), "token")
 
 
+def _known(token: Column) -> Column:
+    """The token, or an error for a NULL one, which no window may hold."""
+    return F.when(token.isNull(), F.raise_error(F.lit("a token is NULL"))).otherwise(token)
+
+
 def tokens_from_table(
     df: DataFrame, order_col: str, token_col: str, seq_col: str | None = None, dense: bool = False
 ) -> DataFrame:
     """Take sequences from a table.
 
     With ``dense=True`` the order column already counts 0, 1, 2, ... in each sequence and is the
-    position as it stands; otherwise rows are numbered by it.
+    position as it stands; a gap raises an error where windows are made. Otherwise rows are numbered
+    by it. A NULL token raises an error.
     """
     rows = df.select(
         *([F.col(seq_col).cast("bigint").alias("seq_id")] if seq_col else []),
         F.col(order_col).alias("pos"),
-        F.col(token_col).alias("token"),
+        _known(F.col(token_col)).alias("token"),
     )
     if not dense:
         numbered = (
@@ -97,5 +107,5 @@ def tokens_from_arrays(df: DataFrame, seq_col: str, array_col: str) -> DataFrame
             F.posexplode_outer(array_col).alias("pos", "token"),
         )
         .where(F.col("pos").isNotNull())
-        .select("seq_id", F.col("pos").cast("bigint").alias("pos"), "token", "seq_len")
+        .select("seq_id", F.col("pos").cast("bigint").alias("pos"), _known(F.col("token")).alias("token"), "seq_len")
     )
