@@ -141,7 +141,7 @@ class WarcReader(DataSourceReader):
 
     def _records(self, path: str) -> Iterator[dict]:
         system, name = _opened(path)
-        with system.open_input_stream(name, buffer_size=1 << 20) as f:
+        with system.open_input_stream(name, compression=None, buffer_size=1 << 20) as f:
             while start := f.read(struct.calcsize(_MEMBER)):
                 _, _, _, _, packed, _ = struct.unpack(_MEMBER, start)
                 member = f.read(packed)
@@ -177,7 +177,7 @@ class WarcWriter(DataSourceArrowWriter):
         system, root = _opened(self.path)
         system.create_dir(root, recursive=True)
         message = Written(f"part-{uuid.uuid4().hex}.warc.gz")
-        with system.open_output_stream(f"{root}/{message.name}") as f:
+        with system.open_output_stream(f"{root}/{message.name}", compression=None) as f:
             for batch in iterator:
                 columns = [batch.column(n) for n in ("page_id", "target_uri", "refers_to", "payload")]
                 for row in zip(*columns):
