@@ -1,5 +1,6 @@
 import math
 from collections import Counter
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -68,16 +69,14 @@ def test_measured_bytes_decide(spark):
     assert not fits_broadcast(wide, 64, 5000) and fits_broadcast(wide, 64, 20000)
 
 
-def test_written_tables_are_released(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+def test_written_tables_are_released(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    kept = list(shared._written)
+    shared._written.clear()
     try:
-        kept = list(shared._written)
-        shared._written.clear()
-        write_shared(spark.range(3), "rows")
-        assert list(tmp_path.glob("tokenwin/rows-*"))
+        write_shared(spark.range(3), "released")
+        assert list(folder.glob("tokenwin/released-*"))
         release_tables(spark)
-        assert not list(tmp_path.glob("tokenwin/rows-*"))
+        assert not list(folder.glob("tokenwin/released-*"))
     finally:
         shared._written.extend(kept)
-        spark.conf.set("spark.checkpoint.dir", before)

@@ -98,11 +98,18 @@ _INPUT_TEXT = "string_agg(token::varchar, ',' order by t) filter (where t < 64)
 _TARGET = "max(token) filter (where t = 64) as target"
 
 
-def _cooccurrences(tables: str) -> str:
+_TASK = """
+  l_orderkey * 10 + l_linenumber as task_id, l_suppkey::int as stage_id, l_quantity::bigint as duration,
+  l_partkey + l_suppkey as shuffle_read_bytes, case when l_linenumber > 1 then l_partkey else 0 end as shuffle_write_bytes,
+  l_partkey % 7 = 0 as failed, l_orderkey as peak_execution_memory, l_quantity::bigint * 2 as run_time,
+  l_quantity::bigint * 1000000 as cpu_time"""
+
+
+def _cooccurrences(tables: str, cells: str = "cells") -> str:
     return f"""
       with {tables}
       select ia.idx as a, ib.idx as b, count(*) as n
-      from cells x join vocab ia on x.token = ia.token join cells y on x.k = y.k and y.t = 64 join vocab ib on y.token = ib.token
+      from {cells} x join vocab ia on x.token = ia.token join {cells} y on x.k = y.k and y.t = 64 join vocab ib on y.token = ib.token
       where x.t < 64 group by ia.idx, ib.idx"""
 
 
@@ -241,11 +248,32 @@ def oracle_sql() -> dict[str, str]:
         "split_examples": f"""
             with {_CELLS}
             select 0::bigint as seq_id, k, token, {_SPLIT} as split from cells where t = 64""",
+        "read_token_text_skip": """
+            select 0::bigint as seq_id, row_number() over (order by event_id) - 1 as pos, user_id as token
+            from events where event_id % 5 in (0, 3, 4)""",
+        "task_metrics": f"select {_TASK} from lineitem",
+        "resource_use": f"""
+            select stage_id, max(peak_execution_memory) as peak_execution_memory,
+              round(sum(cpu_time) / 1e6 / sum(run_time), 6) + 0.0 as cpu_ratio
+            from (select {_TASK} from lineitem) group by stage_id""",
+        "stage_metrics": """
+            select o_orderkey::int as stage_id, (o_custkey % 100)::int as num_tasks, o_custkey as duration from orders""",
+        "stage_epochs": """
+            select stage_id::int as stage_id, min_by(epoch, job)::int as epoch
+            from (select o_orderkey as job, o_orderkey % 5 as epoch, unnest([o_custkey, o_custkey + 1]) as stage_id from orders)
+            group by stage_id""",
+        "recorded_summary": """
+            with days as (select o_orderkey % 50 as e, count(*) as n, sum(o_custkey) as c from orders group by 1)
+            select count(*) as epochs, sum(n)::bigint as total_ms, min(n) as min_ms, avg(n) as mean_ms, max(n) as max_ms,
+              1.0::double / (min(e) + 1) as first_loss, 1.0::double / (max(e) + 1) as last_loss,
+              max(e / 64.0::double) as best_training_accuracy, max(e / 128.0::double) as best_validation_accuracy,
+              sum(c % 3)::bigint as failed_tasks
+            from days""",
         "split_examples_95": f"""
             with {_CELLS}
             select 0::bigint as seq_id, k, token, {_split(0.95)} as split from cells where t = 64""",
         "cooccurrence_counts": _cooccurrences(_VOCAB),
-        "cooccurrence_counts_sparse": _cooccurrences(_USUAL_WITH_SPARSE_VOCAB.replace("cells as", "others as", 1)),
+        "cooccurrence_counts_sparse": _cooccurrences(_USUAL_WITH_SPARSE_VOCAB, "usual"),
         "true_token": f"""
             with {_USUAL_WITH_SPARSE_VOCAB}, {_VECS},
             labels as (

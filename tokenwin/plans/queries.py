@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tokenwin.functions import vectors
 from tokenwin.functions.positions import positional_encoding
@@ -18,6 +19,9 @@ from tokenwin.operators import evaluate, features, job_metrics, training, vocab,
 from tokenwin.operators.embed_learning import cooccurrence_counts, encoded_windows, learn_embeddings
 from tokenwin.operators.split import split_examples
 from tokenwin.shared import new_path
+from tokenwin.sources import epoch_table, event_log
+from tokenwin.sources.epoch_table import RECORDED_SCHEMA
+from tokenwin.sources.event_log import read_event_log
 from tokenwin.sources.spread import spread
 from tokenwin.sources.tokens import read_token_ids, tokens_from_arrays, tokens_from_table
 
@@ -82,6 +86,21 @@ def q_read_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_ids(spark, path)
 
 
+def q_read_token_text_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with blanks and signs around the number, empty lines, and bad ones that are skipped."""
+    path = new_path(spark, "token-text")
+    user = F.col("user_id").cast("string")
+    line = (
+        F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("\t "), user, F.lit(" \x0b")))
+        .when(F.col("event_id") % 5 == 1, F.concat(F.lit("x"), user))
+        .when(F.col("event_id") % 5 == 2, F.lit("  "))
+        .when(F.col("event_id") % 5 == 3, F.concat(F.lit("+"), user))
+        .otherwise(user)
+    )
+    table(spark, sf_dir, "events").orderBy("event_id").select(line.alias("value")).write.text(path)
+    return read_token_ids(spark, path, on_error="skip")
+
+
 def q_tokens_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.length("text").alias("size"))
     return tokens_from_table(turns, "turn", "size", "conv_id").select(
@@ -394,6 +413,79 @@ def q_nearest_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.accuracy(scored, ["split"]).withColumn("accuracy", rounded("accuracy"))
 
 
+# Event logs and epoch tables, written from given tables and read back
+
+
+def _event_log(rows: DataFrame, event: str, **fields: Column) -> DataFrame:
+    """Write one JSON line for each row, as Spark's event log has them, and read the log back."""
+    path = new_path(rows.sparkSession, "event-log")
+    named = [F.lit(event).alias("Event"), *(value.alias(name.replace("_", " ")) for name, value in fields.items())]
+    rows.select(F.to_json(F.struct(*named)).alias("value")).write.text(path)
+    return read_event_log(rows.sparkSession, path)
+
+
+def _task_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start = F.col("l_orderkey") * 1000
+    info = F.struct(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("Task ID"),
+        start.alias("Launch Time"),
+        (start + F.col("l_quantity").cast("bigint")).alias("Finish Time"),
+        (F.col("l_partkey") % 7 == 0).alias("Failed"),
+    )
+    read = F.struct(F.col("l_partkey").alias("Remote Bytes Read"), F.col("l_suppkey").alias("Local Bytes Read"))
+    measured = F.struct(
+        (F.col("l_quantity").cast("bigint") * 2).alias("Executor Run Time"),
+        (F.col("l_quantity").cast("bigint") * 1000000).alias("Executor CPU Time"),
+        F.col("l_orderkey").alias("Peak Execution Memory"),
+        read.alias("Shuffle Read Metrics"),
+        F.when(F.col("l_linenumber") > 1, F.struct(F.col("l_partkey").alias("Shuffle Bytes Written"))).alias("Shuffle Write Metrics"),
+    )
+    lines = table(spark, sf_dir, "lineitem")
+    return _event_log(lines, "SparkListenerTaskEnd", Stage_ID=F.col("l_suppkey"), Task_Info=info, Task_Metrics=measured)
+
+
+def q_task_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_log.task_metrics(_task_log(spark, sf_dir))
+
+
+def q_resource_use(spark: SparkSession, sf_dir: str) -> DataFrame:
+    used = job_metrics.resource_use(event_log.task_metrics(_task_log(spark, sf_dir)), ["stage_id"])
+    return used.withColumn("cpu_ratio", rounded("cpu_ratio"))
+
+
+def q_stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    info = F.struct(
+        F.col("o_orderkey").alias("Stage ID"),
+        (F.col("o_custkey") % 100).alias("Number of Tasks"),
+        (F.col("o_orderkey") * 10).alias("Submission Time"),
+        (F.col("o_orderkey") * 10 + F.col("o_custkey")).alias("Completion Time"),
+    )
+    log = _event_log(table(spark, sf_dir, "orders"), "SparkListenerStageCompleted", Stage_Info=info)
+    return event_log.stage_metrics(log)
+
+
+def q_stage_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tags = F.concat(F.lit("other,epoch-"), (F.col("o_orderkey") % 5).cast("string"), F.lit(",last"))
+    log = _event_log(
+        table(spark, sf_dir, "orders"), "SparkListenerJobStart", Job_ID=F.col("o_orderkey"),
+        Stage_IDs=F.array(F.col("o_custkey"), F.col("o_custkey") + 1), Properties=F.struct(tags.alias("spark.job.tags")),
+    )
+    return event_log.stage_epochs(log)
+
+
+def q_recorded_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of orders as the epochs of a 21-column file."""
+    days = table(spark, sf_dir, "orders").groupBy((F.col("o_orderkey") % 50).cast("int").alias("Epoch"))
+    per = days.agg(F.count("*").alias("n"), F.sum("o_custkey").alias("c"))
+    value = {"TimeStamp": F.col("n"), "TrainingLoss": F.lit(1.0) / (F.col("Epoch") + 1), "TrainingAccuracy": F.col("Epoch") / 64}
+    value |= {"ValidationAccuracy": F.col("Epoch") / 128, "failedTaskCount": (F.col("c") % 3).cast("int")}
+    columns = [f.name for f in T.StructType.fromDDL(RECORDED_SCHEMA).fields]
+    rows = per.select("Epoch", *[value.get(c, F.lit(0)).alias(c) for c in columns[1:]])
+    path = new_path(spark, "epochs")
+    epoch_table.write_epoch_metrics(rows, path, "csv")
+    return epoch_table.summarize_recorded(epoch_table.read_epoch_metrics(spark, path, RECORDED_SCHEMA, "csv"))
+
+
 # Statistics
 
 
