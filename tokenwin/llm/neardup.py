@@ -29,6 +29,7 @@ from tokenwin.shared import row_count, write_shared
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 12, 4
+LEADERS = 32
 RARE, RARE_GAIN = 200, 1.25
 _BUCKETS = 1 << 20
 _STEPS = 1 << 16  # values of each random figure
@@ -207,7 +208,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     All texts that share a band could be pairs, but only these are compared: each with the band's leader,
     the text that shares most bands with others. Those connected to the leader are done with each other. A text that is not may
     still be linked to one that is; since 1 - similarity is a metric, only to those whose distance from
-    the leader is at least its own less the threshold's. Texts that remain meet again under a new leader, until none does.
+    the leader is at least its own less the threshold's. Texts that remain meet again under up to ``LEADERS`` new
+    leaders, until all in the band are connected or have led.
     """
     idf = idf_by_bucket(docs)
     signed = write_shared(signatures(docs, idf), "signatures")
@@ -232,10 +234,12 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     links = write_shared(links.select(F.col("doc_id").alias("a"), F.col("id").alias("b")).distinct(), "links")
     classes = components(links)
     ratio = F.least("weight", "leader_weight") / F.greatest("weight", "leader_weight")
+    slots = 1
     while row_count(members):
         best = F.max_by(F.struct("id", "weight"), F.struct("degree", -F.col("id"), "weight")).alias("best")
-        leaders = members.groupBy("band").agg(best)
+        leaders = members.groupBy("band", F.pmod(F.xxhash64("id"), F.lit(slots))).agg(best)
         leaders = leaders.select("band", F.col("best.id").alias("leader"), F.col("best.weight").alias("leader_weight"))
+        leaders = write_shared(leaders, "leaders")
         star = write_shared(members.join(leaders, "band").where("id <> leader").withColumn("most", ratio), "star")
         pairs = star.where(F.col("most") >= similarity).select(*_ordered("id", "leader")).distinct()
         compared = write_shared(_similarities(pairs, vectors), "compared")
@@ -243,26 +247,29 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         if row_count(new):
             links = write_shared(links.unionByName(new), "links")
             classes = components(links)
-        found = compared.select("a", "b", "similarity")
-        star = star.select("*", *_ordered("id", "leader")).join(found, ["a", "b"], "left").drop("a", "b")
+        star = star.select("*", *_ordered("id", "leader")).join(compared, ["a", "b"], "left").drop("a", "b")
         # Without a comparison the weights bound the similarity.
         star = _classed(_classed(star, classes, "id"), classes, "leader").withColumn("most", F.coalesce("similarity", "most"))
         star = write_shared(star.drop("similarity"), "star")
         inside, rest = star.where("id_class = leader_class"), star.where("id_class <> leader_class")
         near = inside.select(
-            "band", F.col("id").alias("leader_"), F.col("weight").alias("leader_weight"), F.col("most").alias("inside_most")
+            "band", "leader", F.col("id").alias("near"), F.col("weight").alias("leader_weight"), F.col("most").alias("near_most")
         )
-        shell = rest.drop("leader_weight").join(near, "band").where(F.col("inside_most") <= F.col("most") + (1 - similarity))
-        shell = shell.where(ratio >= similarity).select(*_ordered("id", "leader_")).distinct()
+        shell = rest.drop("leader_weight").join(near, ["band", "leader"])
+        shell = shell.where(F.col("near_most") <= F.col("most") + (1 - similarity))
+        shell = shell.where(ratio >= similarity).select(*_ordered("id", "near")).distinct()
         shell = shell.join(compared, ["a", "b"], "left_anti")
         more = write_shared(_similarities(shell, vectors).where(F.col("similarity") >= similarity).select("a", "b"), "shell")
         if row_count(more):
             links = write_shared(links.unionByName(more), "links")
             classes = components(links)
-        left = rest.select("band", "id", "weight", "degree", "id_class")
+        same = F.bool_or(F.col("id_class") == F.col("leader_class")).alias("same")
+        left = star.groupBy("band", "id", "weight", "degree", "id_class").agg(same).where("not same")
+        left = left.join(leaders.select("band", F.col("leader").alias("id")), ["band", "id"], "left_anti")
         several = left.groupBy("band").agg(F.min("id_class").alias("low"), F.max("id_class").alias("high"))
         several = several.where("low <> high").select("band")
         members = write_shared(left.join(several, "band").select("id", "weight", "band", "degree"), "members")
+        slots = LEADERS
     node = _classed(nodes.select("t1", "t2", "id"), classes, "id").select("t1", "t2", F.col("id_class").alias("class_id"))
     out = signed.select("doc_id", "t1", "t2").join(node, ["t1", "t2"], "left")
     class_id = F.when(F.col("doc_id").isNotNull(), F.col("class_id"))
