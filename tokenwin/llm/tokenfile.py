@@ -107,7 +107,8 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int = E
     lengths = huffman.code_lengths(_token_counts(rows))
     used = [(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)]
     spark.createDataFrame(used, "id int, bits int").coalesce(1).write.parquet(f"{path}/codes")
-    ordered = rows.orderBy(F.col("doc_id").asc_nulls_first(), "n_tokens", "ids")
+    # A hash stands for the ids, as a sample of the sort keys goes to the driver.
+    ordered = rows.orderBy(F.col("doc_id").asc_nulls_first(), "n_tokens", F.xxhash64("ids"))
     blocks = ordered.mapInArrow(lambda batches: _blocks(batches, lengths), _BLOCK)
     place = F.monotonically_increasing_id()
     blocks.select(F.spark_partition_id().alias("part"), place.alias("place"), "*").write.parquet(f"{path}/blocks")
