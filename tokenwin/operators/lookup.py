@@ -15,13 +15,12 @@ BROADCAST_BYTES = 64 << 20
 
 
 def fits_broadcast(df: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Compare the bytes measured at writing, or rows of a stated width; at most one row more than allowed is counted.
+    """Compare the bytes measured at writing, and rows of a stated width; at most one row more than allowed is counted.
 
     A count that stays below the limit is remembered for the same DataFrame.
     """
-    measured = byte_count(df)
-    if measured is not None:
-        return measured <= max_bytes
+    if (byte_count(df) or 0) > max_bytes:
+        return False
     max_rows = max_bytes // row_bytes
     rows = row_count(df)
     if rows is None:
