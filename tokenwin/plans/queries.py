@@ -18,8 +18,8 @@ from tokenwin.functions.positions import positional_encoding
 from tokenwin.operators import evaluate, features, job_metrics, training, vocab, windows
 from tokenwin.operators.embed_learning import cooccurrence_counts, encoded_windows, learn_embeddings
 from tokenwin.operators.split import split_examples
-from tokenwin.shared import new_path
-from tokenwin.sources import epoch_table, event_log
+from tokenwin.shared import new_path, write_shared
+from tokenwin.sources import epoch_table, event_log, models
 from tokenwin.sources.epoch_table import RECORDED_SCHEMA
 from tokenwin.sources.event_log import read_event_log
 from tokenwin.sources.spread import spread
@@ -555,6 +555,19 @@ def q_predict_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.score_predictions(predicted, emb, names, training.KEY, width=model.width)
 
 
+def q_training_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From events to a saved model and its epoch table, with the accuracy of the model as it is loaded again."""
+    tokens, names = _events_and_vocab(spark, sf_dir)
+    emb = write_shared(learn_embeddings(tokens, names, WINDOW, STRIDE, size=16), "embeddings")
+    examples = features.training_examples(tokens, names, emb, WINDOW, STRIDE, 16, packed=True)
+    path = new_path(spark, "job")
+    training.train(examples, emb, names, training.TrainConfig(epochs=2), path=path)
+    loaded = models.load_model(spark, f"{path}/model-2")
+    accuracy = training.compute_accuracy(examples, loaded, emb, names).select("accuracy").scalar()
+    recorded = epoch_table.read_epoch_metrics(spark, f"{path}/epochs", training.EPOCH_LOG)
+    return recorded.withColumn("loaded_accuracy", accuracy)
+
+
 def queries() -> dict[str, Query]:
     prefix = "q_"
     return {name[len(prefix) :]: f for name, f in globals().items() if name.startswith(prefix)}
