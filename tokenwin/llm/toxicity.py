@@ -7,8 +7,8 @@ it in its class. A text that comes in many copies thus counts as one. A discount
 what it takes goes to the lower order, and at last to the count of both classes together. An expression
 too rare to survive the discount therefore has nearly the same probability in both.
 
-Words are runs of letters and digits in lower case, hashed into 2^18 buckets, and word pairs into
-2^19, so a model has a fixed size. A text is judged by two figures: the difference of the two log-likelihoods,
+Words are runs of letters and digits in lower case, hashed into 2^19 buckets, and so are word pairs,
+so a model has a fixed size. A text is judged by two figures: the difference of the two log-likelihoods,
 divided by its words, and the largest share that one word has in it, for a single insult in a long
 text. A logistic function of both, fitted on rows kept out of the counts, gives the score.
 """
@@ -29,12 +29,12 @@ from tokenwin.llm.labelled import labelled_sample
 from tokenwin.llm.textbytes import mix, plain_text, slices, span_hashes, split_words, text_bytes
 from tokenwin.shared import write_shared
 
-WORDS, PAIRS = 1 << 18, 1 << 19
+WORDS, PAIRS = 1 << 19, 1 << 19
 # The most labelled rows of each class that training reads; three quarters are counted.
 PER_CLASS = 15_000
-DISCOUNTS = (1.0, 4.0, 16.0, 48.0)
+DISCOUNTS = (2.0, 8.0, 16.0, 32.0, 64.0)
 # Pairs have few continuations, so that their figures are uncertain for longer.
-PAIR_DISCOUNT = 10.0
+PAIR_DISCOUNT = 40.0
 # The most that one word may count for or against.
 MOST = 3.0
 _START = 0  # bucket of the start of a text
@@ -55,7 +55,7 @@ def _buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Buckets of all words, of the words before them, and bounds of the rows."""
     whole, bounds = text_bytes(plain_text(texts))
     words = split_words(whole.translate(_LETTERS), bounds)
-    word = (span_hashes(words.data, words.start, words.end) >> np.uint64(46)).astype(np.int64)
+    word = (span_hashes(words.data, words.start, words.end) >> np.uint64(45)).astype(np.int64)
     before = np.roll(word, 1)
     before[words.first[:-1][words.first[:-1] < len(word)]] = _START
     return word, before, words.first
