@@ -242,10 +242,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     links = write_shared(links.select(F.col("doc_id").alias("a"), F.col("id").alias("b")).distinct(), "links")
     classes = components(links)
     ratio = F.least("weight", "leader_weight") / F.greatest("weight", "leader_weight")
-    slots = 1
+    led = ["band"]
     while row_count(members):
         best = F.max_by(F.struct("id", "weight"), F.struct("degree", -F.col("id"), "weight")).alias("best")
-        leaders = members.groupBy("band", F.pmod(F.xxhash64("id"), F.lit(slots))).agg(best)
+        leaders = members.groupBy(*led).agg(best)
         leaders = leaders.select("band", F.col("best.id").alias("leader"), F.col("best.weight").alias("leader_weight"))
         leaders = write_shared(leaders, "leaders")
         star = write_shared(members.join(leaders, "band").where("id <> leader").withColumn("most", ratio), "star")
@@ -274,10 +274,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         same = F.bool_or(F.col("id_class") == F.col("leader_class")).alias("same")
         left = star.groupBy("band", "id", "weight", "degree", "id_class").agg(same).where("not same")
         left = left.join(leaders.select("band", F.col("leader").alias("id")), ["band", "id"], "left_anti")
-        several = left.groupBy("band").agg(F.min("id_class").alias("low"), F.max("id_class").alias("high"))
-        several = several.where("low <> high").select("band")
-        members = write_shared(left.join(several, "band").select("id", "weight", "band", "degree"), "members")
-        slots = LEADERS
+        several = left.groupBy("band").agg(
+            F.min("id_class").alias("low"), F.max("id_class").alias("high"), F.count("*").alias("n")
+        )
+        several = several.where("low <> high").select("band", "n")
+        members = write_shared(left.join(several, "band").select("id", "weight", "band", "degree", "n"), "members")
+        # In a small band all lead; in a large one the best of each hash class.
+        led = ["band", F.when(F.col("n") <= LEADERS, F.col("id")).otherwise(F.pmod(F.xxhash64("id"), F.lit(LEADERS)))]
     node = _classed(nodes.select("t1", "t2", "id"), classes, "id").select("t1", "t2", F.col("id_class").alias("class_id"))
     out = signed.select("doc_id", "t1", "t2").join(node, ["t1", "t2"], "left")
     class_id = F.when(F.col("doc_id").isNotNull(), F.col("class_id"))
