@@ -314,6 +314,21 @@ def test_near_duplicates_of_odd_rows(odd_docs, make_docs):
     assert neardup.near_duplicates(make_docs([])).count() == 0
 
 
+def test_pairs_of_frequent_runs_meet_as_often_as_others(make_docs):
+    texts, frequent = [], []
+    for i in range(300):
+        common = " ".join(f"c{i}x{k}" for k in range(100))
+        frequent.append(common)
+        texts += [f"{common} " + " ".join(f"{side}{i}x{k}" for k in range(10)) for side in "ab"]
+    idf = np.full(neardup._BUCKETS, neardup.RARE_GAIN, np.float32)
+    runs, _, _ = neardup._weighted(neardup.words_of(pa.array(frequent)))
+    # The weight of runs in a tenth of the documents.
+    idf[neardup._bucket(runs)] = 1 + (neardup.RARE_GAIN - 1) * math.log(10) / math.log(neardup.RARE)
+    bands = by_id(neardup.signatures(make_docs(list(enumerate(texts))), idf), "bands")
+    # Their similarity is 0.81.
+    assert sum(not set(bands[i]) & set(bands[i + 1]) for i in range(0, 600, 2)) <= 6
+
+
 # Lines
 
 

@@ -4,9 +4,7 @@ A text is the weighted set of its runs of five words in lower case, a shorter te
 A weight is the number of times times an inverse document frequency between 1 and ``RARE_GAIN``: full for
 runs in at most one of ``RARE`` documents and falling with the logarithm of the share above that. Document
 frequencies are those of 2^20 hash buckets, so they are counted over all texts and have a fixed size. The narrow range keeps copies in a
-large group alike, whose common runs are frequent only because there are so many copies. Samples are drawn with weights that
-fall faster, with the square of the frequency's logarithm down to ``LEAST_DRAWN``, so that texts with no more than a frequent
-passage in common seldom meet. Rare runs, which is all that small groups have, keep their full weight.
+large group alike, whose common runs are frequent only because there are so many copies. Samples are drawn with the same weights.
 
 ``BANDS`` bands of ``ROWS`` samples each bring together texts with a band in common; two texts of
 similarity 0.8 miss each other in all bands with a probability of 0.002, of 0.9 below 1e-5. Weighted Jaccard
@@ -33,7 +31,6 @@ SIMILARITY = 0.8
 BANDS, ROWS = 12, 4
 LEADERS = 32
 RARE, RARE_GAIN = 200, 1.25
-LEAST_DRAWN = 0.3
 _BUCKETS = 1 << 20
 _STEPS = 1 << 16  # values of each random figure
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -73,10 +70,6 @@ def idf_by_bucket(docs: DataFrame) -> np.ndarray:
     return (1 + (RARE_GAIN - 1) * part).astype(np.float32)
 
 
-def drawing_weight(idf: np.ndarray) -> np.ndarray:
-    return np.maximum(((idf - 1) / (RARE_GAIN - 1)) ** 2, LEAST_DRAWN)
-
-
 def _gamma_steps() -> np.ndarray:
     """Quantiles of the sum of two unit exponentials, in the middle of ``_STEPS`` equal parts."""
     p = (np.arange(_STEPS) + 0.5) / _STEPS
@@ -146,8 +139,7 @@ def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
             size = np.zeros(batch.num_rows + 1, np.int32)
             keys = np.zeros((0, BANDS), np.uint64)
             if len(some):
-                drawn = times * drawing_weight(shipped.value[_bucket(runs)])
-                keys = band_keys(runs, drawn, np.append(bounds[some], bounds[-1]))
+                keys = band_keys(runs, weights, np.append(bounds[some], bounds[-1]))
                 size[some + 1] = BANDS
             bands = pa.ListArray.from_arrays(pa.array(np.cumsum(size, dtype=np.int32)), pa.array(keys.ravel().view(np.int64)))
             columns = [batch.column("doc_id"), pa.array(t1), pa.array(t2), pa.array(np.diff(total[bounds])), bands]
