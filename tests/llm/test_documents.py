@@ -329,6 +329,28 @@ def test_pairs_of_frequent_runs_meet_as_often_as_others(make_docs):
     assert sum(not set(bands[i]) & set(bands[i + 1]) for i in range(0, 600, 2)) <= 6
 
 
+def test_members_not_compared_with_the_leader_rule_nothing_out(make_docs, monkeypatch):
+    words = [f"w{k}" for k in range(130)]
+    window = lambda a, b: " ".join(words[a : b + 4])
+    # The leader, a text that joins it with one too light to be compared, and one that only the light one is like.
+    spans = {0: (0, 100), 3: (13, 104), 1: (27, 106), 2: (34, 116)}
+    others = [(10 + k, " ".join(f"f{k}x{n}" for n in range(6))) for k in range(9)]
+    docs = make_docs([(i, window(*s)) for i, s in spans.items()] + others)
+
+    columns = np.arange(neardup.BANDS, dtype=np.uint64)
+
+    def bands_by_size(runs, weights, bounds):
+        keys = runs[bounds[:-1], None] + columns
+        for size, bands in {100: [1, 2], 91: [2, 3], 79: [1, 2], 82: [1], 2: [3]}.items():
+            keys[np.diff(bounds) == size, : len(bands)] = bands
+        return keys
+
+    monkeypatch.setattr(neardup, "band_keys", bands_by_size)
+    monkeypatch.setattr(neardup, "RARE", 2)  # all runs weigh alike
+    found = by_id(neardup.near_duplicates(docs), "class_id")
+    assert found == plain_classes(docs) and [found[i] for i in range(4)] == [0, 0, 0, 0]
+
+
 # Lines
 
 

@@ -248,15 +248,16 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
             links = write_shared(links.unionByName(new), "links")
             classes = components(links)
         star = star.select("*", *_ordered("id", "leader")).join(compared, ["a", "b"], "left").drop("a", "b")
-        # Without a comparison the weights bound the similarity.
+        # Without a comparison the weights bound the similarity from above, and nothing does from below.
         star = _classed(_classed(star, classes, "id"), classes, "leader").withColumn("most", F.coalesce("similarity", "most"))
+        star = star.withColumn("least", F.coalesce("similarity", F.lit(0.0)))
         star = write_shared(star.drop("similarity"), "star")
         inside, rest = star.where("id_class = leader_class"), star.where("id_class <> leader_class")
         near = inside.select(
-            "band", "leader", F.col("id").alias("near"), F.col("weight").alias("leader_weight"), F.col("most").alias("near_most")
+            "band", "leader", F.col("id").alias("near"), F.col("weight").alias("leader_weight"), F.col("least").alias("near_least")
         )
         shell = rest.drop("leader_weight").join(near, ["band", "leader"])
-        shell = shell.where(F.col("near_most") <= F.col("most") + (1 - similarity))
+        shell = shell.where(F.col("near_least") <= F.col("most") + (1 - similarity))
         shell = shell.where(ratio >= similarity).select(*_ordered("id", "near")).distinct()
         shell = shell.join(compared, ["a", "b"], "left_anti")
         more = write_shared(_similarities(shell, vectors).where(F.col("similarity") >= similarity).select("a", "b"), "shell")
