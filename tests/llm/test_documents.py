@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tokenwin.llm import decontaminate, lines, lm, mixing, neardup, quality, tokenfile, tokenids, toxicity
+from tokenwin.llm import decontaminate, lines, lm, mixing, neardup, ppm, quality, tokenfile, tokenids, toxicity
 from tokenwin.llm.tables import fold
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -189,6 +189,47 @@ def test_language_model_without_rows(make_docs, odd_docs):
     assert all(r["n_known"] == 0 and r["base_score"] == pytest.approx(0) for r in scored)
 
 
+def plain_code_length(train, text):
+    """Log 10 probability by prediction by partial matching with exclusion, over all contexts of the training texts."""
+    coded = lambda t: b" " * 6 + b"".join(w + b" " for w in (t or "").lower().encode().split()) + b"\n"
+    followers = defaultdict(Counter)
+    for data in map(coded, train):
+        for at in range(6, len(data)):
+            for k in range(7):
+                followers[data[at - k : at]][data[at]] += 1
+
+    def p(context, symbol):
+        own = followers[context]
+        return (2 * own[symbol] - 1) / (2 * own.total())
+
+    def log_p(context, symbol):
+        own = followers.get(context)
+        if own is None:
+            return log_p(context[1:], symbol)
+        if own[symbol]:
+            return math.log10(p(context, symbol))
+        kinds = sum(n > 0 for n in own.values())
+        escape = kinds / (2 * own.total())
+        if not context:
+            return math.log10(escape / (256 - kinds))
+        return math.log10(escape / max(1 - sum(p(context[1:], s) for s, n in own.items() if n), 1e-12)) + log_p(context[1:], symbol)
+
+    data = coded(text)
+    return sum(log_p(data[at - 6 : at], data[at]) for at in range(6, len(data)))
+
+
+@pytest.mark.parametrize("nodes", [1 << 16, 20])
+def test_scores_are_code_lengths_by_all_contexts_and_depend_on_order(make_docs, monkeypatch, nodes):
+    monkeypatch.setattr(ppm, "NODES", nodes)
+    monkeypatch.setattr(ppm, "OFTEN", nodes, raising=False)
+    rng = np.random.default_rng(11)
+    texts = [sentence(rng, 20, "abc") + " the cat sat on the mat" for _ in range(25)] + [None, "é x", "", "mat the on sat cat the", "the cat sat on the mat"]
+    scored = by_id(lm.score_texts(make_docs(list(enumerate(texts))), F.col("doc_id") < 20), "score")
+    for i, text in enumerate(texts):
+        assert scored[i] == pytest.approx(plain_code_length(texts[:20], text), rel=1e-4)
+    assert scored[29] > scored[28] + 1
+
+
 # Mixing
 
 

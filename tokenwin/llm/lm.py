@@ -1,8 +1,6 @@
 """Scores of texts by prediction by partial matching, beside a smoothed unigram base.
 
-Of N tokens learned from, T of them different, one that came n times has n / (N + T) of the
-probability; the T / (N + T) left is the escape to the byte model, which spells any word, and a word
-learned before adds up both.
+The score is the code length of the whole text, byte by byte, so it depends on the order of the words.
 """
 
 from __future__ import annotations
@@ -16,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenwin.llm.ppm import Trie, end_score, train_trie, word_scores
+from tokenwin.llm.ppm import event_keys, train_model
 from tokenwin.llm.textbytes import Words, slices, word_hashes, words_of
 from tokenwin.shared import write_shared
 
@@ -46,6 +44,22 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([text, pa.array(hashes.view(np.int64)), pa.array(n)], ["word", "hash", "n"])
 
 
+def _coded(
+    keys: np.ndarray, bounds: np.ndarray, frequent: np.ndarray, log: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Log probability of the frequent events of each text; its other events, how often each comes, and bounds of the texts."""
+    size = len(bounds) - 1
+    every, code = np.unique(keys, return_inverse=True)
+    place = np.minimum(np.searchsorted(frequent, every), max(len(frequent) - 1, 0))
+    is_often = frequent[place] == every if len(frequent) else np.zeros(len(every), np.bool_)
+    value = np.where(is_often, log[place], 0) if len(frequent) else np.zeros(len(every))
+    rows = np.repeat(np.arange(size), np.diff(bounds))
+    rare = ~is_often[code]
+    pairs, n = np.unique(rows[rare] * len(every) + code[rare], return_counts=True)
+    first = np.searchsorted(pairs // max(len(every), 1), np.arange(size + 1)).astype(np.int32)
+    return np.bincount(rows, value[code], minlength=size), every[pairs % max(len(every), 1)], n.astype(np.int32), first
+
+
 def count_words(docs: DataFrame) -> DataFrame:
     """``(word, hash, n)`` of all different words of ``text``, in lower case."""
     counted = docs.select("text").mapInArrow(_count_words, "word string, hash bigint, n bigint")
@@ -59,8 +73,8 @@ def score_texts(docs: DataFrame, learn: Column) -> DataFrame:
     case (A-Z) and one end; a NULL text is empty and has the end alone. Without rows to learn from all counts
     are 0. Repeated rows are scored alike, each on its own; an empty table gives no rows.
 
-    Frequent words have their counts in every task. The others of a text are looked up by a shuffle of their
-    hashes, one row for each different word of a text; no text is shuffled.
+    Frequent words and events of the byte model are known to every task. The others of a text are looked up by a
+    shuffle, one row for each different word or event of a text; no text is shuffled.
     """
     spark = docs.sparkSession
     train = docs.where(F.coalesce(learn, F.lit(False)))
@@ -72,22 +86,19 @@ def score_texts(docs: DataFrame, learn: Column) -> DataFrame:
     hashes, counts = often.column("hash").to_numpy().view(np.uint64), often.column("n").to_numpy()
     order = np.argsort(hashes)
     divisor = total + _SMOOTH * (kinds + 1)
-    escape = kinds / (total + kinds) if total else 1.0
-    shipped = spark.sparkContext.broadcast((*train_trie(words, texts), hashes[order], counts[order]))
+    model = train_model(docs, learn, texts)
+    shipped = spark.sparkContext.broadcast((model.keys, model.log, hashes[order], counts[order]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, row = TaskContext.get().partitionId(), 0
-        *parts, known, known_n = shipped.value
-        trie = Trie(*parts)
+        frequent, frequent_log, known, known_n = shipped.value
         for batch in slices(batches):
             words = words_of(batch.column("text"))
             codes, hashes, at = _distinct(words)
             place = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
             is_often = known[place] == hashes if len(known) else np.zeros(len(hashes), np.bool_)
-            spelled = word_scores(words.data, words.start[at], words.end[at], trie)
-            whole = known_n[place] / (total + kinds) if len(known) else np.zeros(len(hashes))
-            model = np.where(is_often, np.log(np.maximum(whole + escape * np.exp(spelled), 1e-300)), 0)
             base = np.log10((known_n[place] + _SMOOTH) / divisor) * is_often if len(known) else np.zeros(len(hashes))
+            log, keys, key_times, key_bounds = _coded(*event_keys(words), frequent, frequent_log)
             rows = words.rows()
             size = batch.num_rows
             per_row = lambda v: np.bincount(rows, v[codes], minlength=size)
@@ -95,36 +106,37 @@ def score_texts(docs: DataFrame, learn: Column) -> DataFrame:
             pairs, n = np.unique(rows[rare] * len(hashes) + codes[rare], return_counts=True)
             bounds = np.searchsorted(pairs // max(len(hashes), 1), np.arange(size + 1)).astype(np.int32)
             word = pairs % max(len(hashes), 1)
-            lists = [hashes[word].view(np.int64), n.astype(np.int32), spelled[word].astype(np.float32)]
+            lists = [(bounds, hashes[word].view(np.int64)), (bounds, n.astype(np.int32))]
+            lists += [(key_bounds, keys), (key_bounds, key_times)]
             columns = [
                 batch.column("doc_id"),
                 pa.array((np.int64(task) << 40) + row + np.arange(size)),
                 pa.array(np.diff(words.first) + 1),
                 pa.array(per_row(is_often.astype(float)).astype(np.int64) + (texts > 0)),
                 pa.array(per_row(base) + np.log10((texts + _SMOOTH) / divisor)),
-                pa.array(per_row(model) + np.log(texts / max(total + kinds, 1) + escape * np.exp(end_score(trie)))),
-                *(pa.ListArray.from_arrays(pa.array(bounds), pa.array(v)) for v in lists),
+                pa.array(log),
+                *(pa.ListArray.from_arrays(pa.array(b), pa.array(v)) for b, v in lists),
             ]
             row += size
             yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = """doc_id bigint, row bigint, n_tokens bigint, n_known bigint, base_score double, score double,
-    hashes array<bigint>, times array<int>, spelled array<float>"""
-    names = ["doc_id", "row", "n_tokens", "n_known", "base_score", "score", "hashes", "times", "spelled"]
+    hashes array<bigint>, times array<int>, keys array<bigint>, key_times array<int>"""
+    names = ["doc_id", "row", "n_tokens", "n_known", "base_score", "score", "hashes", "times", "keys", "key_times"]
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     scored = write_shared(rows.mapInArrow(score, schema), "scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("hashes", "times", "spelled")).alias("word"))
-    rare = rare.select("row", F.col("word.hashes").alias("hash"), F.col("word.times").alias("times"), F.col("word.spelled").alias("spelled"))
+    rare = scored.select("row", F.explode(F.arrays_zip("hashes", "times")).alias("word"))
+    rare = rare.select("row", F.col("word.hashes").alias("hash"), F.col("word.times").alias("times"))
     found = rare.join(words.select("hash", "n"), "hash", "left")
     n, log = F.coalesce("n", F.lit(0)), F.log10((F.coalesce("n", F.lit(0)) + _SMOOTH) / divisor)
-    spelled = F.col("spelled").cast("double") + F.lit(float(np.log(escape)))
-    model = F.when(n > 0, F.log(n / F.lit(float(max(total + kinds, 1))) + F.exp(spelled))).otherwise(spelled)
     sums = found.groupBy("row").agg(
-        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known"),
-        F.sum(log * F.col("times")).alias("log"),
-        F.sum(model * F.col("times")).alias("model"),
+        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known"), F.sum(log * F.col("times")).alias("log")
     )
-    return scored.drop("hashes", "times", "spelled").join(sums, "row", "left").select(
+    keys = scored.select("row", F.explode(F.arrays_zip("keys", "key_times")).alias("event"))
+    keys = keys.select("row", F.col("event.keys").alias("key"), F.col("event.key_times").alias("times"))
+    coded = keys.join(model.events, "key").groupBy("row").agg(F.sum(F.col("log") * F.col("times")).alias("model"))
+    out = scored.drop("hashes", "times", "keys", "key_times").join(sums, "row", "left").join(coded, "row", "left")
+    return out.select(
         "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("bigint").alias("train_tokens"),
         (F.col("base_score") + F.coalesce("log", F.lit(0.0))).alias("base_score"),

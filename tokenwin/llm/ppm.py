@@ -1,9 +1,9 @@
-"""Prediction by partial matching over bytes, with contexts kept in a trie of bounded size.
+"""Prediction by partial matching over the bytes of whole texts, with all counted contexts.
 
-A word is coded as its bytes and a blank, a text as its words and an end symbol. A byte's context is
-what precedes it in the word, with the blank before, up to ``ORDER`` bytes. A context's node is kept if the
-context makes up at least one in ``NODES`` of all coded bytes, so an order has at most ``NODES`` nodes whatever
-the size of the corpus, and the suffixes of a node are nodes as well.
+A text is coded as its words, a blank after each, and an end symbol. A byte's context is what precedes it, over
+blanks and words, up to ``ORDER`` bytes. Contexts of any count are kept in a table. Those that make up at least
+one in ``NODES`` of all coded bytes are in a trie as well, and bytes with contexts that make up one in ``OFTEN`` have
+their probabilities in every task; the others are looked up by a shuffle and give the same.
 
 Of N symbols in a context, T of them different, one that came n times has probability
 (2 n - 1) / (2 N), and T / (2 N) is left to escape. A symbol not seen is coded in the next shorter
@@ -17,52 +17,19 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tokenwin.llm.textbytes import Words, slices, words_of
 from tokenwin.shared import write_shared
 
 ORDER = 6
 NODES = 1 << 16
+OFTEN = 1 << 21
 _BLANK, _END = 0x20, 0x0A
 
 
-def _context_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(size, context, symbol, n)`` for contexts of all sizes, from words with counts.
-
-    The bytes of a context are packed into an integer.
-    """
-    for batch in batches:
-        for at in range(0, batch.num_rows, 100_000):
-            part = batch.slice(at, 100_000)
-            words = part.column("word").cast(pa.large_binary())
-            bounds = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
-            size = np.diff(bounds)
-            data = np.frombuffer(words.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
-            # Each word between two blanks: the first is context only, the second is coded.
-            ends = np.cumsum(size + 2)
-            text = np.full(int(ends[-1]), _BLANK, np.uint8)
-            place = np.arange(len(data)) + np.repeat(2 * np.arange(len(size)) + 1, size)
-            text[place] = data
-            depth = np.arange(len(text)) - np.repeat(ends - size - 2, size + 2)
-            weight = np.repeat(part.column("n").to_numpy(), size + 2)
-            context, frames = np.zeros(len(text), np.int64), []
-            for k in range(ORDER + 1):
-                own = depth > 0 if k == 0 else depth >= k
-                if k:
-                    shifted = np.concatenate([np.zeros(k, np.int64), text[:-k].astype(np.int64)]) << (8 * (k - 1))
-                    context = context + np.where(own, shifted, 0)
-                keys = pd.DataFrame({"key": (context[own] << 8) | text[own], "n": weight[own]})
-                sums = keys.groupby("key", sort=False)["n"].sum()
-                key = sums.index.to_numpy()
-                frames.append((np.full(len(key), k, np.int32), key >> 8, (key & 255).astype(np.int32), sums.to_numpy()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(c)) for c in zip(*frames)], ["size", "context", "symbol", "n"]
-            )
-
-
 class Trie(NamedTuple):
     """Nodes in the order of their size; the followers of a node lie together, by symbol."""
 
@@ -75,20 +42,6 @@ class Trie(NamedTuple):
     start: int  # node where a word starts
 
 
-def train_trie(words: DataFrame, texts: int) -> Trie:
-    """Trie from ``words(word, n)``, the counted words of ``texts`` texts.
-
-    Only the counts of kept nodes come to the driver.
-    """
-    counts = words.mapInArrow(_context_counts, "size int, context bigint, symbol int, n bigint")
-    counts = write_shared(counts.groupBy("size", "context", "symbol").agg(F.sum("n").alias("n")), "contexts")
-    coded = words.agg(F.coalesce(F.sum((F.octet_length("word") + 1) * F.col("n")), F.lit(0))).first()[0]
-    totals = counts.groupBy("size", "context").agg(F.sum("n").alias("total")).where(F.col("total") * NODES >= coded)
-    # At most NODES contexts of each size.
-    kept = counts.join(F.broadcast(totals), ["size", "context"]).select("size", "context", "symbol", "n").toArrow()
-    return build_trie(*(kept.column(c).to_numpy() for c in ("size", "context", "symbol", "n")), texts)
-
-
 def build_trie(size: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np.ndarray, texts: int) -> Trie:
     # The end follows where a word may start, and in the empty context; the latter node always exists.
     ends = [(0, 0)] + [(1, _BLANK)] * bool(((size == 1) & (context == _BLANK)).any())
@@ -174,5 +127,142 @@ def word_scores(data: np.ndarray, start: np.ndarray, end: np.ndarray, trie: Trie
     return out
 
 
-def end_score(trie: Trie) -> float:
-    return float(_step(trie, np.array([trie.start]), np.array([_END]))[0][0])
+class Model(NamedTuple):
+    """What each task holds of the model, and the tables of all the rest."""
+
+    keys: np.ndarray  # frequent events in ascending order
+    log: np.ndarray  # and their natural log probabilities
+    events: DataFrame  # (key, log) of all events of the texts
+
+
+def event_keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """An event for each byte of the texts, and the bounds of the texts in them.
+
+    A text is coded as its words, a blank after each, and an end symbol. An event is a byte with the ``ORDER`` before it,
+    which go over blanks; before a text there are ``ORDER`` blanks, which never follow each other within it.
+    """
+    size = words.end - words.start
+    texts = len(words.first) - 1
+    rows = words.rows()
+    coded = np.bincount(rows, size + 1, minlength=texts).astype(np.int64) + 1
+    bounds = np.concatenate([[0], np.cumsum(coded)])
+    ends = np.cumsum(size)
+    take = np.arange(ends[-1] if len(ends) else 0) + np.repeat(words.start - (ends - size), size)
+    # Text r starts after ORDER blanks; a word moves by the blanks and ends before it.
+    moved = np.arange(len(size)) + rows * (1 + ORDER) + ORDER
+    data = np.full(int(bounds[-1]) + ORDER * texts, _BLANK, np.uint8)
+    data[np.arange(len(take)) + np.repeat(moved, size)] = words.data[take]
+    place = np.arange(bounds[-1]) + np.repeat(ORDER * np.arange(1, texts + 1), coded)
+    data[place[bounds[1:] - 1]] = _END
+    keys = np.zeros(len(place), np.int64)
+    for k in range(ORDER + 1):
+        keys |= data[place - k].astype(np.int64) << (8 * k)
+    return keys, bounds
+
+
+def _count_events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        keys, bounds = event_keys(words_of(batch.column("text")))
+        learned = np.repeat(batch.column("learned").to_numpy(zero_copy_only=False).astype(np.bool_), np.diff(bounds))
+        every, n = np.unique(keys, return_counts=True)
+        own, times = np.unique(keys[learned], return_counts=True)
+        train = np.zeros(len(every), np.int64)
+        train[np.searchsorted(every, own)] = times
+        yield pa.RecordBatch.from_arrays([pa.array(every), pa.array(train), pa.array(n)], ["key", "n", "uses"])
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(size, context, symbol, n)`` for contexts of all sizes of learned events."""
+    for batch in batches:
+        key, n = batch.column("key").to_numpy(), batch.column("n").to_numpy()
+        for k in range(ORDER + 1):
+            some, at = np.unique(key & ((np.int64(1) << (8 * k + 8)) - 1), return_inverse=True)
+            sums = np.bincount(at, n, minlength=len(some)).astype(np.int64)
+            columns = [np.full(len(some), k, np.int32), some >> 8, (some & 255).astype(np.int32), sums]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["size", "context", "symbol", "n"])
+
+
+def _low_bytes(column: str | Column, size: int | Column) -> Column:
+    """The last bytes of a context."""
+    column = F.col(column) if isinstance(column, str) else column
+    return F.pmod(column, F.pow(F.lit(256.0), size).cast("bigint"))
+
+
+def train_model(docs: DataFrame, learn: Column, texts: int) -> Model:
+    """Log probability of every event of ``docs(text)``, learned from the ``texts`` rows where ``learn`` holds.
+
+    All counted contexts take part. Those of the trie are in every task; the others are joined, and no context
+    of theirs makes up more than one in ``NODES`` of the bytes learned from.
+    """
+    learned = docs.select("text", F.coalesce(learn, F.lit(False)).alias("learned"))
+    events = learned.mapInArrow(_count_events, "key bigint, n bigint, uses bigint")
+    events = write_shared(events.groupBy("key").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses")), "events")
+    seen, unseen = events.where("n > 0"), events.where("n = 0")
+    coded, uses = events.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("uses"), F.lit(0))).first()
+    counts = seen.select("key", "n").mapInArrow(_contexts, "size int, context bigint, symbol int, n bigint")
+    counts = counts.groupBy("size", "context", "symbol").agg(F.sum("n").alias("n"))
+    node = Window.partitionBy("size", "context")
+    counts = counts.withColumn("total", F.sum("n").over(node)).withColumn("kinds", F.count("*").over(node))
+    counts = write_shared(counts, "contexts")
+    kept = counts.where(F.col("total") * NODES >= coded).select("size", "context", "symbol", "n")
+    # The end has a row of its own in the trie where a word may start and in the empty context.
+    kept = kept.where(~((F.col("symbol") == _END) & (F.col("size") <= 1))).toArrow()
+    size, context, symbol, n = (kept.column(c).to_numpy() for c in ("size", "context", "symbol", "n"))
+    trie = build_trie(size, context, symbol, n, texts)
+    ends = [0] + [1 << 48 | _BLANK] * bool(((size == 1) & (context == _BLANK)).any())
+    nodes = np.unique(np.concatenate([size.astype(np.int64) << 48 | context, np.array(ends, np.int64)]))
+    shipped = docs.sparkSession.sparkContext.broadcast((*trie, nodes))
+
+    p = F.log((2 * F.col("n") - 1) / (2 * F.col("total")))
+    rare = counts.where(F.col("total") * NODES < coded).withColumn("log", p)
+    suffix = counts.select(
+        (F.col("size") + 1).alias("size"), F.col("context").alias("shorter"), "symbol", F.exp(p).alias("p_shorter")
+    )
+    both = rare.withColumn("shorter", _low_bytes("context", F.col("size") - 1)).join(suffix, ["size", "shorter", "symbol"])
+    # What the suffix gives to symbols seen here is excluded after an escape.
+    left = F.greatest(1 - F.sum("p_shorter"), F.lit(1e-12))
+    escape = F.log(F.first("kinds") / (2 * F.first("total")) / left)
+    escapes = both.groupBy("size", "context").agg(escape.alias("escape"))
+
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Events not learned: what the trie gives them, and the longer contexts to ask for."""
+        *parts, nodes = shipped.value
+        trie = Trie(*parts)
+        for batch in batches:
+            key = batch.column("key").to_numpy()
+            symbol, context = key & 255, key >> 8
+            state, longest = np.zeros(len(key), np.int32), np.zeros(len(key), np.int32)
+            for k in range(1, ORDER + 1):
+                wanted = np.int64(k) << 48 | context & ((np.int64(1) << (8 * k)) - 1)
+                at = np.minimum(np.searchsorted(nodes, wanted), len(nodes) - 1)
+                found = nodes[at] == wanted
+                state[found], longest[found] = at[found], k
+            value = _step(trie, state, symbol)[0]
+            for k in range(ORDER + 1):
+                some = np.flatnonzero(longest < k) if k else np.arange(len(key))
+                own = context[some] & ((np.int64(1) << (8 * k)) - 1)
+                base = value[some] if k == 0 else np.zeros(len(some))
+                columns = [key[some], np.full(len(some), k, np.int32), own, symbol[some].astype(np.int32), base]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "size", "context", "symbol", "base"])
+
+    asked = unseen.select("key").mapInArrow(steps, "key bigint, size int, context bigint, symbol int, base double")
+    asked = write_shared(asked, "asked")
+    found = asked.where("size > 0").join(escapes, ["size", "context"])
+    found = found.join(rare.select("size", "context", "symbol", "log"), ["size", "context", "symbol"], "left")
+    # The longest context that knows the symbol decides, after the escapes of longer ones; else the trie does.
+    found = found.select("key", "size", F.lit(0.0).alias("base"), "escape", "log")
+    found = found.unionByName(asked.where("size = 0").select("key", "size", "base", F.lit(0.0).alias("escape"), F.lit(None).cast("double").alias("log")))
+    deciding = F.max(F.when(F.col("log").isNotNull(), F.col("size")))
+    tops = found.groupBy("key").agg(
+        deciding.alias("top"), F.max_by("log", F.when(F.col("log").isNotNull(), F.col("size"))).alias("log"),
+        F.sum("base").alias("base"), F.collect_list(F.struct("size", "escape")).alias("escapes"),
+    )
+    above = F.expr("aggregate(escapes, 0D, (a, e) -> a + if(top is null or e.size > top, e.escape, 0D))")
+    new = tops.select("key", (above + F.coalesce("log", "base")).alias("log"))
+    longest = counts.where(F.col("size") == ORDER)
+    old = longest.select((F.col("context") * 256 + F.col("symbol")).alias("key"), p.alias("log"))
+    events = write_shared(events.select("key", "uses").join(old.unionByName(new), "key"), "logs")
+    often = events.where(F.col("uses") * OFTEN > uses).select("key", "log").toArrow()
+    keys, log = often.column("key").to_numpy(), often.column("log").to_numpy()
+    order = np.argsort(keys)
+    return Model(keys[order], log[order].astype(np.float64), events.select("key", "log"))
