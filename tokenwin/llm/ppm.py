@@ -22,11 +22,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenwin.llm.textbytes import Words, slices, words_of
+from tokenwin.operators.lookup import fits_broadcast
 from tokenwin.shared import write_shared
 
 ORDER = 6
 NODES = 1 << 16
-OFTEN = 1 << 21
+OFTEN = 1 << 22
+_HELD = 1 << 20
 _BLANK, _END = 0x20, 0x0A
 
 
@@ -172,14 +174,25 @@ def _count_events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(size, context, symbol, n)`` for contexts of all sizes of learned events."""
+    """``(size, context, symbol, n, uses)`` for contexts of all sizes of learned events, each once for many events."""
+
+    def counted(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, n, uses = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("key", "n", "uses"))
+        for k in range(ORDER, -1, -1):
+            key, at = np.unique(key & ((np.int64(1) << (8 * k + 8)) - 1), return_inverse=True)
+            n, uses = (np.bincount(at, v, minlength=len(key)).astype(np.int64) for v in (n, uses))
+            columns = [np.full(len(key), k, np.int32), key >> 8, (key & 255).astype(np.int32), n, uses]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["size", "context", "symbol", "n", "uses"])
+
+    held, rows = [], 0
     for batch in batches:
-        key, n = batch.column("key").to_numpy(), batch.column("n").to_numpy()
-        for k in range(ORDER + 1):
-            some, at = np.unique(key & ((np.int64(1) << (8 * k + 8)) - 1), return_inverse=True)
-            sums = np.bincount(at, n, minlength=len(some)).astype(np.int64)
-            columns = [np.full(len(some), k, np.int32), some >> 8, (some & 255).astype(np.int32), sums]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["size", "context", "symbol", "n"])
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= _HELD:
+            yield from counted(held)
+            held, rows = [], 0
+    if rows:
+        yield from counted(held)
 
 
 def _low_bytes(column: str | Column, size: int | Column) -> Column:
@@ -188,6 +201,12 @@ def _low_bytes(column: str | Column, size: int | Column) -> Column:
     return F.pmod(column, F.pow(F.lit(256.0), size).cast("bigint"))
 
 
+def _some(counts: DataFrame, contexts: DataFrame) -> DataFrame:
+    """The counts in the contexts named, which move only if the names do not fit a broadcast."""
+    named = F.broadcast(contexts) if fits_broadcast(contexts, 24) else contexts
+    return counts.join(named, ["size", "context"], "left_semi")
+
+
 def train_model(docs: DataFrame, learn: Column, texts: int) -> Model:
     """Log probability of every event of ``docs(text)``, learned from the ``texts`` rows where ``learn`` holds.
 
@@ -199,8 +218,10 @@ def train_model(docs: DataFrame, learn: Column, texts: int) -> Model:
     events = write_shared(events.groupBy("key").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses")), "events")
     seen, unseen = events.where("n > 0"), events.where("n = 0")
     coded, uses = events.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("uses"), F.lit(0))).first()
-    counts = seen.select("key", "n").mapInArrow(_contexts, "size int, context bigint, symbol int, n bigint")
-    counts = counts.groupBy("size", "context", "symbol").agg(F.sum("n").alias("n"))
+    counts = seen.mapInArrow(_contexts, "size int, context bigint, symbol int, n bigint, uses bigint")
+    # One exchange serves the counts and the totals.
+    counts = counts.repartition("size", "context").groupBy("size", "context", "symbol")
+    counts = counts.agg(F.sum("n").alias("n"), F.sum("uses").alias("uses"))
     node = Window.partitionBy("size", "context")
     counts = counts.withColumn("total", F.sum("n").over(node)).withColumn("kinds", F.count("*").over(node))
     counts = write_shared(counts, "contexts")
@@ -214,22 +235,12 @@ def train_model(docs: DataFrame, learn: Column, texts: int) -> Model:
     shipped = docs.sparkSession.sparkContext.broadcast((*trie, nodes))
 
     p = F.log((2 * F.col("n") - 1) / (2 * F.col("total")))
-    rare = counts.where(F.col("total") * NODES < coded).withColumn("log", p)
-    suffix = counts.select(
-        (F.col("size") + 1).alias("size"), F.col("context").alias("shorter"), "symbol", F.exp(p).alias("p_shorter")
-    )
-    both = rare.withColumn("shorter", _low_bytes("context", F.col("size") - 1)).join(suffix, ["size", "shorter", "symbol"])
-    # What the suffix gives to symbols seen here is excluded after an escape.
-    left = F.greatest(1 - F.sum("p_shorter"), F.lit(1e-12))
-    escape = F.log(F.first("kinds") / (2 * F.first("total")) / left)
-    escapes = both.groupBy("size", "context").agg(escape.alias("escape"))
-
     def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Events not learned: what the trie gives them, and the longer contexts to ask for."""
         *parts, nodes = shipped.value
-        trie = Trie(*parts)
+        trie, names = Trie(*parts), ["key", "uses", "size", "context", "symbol", "base"]
         for batch in batches:
-            key = batch.column("key").to_numpy()
+            key, uses = batch.column("key").to_numpy(), batch.column("uses").to_numpy()
             symbol, context = key & 255, key >> 8
             state, longest = np.zeros(len(key), np.int32), np.zeros(len(key), np.int32)
             for k in range(1, ORDER + 1):
@@ -242,26 +253,39 @@ def train_model(docs: DataFrame, learn: Column, texts: int) -> Model:
                 some = np.flatnonzero(longest < k) if k else np.arange(len(key))
                 own = context[some] & ((np.int64(1) << (8 * k)) - 1)
                 base = value[some] if k == 0 else np.zeros(len(some))
-                columns = [key[some], np.full(len(some), k, np.int32), own, symbol[some].astype(np.int32), base]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "size", "context", "symbol", "base"])
+                columns = [key[some], uses[some], np.full(len(some), k, np.int32), own, symbol[some].astype(np.int32), base]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
-    asked = unseen.select("key").mapInArrow(steps, "key bigint, size int, context bigint, symbol int, base double")
+    asked = unseen.select("key", "uses").mapInArrow(steps, "key bigint, uses bigint, size int, context bigint, symbol int, base double")
     asked = write_shared(asked, "asked")
+    # Of the contexts outside the trie, only those of events not learned are asked for an escape.
+    wanted = write_shared(asked.where("size > 0").select("size", "context").distinct(), "wanted")
+    shorter = wanted.select((F.col("size") - 1).alias("size"), _low_bytes("context", F.col("size") - 1).alias("context")).distinct()
+    rare = write_shared(_some(counts.withColumn("log", p).drop("uses"), wanted), "rare")
+    suffix = _some(counts, write_shared(shorter, "shorter")).select(
+        (F.col("size") + 1).alias("size"), F.col("context").alias("shorter"), "symbol", F.exp(p).alias("p_shorter")
+    )
+    both = rare.withColumn("shorter", _low_bytes("context", F.col("size") - 1)).join(suffix, ["size", "shorter", "symbol"])
+    # What the suffix gives to symbols seen here is excluded after an escape.
+    left = F.greatest(1 - F.sum("p_shorter"), F.lit(1e-12))
+    escape = F.log(F.first("kinds") / (2 * F.first("total")) / left)
+    escapes = both.groupBy("size", "context").agg(escape.alias("escape"))
     found = asked.where("size > 0").join(escapes, ["size", "context"])
     found = found.join(rare.select("size", "context", "symbol", "log"), ["size", "context", "symbol"], "left")
     # The longest context that knows the symbol decides, after the escapes of longer ones; else the trie does.
-    found = found.select("key", "size", F.lit(0.0).alias("base"), "escape", "log")
-    found = found.unionByName(asked.where("size = 0").select("key", "size", "base", F.lit(0.0).alias("escape"), F.lit(None).cast("double").alias("log")))
+    found = found.select("key", "uses", "size", F.lit(0.0).alias("base"), "escape", "log")
+    last = asked.where("size = 0").withColumn("escape", F.lit(0.0)).withColumn("log", F.lit(None).cast("double"))
+    found = found.unionByName(last.select(*found.columns))
     deciding = F.max(F.when(F.col("log").isNotNull(), F.col("size")))
-    tops = found.groupBy("key").agg(
+    tops = found.groupBy("key", "uses").agg(
         deciding.alias("top"), F.max_by("log", F.when(F.col("log").isNotNull(), F.col("size"))).alias("log"),
         F.sum("base").alias("base"), F.collect_list(F.struct("size", "escape")).alias("escapes"),
     )
     above = F.expr("aggregate(escapes, 0D, (a, e) -> a + if(top is null or e.size > top, e.escape, 0D))")
-    new = tops.select("key", (above + F.coalesce("log", "base")).alias("log"))
+    new = tops.select("key", "uses", (above + F.coalesce("log", "base")).alias("log"))
     longest = counts.where(F.col("size") == ORDER)
-    old = longest.select((F.col("context") * 256 + F.col("symbol")).alias("key"), p.alias("log"))
-    events = write_shared(events.select("key", "uses").join(old.unionByName(new), "key"), "logs")
+    old = longest.select((F.col("context") * 256 + F.col("symbol")).alias("key"), "uses", p.alias("log"))
+    events = write_shared(old.unionByName(new), "logs")
     often = events.where(F.col("uses") * OFTEN > uses).select("key", "log").toArrow()
     keys, log = often.column("key").to_numpy(), often.column("log").to_numpy()
     order = np.argsort(keys)
