@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenwin.llm import decontaminate, lines, lm, mixing, neardup, oracle, quality, tokenfile, toxicity, vectors, warc
+from tokenwin.llm import alignment, decontaminate, lines, lm, mixing, neardup, oracle, quality, tokencount, tokenfile, toxicity, vectors, warc
 from tokenwin.llm.tables import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,16 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.md5(F.encode("text", "utf-8")).alias("text_md5"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokencount.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
