@@ -15,7 +15,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_there_is_a_query_for_each_operator():
-    assert {name.split("_")[0] for name in registry.queries()} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in registry.queries()} == {f"op{n}" for n in range(1, 14)}
 
 
 def test_pipeline_stages_in_turn(spark):

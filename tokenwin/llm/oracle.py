@@ -93,4 +93,34 @@ select doc_id, count(*)::int as n_lines, (count(*) filter (drop))::int as n_drop
   md5(coalesce(string_agg(line, chr(10) order by i) filter (not drop), '')) as text_md5
 from marked group by doc_id"""
 
-SQL = {"op1_decontamination": _OP1, "op5_mix": _OP5, "op7_warc": _OP7, "op10_lines": _OP10}
+# Unsigned crc32, bit by bit: a byte joins the register, and eight times -1 shifts it.
+_CRC = """xor(list_reduce(list_concat([4294967295::bigint], flatten(list_transform(range(length({0})),
+  lambda i: list_concat([ascii(substr({0}, i + 1, 1))::bigint], list_transform(range(8), lambda k: -1::bigint))))),
+  lambda c, x: case when x >= 0 then xor(c, x) else xor(c >> 1, (c & 1) * 3988292384) end), 4294967295)"""
+
+_OP11 = f"""
+with own as (
+  select conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} order by turn nulls first, coalesce(role, '')) as w
+  from conversations where conv_id is not null group by conv_id),
+heads as (select conv_id, w, ({_CRC.format("conv_id::varchar")} % 4)::bigint as h from own),
+rebuilt as (
+  select o.conv_id, list_concat(coalesce(b.w[1:o.h], []), o.w[o.h + 1:]) as w
+  from heads o left join own b on b.conv_id = o.conv_id - o.conv_id % 20),
+paths as (select conv_id, d, w[1:d] as p, d = len(w) as ends from (select *, unnest(range(len(w) + 1)) as d from rebuilt)),
+nodes as (
+  select p, d, min(conv_id) as conv_id, count(*) as n_convs,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) as ends_sha256
+  from paths group by p, d),
+kids as (select p[1:d - 1] as p, count(*) as n_children from nodes where d > 0 group by 1),
+marked as (
+  select n.*, coalesce(k.n_children, 0) as n_children,
+    case when d = 0 then 0 else (n_convs - 1) * len(regexp_extract_all(n.p[d].t, '[^\\x20\\x09-\\x0D]+')) end as saved
+  from nodes n left join kids k using (p)),
+below as (
+  select p[1:up] as p, sum((n_children = 0)::int) as n_leaves, sum(saved) as saved_tokens
+  from (select *, unnest(range(d + 1)) as up from marked) group by 1)
+select m.conv_id, m.d as depth, a.conv_id as parent_conv_id, m.n_convs, m.n_children,
+  b.n_leaves::bigint as n_leaves, b.saved_tokens::bigint as saved_tokens, m.ends_sha256
+from marked m join below b on b.p = m.p left join nodes a on m.d > 0 and a.p = m.p[1:m.d - 1]"""
+
+SQL = {"op1_decontamination": _OP1, "op5_mix": _OP5, "op7_warc": _OP7, "op10_lines": _OP10, "op11_prefix_tree": _OP11}

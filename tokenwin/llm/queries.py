@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenwin.llm import alignment, decontaminate, lines, lm, mixing, neardup, oracle, quality, tokencount, tokenfile, toxicity, vectors, warc
+from tokenwin.llm import alignment, decontaminate, lines, lm, mixing, neardup, oracle, prefixes, quality, tokencount, tokenfile, toxicity, vectors, warc
 from tokenwin.llm.tables import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,12 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.md5(F.encode("text", "utf-8")).alias("text_md5"))
 
 
+def op11_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefixes.conversation_turns(table(spark, sf_dir, "conversations"))
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    return prefixes.prefix_tree(*prefixes.rebuild(turns, F.col("conv_id") - F.col("conv_id") % 20, head))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
