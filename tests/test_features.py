@@ -5,7 +5,7 @@ from rules import number_tokens, slice_windows
 from test_windows import sequences, tokens
 
 from tokenwin.functions.positions import position_matrix
-from tokenwin.operators import features, lookup, vocab
+from tokenwin.operators import features, lookup, vocab, windows
 from tokenwin.operators.evaluate import matrix
 
 VOCAB = [(10, 0), (20, 1), (30, 2)]
@@ -121,3 +121,17 @@ def test_position_join_needs_no_shuffle(spark, small):
     plan = features.add_positions(cells, 2, 4)
     assert "Exchange hashpartitioning" not in plan._jdf.queryExecution().executedPlan().toString()
     assert plan.select(F.size("x")).first()[0] == 2
+
+
+def test_window_vectors_travel_as_tokens(spark):
+    """The exchange on the way to windows of vectors holds tokens alone."""
+    rows = spark.range(300).select(F.lit(0).alias("seq_id"), F.col("id").alias("pos"), (F.col("id") % 7).alias("token"))
+    names = vocab.build_vocab(windows.with_length(rows), 4, 2)
+    emb = names.select("idx", F.array(F.col("idx").cast("float"), F.lit(2.0).cast("float")).alias("vec"))
+    found = features.window_vectors(rows, names, emb, 2, 4, 2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "block" in line]
+    assert len(exchanges) == 1
+    cells = features.add_positions(features.embed_tokens(windows.with_length(rows), names, emb, 2, 4, 2), 2, 4)
+    want = cells.groupBy("seq_id", "k").agg(F.sort_array(F.collect_list(F.struct("t", "x"))).alias("r")).select("seq_id", "k", F.col("r.x").alias("rows"))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))

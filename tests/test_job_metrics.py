@@ -5,8 +5,8 @@ import sys
 import textwrap
 
 import pytest
-from conftest import ROOT
 from pyspark.sql import functions as F
+from rules import ROOT
 
 from tokenwin.operators import job_metrics
 from tokenwin.operators.training import EPOCH_LOG

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from rules import slice_windows
 
-from tokenwin.operators import windows
+from tokenwin.operators import features, vocab, windows
 from tokenwin.sources.tokens import tokens_from_arrays
 
 # Window and stride: overlapping, touching, with gaps, and longer than a block.
@@ -104,3 +104,19 @@ def test_blocks_are_bounded(spark):
     sizes = windows.token_blocks(long, 64, 32).agg(F.max(F.size("values")), F.count("*")).first()
     assert sizes[0] <= windows.BLOCK_SPAN + 65
     assert sizes[1] >= 24
+
+
+def test_partitions_follow_measured_rows_through_joins(spark, monkeypatch):
+    """Joins that repeat no token change the number of partitions by nothing."""
+    monkeypatch.setattr(windows, "BLOCK_TOKENS", 100)
+    rows = tokens(spark, {0: list(range(3000)), 1: list(range(500))})
+    names = vocab.build_vocab(windows.with_length(rows), 8, 4)
+    emb = names.select("idx", F.array(F.lit(1.0).cast("float"), F.lit(2.0).cast("float")).alias("vec"))
+    want = 35
+    assert windows.block_partitions(rows) == want
+    found = vocab.lookup_index(rows, names)
+    assert windows.block_partitions(found) == want
+    assert windows.block_partitions(vocab.indexed_tokens(rows, names)) == want
+    assert windows.block_partitions(features.embed_sequence(found.drop("idx"), names, emb, 2)) == want
+    pairs = windows.window_pairs(vocab.indexed_tokens(rows, names), 8, 4)
+    assert pairs.rdd.getNumPartitions() == want

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenwin.operators.lookup import fits_broadcast
-from tokenwin.operators.vocab import UNKNOWN, lookup_index
+from tokenwin.operators.vocab import UNKNOWN, indexed_tokens
 from tokenwin.operators.windows import window_pairs
 
 # Skip-gram keeps two float vectors per token on the driver and in each task.
@@ -42,8 +42,7 @@ def encoded_windows(tokens: DataFrame, vocab: DataFrame, w: int, s: int) -> Data
 
     Tokens are encoded before windows repeat them, and none drops out, so that places stay as they are.
     """
-    indexed = lookup_index(tokens.select("seq_id", "pos", "token"), vocab)
-    return window_pairs(indexed.select("seq_id", "pos", F.col("idx").alias("token")), w, s)
+    return window_pairs(indexed_tokens(tokens, vocab), w, s)
 
 
 def skip_gram(windows: DataFrame, vocab: DataFrame, w: int, size: int, seed: int, epochs: int, parts: int) -> DataFrame:

@@ -16,6 +16,7 @@ from tokenwin.functions import vectors
 from tokenwin.functions.positions import position_matrix, positional_encoding
 from tokenwin.operators.lookup import lookup
 from tokenwin.operators.windows import token_blocks, window_cells, window_targets, windows_per_block
+from tokenwin.shared import same_rows
 
 # Size of one Arrow batch of examples that a task hands back.
 _BATCH_BYTES = 32 << 20
@@ -39,7 +40,7 @@ def _attach(rows: DataFrame, vocab: DataFrame, emb: DataFrame, width: int, sprea
     """Add ``vec``, a zero vector for an unknown token."""
     table = token_vectors(vocab, emb).select("token", "vec")
     found = lookup(rows, table, "token", spread=spread, row_bytes=64 + 4 * width, counted=vocab)
-    return found.select(*rows.columns, F.coalesce("vec", vectors.zeros(width)).alias("vec"))
+    return same_rows(found.select(*rows.columns, F.coalesce("vec", vectors.zeros(width)).alias("vec")), rows)
 
 
 def embed_sequence(tokens: DataFrame, vocab: DataFrame, emb: DataFrame, width: int) -> DataFrame:
@@ -108,6 +109,21 @@ def vector_blocks(
     )
 
 
+def window_vectors(tokens: DataFrame, vocab: DataFrame, emb: DataFrame, width: int, w: int, s: int) -> DataFrame:
+    """``(seq_id, k, rows ARRAY<ARRAY<DOUBLE>>)``: the sums of token and position vectors at the input places.
+
+    The blocks' tokens are shuffled, not their vectors: a window cuts its rows out of its block, where the lookup
+    put them.
+    """
+    per_block = windows_per_block(w, s)
+    places = F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in position_matrix(w, width)])
+    numbers = F.sequence(F.lit(0), F.expr(f"least({per_block}, (size(flat) div {width} - {w + 1}) div {s} + 1) - 1").cast("int"))
+    cut = vector_blocks(tokens, vocab, emb, width, w, s).where(F.size("flat") >= (w + 1) * width)
+    rows = cut.select("seq_id", "block", "flat", F.explode(numbers).alias("_i"))
+    vec = F.transform(places, lambda p, t: vectors.add(F.slice("flat", (F.col("_i") * s + t) * width + 1, width), p))
+    return rows.select("seq_id", (F.col("block") * per_block + F.col("_i")).alias("k"), vec.alias("rows"))
+
+
 def training_examples(
     tokens: DataFrame,
     vocab: DataFrame,

@@ -8,7 +8,7 @@ import operator
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tokenwin.shared import byte_count, remember_count, row_count, write_shared
+from tokenwin.shared import byte_count, remember_count, row_count, same_rows, write_shared
 
 # A table is broadcast only when its measured bytes, or its rows times a stated width, stay below this.
 BROADCAST_BYTES = 64 << 20
@@ -74,10 +74,11 @@ def lookup(
 ) -> DataFrame:
     """Join each row to its key in ``table``: broadcast if the table is small, else salted.
 
-    ``counted`` may name a table with as many rows that is cheaper to count.
+    ``counted`` may name a table with as many rows that is cheaper to count. A known number of ``rows`` goes
+    on to the result, which has no more.
     """
     on = [on] if isinstance(on, str) else on
     if fits_broadcast(table if counted is None else counted, row_bytes, max_bytes):
-        return rows.join(F.broadcast(table), on, how)
+        return same_rows(rows.join(F.broadcast(table), on, how), rows)
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return salted_join(rows, table, on, spread, how, partitions)
+    return same_rows(salted_join(rows, table, on, spread, how, partitions), rows)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenwin.operators.lookup import lookup
 from tokenwin.operators.numbering import number_rows
 from tokenwin.operators.windows import target_pairs, window_cells, window_pairs, window_total, with_length
-from tokenwin.shared import write_shared
+from tokenwin.shared import measured_rows, same_rows, write_shared
 
 UNKNOWN = -1
 
@@ -57,7 +57,7 @@ def encode(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
     """Replace ``token`` by its index. Done once per token, before windows repeat it."""
     kept = [c for c in tokens.columns if c not in ("token", "idx")]
     known = lookup(tokens, vocab, "token", spread=["seq_id", "pos"], how="inner", row_bytes=64)
-    return known.select(*kept, F.col("idx").alias("token"))
+    return same_rows(known.select(*kept, F.col("idx").alias("token")), tokens)
 
 
 def encode_windows(tokens: DataFrame, vocab: DataFrame, w: int, s: int) -> DataFrame:
@@ -68,7 +68,7 @@ def encode_windows(tokens: DataFrame, vocab: DataFrame, w: int, s: int) -> DataF
 def lookup_index(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
     """Add ``idx``, -1 for an unknown token."""
     found = lookup(tokens, vocab, "token", spread=["seq_id", "pos"])
-    return found.select(*tokens.columns, F.coalesce("idx", F.lit(UNKNOWN).cast("bigint")).alias("idx"))
+    return same_rows(found.select(*tokens.columns, F.coalesce("idx", F.lit(UNKNOWN).cast("bigint")).alias("idx")), tokens)
 
 
 def decode_index(df: DataFrame, vocab: DataFrame, spread: list[str], idx: str = "idx", token: str = "token") -> DataFrame:
@@ -78,10 +78,16 @@ def decode_index(df: DataFrame, vocab: DataFrame, spread: list[str], idx: str =
     return found.select(*df.columns, F.coalesce(token, F.lit(UNKNOWN)).alias(token))
 
 
+def indexed_tokens(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
+    """``(seq_id, pos, token)`` with the index as the token; none drops out, so that places stay as they are."""
+    measured_rows(tokens, "seq_id")
+    found = lookup_index(tokens, vocab)
+    return same_rows(found.select("seq_id", "pos", F.col("idx").alias("token")), tokens)
+
+
 def index_examples(tokens: DataFrame, vocab: DataFrame, w: int, s: int) -> DataFrame:
     """``(seq_id, k, t, input_idx FLOAT, target_idx FLOAT)``, the target repeated at each place."""
-    found = lookup_index(tokens, vocab)
-    indexed = found.select("seq_id", "pos", F.col("idx").alias("token"))
+    indexed = indexed_tokens(tokens, vocab)
     return target_pairs(window_pairs(indexed, w, s)).select(
         "seq_id",
         "k",

@@ -6,14 +6,16 @@ the target. Only full windows exist. Place ``t`` runs from 0 to ``w``, and ``t =
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tokenwin.operators.lookup import lookup
-from tokenwin.shared import write_shared
+from tokenwin.shared import measured_rows, remember_count, same_rows, write_shared
 
 # Positions that one block covers at least; blocks keep any sequence, however long, off one task.
 BLOCK_SPAN = 2048
+# Tokens that a partition of blocks holds on average, some 24 MB before vectors are attached.
+BLOCK_TOKENS = 1 << 20
 
 
 def window_total(length: str, w: int, s: int) -> Column:
@@ -32,8 +34,10 @@ def with_length(tokens: DataFrame) -> DataFrame:
     ends = tokens.groupBy("seq_id").agg(F.count("*").alias("seq_len"), F.min("pos").alias("_low"), F.max("pos").alias("_high"))
     dense = (F.col("_low") == 0) & (F.col("_high") == F.col("seq_len") - 1)
     length = F.when(dense, F.col("seq_len")).otherwise(F.raise_error(F.lit("positions must count 0, 1, 2, ...")).cast("bigint"))
-    lengths = write_shared(ends.select("seq_id", length.alias("seq_len")), "lengths")
-    return lookup(tokens, lengths, "seq_id", spread=["pos"], how="inner", row_bytes=32)
+    seen = Observation()
+    lengths = write_shared(ends.select("seq_id", length.alias("seq_len")).observe(seen, F.sum("seq_len").alias("tokens")), "lengths")
+    remember_count(tokens, seen.get["tokens"] or 0)
+    return same_rows(lookup(tokens, lengths, "seq_id", spread=["pos"], how="inner", row_bytes=32), tokens)
 
 
 def window_count(tokens: DataFrame, w: int, s: int) -> DataFrame:
@@ -72,10 +76,12 @@ def windows_per_block(w: int, s: int) -> int:
 
 
 def block_partitions(tokens: DataFrame) -> int:
-    """As many as the session sets, or one for each 32 MB that the tokens are estimated to have."""
-    size = int(tokens._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    # Without statistics the estimate is the largest number there is.
-    pieces = size // (32 << 20) if size < 1 << 60 else 0
+    """As many as the session sets, or one for each ``BLOCK_TOKENS`` rows.
+
+    Rows are measured and carried along with the tokens, since the optimizer's estimate of a join is the
+    product of its sides. Tokens of unknown number are counted once.
+    """
+    pieces = -(-measured_rows(tokens, "seq_id") // BLOCK_TOKENS)
     return max(int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions")), pieces)
 
 
@@ -85,7 +91,7 @@ def token_blocks(tokens: DataFrame, w: int, s: int, partitions: int | None = Non
     This is the only shuffle on the way to windows. A block has a bounded length, so one endless
     sequence spreads over all tasks. The number of partitions is set, as the rows are small here
     but the stages after it make many times more data of them than adaptive sizing expects; it grows
-    with the optimizer's estimate of the tokens' size. A gap within a block raises an error.
+    with the measured number of tokens. A gap within a block raises an error.
     """
     n = partitions or block_partitions(tokens)
     per_block = windows_per_block(w, s)

@@ -323,11 +323,8 @@ def q_position_aware(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_channel_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens, names, emb, width = _embedding_inputs(spark, sf_dir)
-    cells = features.embed_tokens(tokens, names, emb, width, WINDOW, STRIDE)
-    added = features.add_positions(cells, width, WINDOW)
-    rows = added.groupBy("seq_id", "k").agg(F.sort_array(F.collect_list(F.struct("t", "x"))).alias("rows"))
-    flat = features.channel_first(F.col("rows.x"), width)
-    return rows.select("seq_id", "k", flat.alias("flat")).select(
+    windowed = features.window_vectors(tokens, names, emb, width, WINDOW, STRIDE)
+    return windowed.select("seq_id", "k", features.channel_first("rows", width).alias("flat")).select(
         "seq_id", "k", F.size("flat").alias("cells"), checksum("flat", width * WINDOW).alias("flat_sum")
     )
 

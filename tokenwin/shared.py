@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _written: list[str] = []
+_named: list[str] = []
 _row_counts: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
 _byte_counts: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
 
@@ -56,6 +57,19 @@ def write_shared(df: DataFrame, label: str, partition_by: list[str] | None = Non
     return table
 
 
+def write_bucketed(df: DataFrame, label: str, folders: list[str], buckets: int, by: str) -> DataFrame:
+    """Write ``df`` once in folders and in buckets by an integer column; grouping by it reads a bucket a task.
+
+    The table is known to the session's catalog under a fresh name until ``release_tables``.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    name = f"tokenwin_{label}_{uuid.uuid4().hex}"
+    df.write.partitionBy(*folders).bucketBy(buckets, by).option("path", path).saveAsTable(name, format="parquet")
+    _named.append(name)
+    return spark.table(name)
+
+
 def row_count(df: DataFrame) -> int | None:
     """Rows of a table that ``write_shared`` returned; None for any other."""
     return _row_counts.get(df)
@@ -65,6 +79,20 @@ def remember_count(df: DataFrame, rows: int) -> None:
     _row_counts[df] = rows
 
 
+def same_rows(df: DataFrame, source: DataFrame) -> DataFrame:
+    """``df``, which has as many rows as ``source`` or fewer, with the count that is known of ``source``."""
+    if source in _row_counts:
+        _row_counts[df] = _row_counts[source]
+    return df
+
+
+def measured_rows(df: DataFrame, column: str) -> int:
+    """The rows of ``df`` as remembered, else counted over one column and then remembered."""
+    if df not in _row_counts:
+        _row_counts[df] = df.select(column).count()
+    return _row_counts[df]
+
+
 def byte_count(df: DataFrame) -> int | None:
     """Bytes of the values of a table that ``write_shared`` returned; None for any other."""
     return _byte_counts.get(df)
@@ -72,6 +100,8 @@ def byte_count(df: DataFrame) -> int | None:
 
 def release_tables(spark: SparkSession) -> None:
     """Delete the tables that this process has written with ``write_shared``."""
+    while _named:
+        spark.sql(f"DROP TABLE IF EXISTS {_named.pop()}")
     while _written:
         path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
