@@ -175,7 +175,7 @@ def test_rare_words_give_the_same_by_shuffle(spark, make_docs, monkeypatch):
     rng = np.random.default_rng(6)
     docs = make_docs([(i, sentence(rng, 30, "ab")) for i in range(20)])
     near = {r["doc_id"]: r for r in lm.score_texts(docs, F.col("doc_id") < 15).collect()}
-    monkeypatch.setattr(lm, "OFTEN", 8)
+    monkeypatch.setattr(lm, "HELD", 8)
     for r in lm.score_texts(docs, F.col("doc_id") < 15).collect():
         assert r["n_known"] == near[r["doc_id"]]["n_known"]
         assert r["base_score"] == pytest.approx(near[r["doc_id"]]["base_score"])
@@ -218,10 +218,10 @@ def plain_code_length(train, text):
     return sum(log_p(data[at - 6 : at], data[at]) for at in range(6, len(data)))
 
 
-@pytest.mark.parametrize("nodes", [1 << 16, 20])
-def test_scores_are_code_lengths_by_all_contexts_and_depend_on_order(make_docs, monkeypatch, nodes):
-    monkeypatch.setattr(ppm, "NODES", nodes)
-    monkeypatch.setattr(ppm, "OFTEN", nodes, raising=False)
+@pytest.mark.parametrize("held", [1 << 20, 50])
+def test_scores_are_code_lengths_by_all_contexts_and_depend_on_order(make_docs, monkeypatch, held):
+    monkeypatch.setattr(ppm, "HELD", held)
+    monkeypatch.setattr(ppm, "RANGE", held)
     rng = np.random.default_rng(11)
     texts = [sentence(rng, 20, "abc") + " the cat sat on the mat" for _ in range(25)] + [None, "é x", "", "mat the on sat cat the", "the cat sat on the mat"]
     scored = by_id(lm.score_texts(make_docs(list(enumerate(texts))), F.col("doc_id") < 20), "score")

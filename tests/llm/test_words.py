@@ -5,10 +5,12 @@ import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tokenwin.llm import huffman, ppm
 from tokenwin.llm.tables import sum_vectors
 from tokenwin.llm.textbytes import ngram_hashes, slices, word_hashes, words_of
+from tokenwin.shared import write_shared
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -89,21 +91,26 @@ def test_huffman_is_optimal_without_a_limit_in_force():
     assert huffman.code_lengths(np.array([0, 7, 0])).tolist() == [0, 1, 0]
 
 
-def test_trie_probabilities_add_up_and_follow_the_counts():
-    rows = [(0, 0, 97, 4), (0, 0, 98, 2), (0, 0, 32, 3), (1, 32, 97, 3), (1, 97, 98, 2), (1, 97, 32, 1), (2, 32 << 8 | 97, 98, 3)]
-    trie = ppm.build_trie(*(np.array(c) for c in zip(*rows)), 2)
-    symbols = np.arange(256)
-    for node in range(len(trie.suffix)):
-        value, _ = ppm._step(trie, np.full(256, node, np.int32), symbols)
-        assert np.exp(value).sum() == pytest.approx(1, abs=1e-4)
-    # In the context of a blank: three times a and two ends.
-    value, _ = ppm._step(trie, np.array([trie.start], np.int32), np.array([97]))
-    assert np.exp(value[0]) == pytest.approx((2 * 3 - 1) / (2 * 5), rel=1e-5)
-
-
-def test_words_are_scored_as_their_steps():
-    empty = [np.zeros(0, np.int64)] * 4
-    trie = ppm.build_trie(*empty, 0)
-    words = words_of(pa.array(["ab c" + "d" * 300]))
-    scores = ppm.word_scores(words.data, words.start, words.end, trie)
-    assert len(scores) == 2 and scores[1] < scores[0] < 0
+def test_probabilities_add_up_and_follow_the_counts():
+    """Events of one range, all symbols asked in some contexts: seen ones, escapes, and contexts never seen."""
+    order, blank = ppm.ORDER, 32
+    rng = np.random.default_rng(3)
+    contexts = [int.from_bytes(bytes(rng.choice([97, 98, 32], order).tolist()), "big") for _ in range(12)] + [int.from_bytes(b"zzzzzz", "big")]
+    counts = {(c, s): int(rng.integers(1, 5)) for c in contexts[:10] for s in rng.choice([97, 98, blank, 10], 2).tolist()}
+    keys = np.array([c << 8 | s for c in contexts for s in range(256)])
+    n = np.array([counts.get((c, s), 0) for c in contexts for s in range(256)])
+    columns = [np.full(len(keys), -1), keys, np.zeros(len(keys), int), n, np.ones(len(keys), int)]
+    out = ppm._log_probabilities(pa.table([pa.array(c) for c in columns], ["size", "key", "symbol", "n", "uses"]))
+    p = np.exp(out.column("log").to_numpy()).reshape(len(contexts), 256)
+    assert p.sum(axis=1) == pytest.approx(1, abs=1e-6)
+    for (c, s), times in counts.items():
+        total = sum(v for (other, _), v in counts.items() if other == c)
+        assert p[contexts.index(c), s] == pytest.approx((2 * times - 1) / (2 * total))
+
+
+def test_the_most_used_rows_are_held(spark):
+    uses = write_shared(spark.range(1, 2001).select(F.col("id").alias("uses")), "uses")
+    some, complete = ppm.most_used(uses, "uses", 300)
+    kept = [r["uses"] for r in some.collect()]
+    assert not complete and 200 < len(kept) <= 300 and min(kept) == 2001 - len(kept)
+    assert ppm.most_used(uses, "uses", 2000)[1]

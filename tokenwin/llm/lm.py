@@ -14,12 +14,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenwin.llm.ppm import event_keys, train_model
+from tokenwin.llm.ppm import event_keys, most_used, train_model
 from tokenwin.llm.textbytes import Words, slices, word_hashes, words_of
 from tokenwin.shared import write_shared
 
-# A word with at least one in so many of all tokens is known to each task; there are no more than that.
-OFTEN = 1 << 20
+# Words that tasks hold with their counts, 16 bytes each; the others are joined.
+HELD = 1 << 21
 _SMOOTH = 0.1
 
 
@@ -49,12 +49,12 @@ def _coded(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Log probability of the frequent events of each text; its other events, how often each comes, and bounds of the texts."""
     size = len(bounds) - 1
-    every, code = np.unique(keys, return_inverse=True)
+    code, every = pd.factorize(keys)
     place = np.minimum(np.searchsorted(frequent, every), max(len(frequent) - 1, 0))
     is_often = frequent[place] == every if len(frequent) else np.zeros(len(every), np.bool_)
     value = np.where(is_often, log[place], 0) if len(frequent) else np.zeros(len(every))
     rows = np.repeat(np.arange(size), np.diff(bounds))
-    rare = ~is_often[code]
+    rare = np.flatnonzero(~is_often[code])
     pairs, n = np.unique(rows[rare] * len(every) + code[rare], return_counts=True)
     first = np.searchsorted(pairs // max(len(every), 1), np.arange(size + 1)).astype(np.int32)
     return np.bincount(rows, value[code], minlength=size), every[pairs % max(len(every), 1)], n.astype(np.int32), first
@@ -82,11 +82,13 @@ def score_texts(docs: DataFrame, learn: Column) -> DataFrame:
     texts = train.count()
     kinds, tokens = words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     total, kinds = tokens + texts, kinds + (texts > 0)
-    often = words.where(F.col("n") * OFTEN > tokens).select("hash", "n").toArrow()
-    hashes, counts = often.column("hash").to_numpy().view(np.uint64), often.column("n").to_numpy()
+    often, all_words = most_used(words, "n", HELD)
+    table = often.select("hash", "n").toArrow()
+    hashes, counts = table.column("hash").to_numpy().view(np.uint64), table.column("n").to_numpy()
     order = np.argsort(hashes)
     divisor = total + _SMOOTH * (kinds + 1)
-    model = train_model(docs, learn, texts)
+    model = train_model(docs, learn)
+    all_events = model.events is None
     shipped = spark.sparkContext.broadcast((model.keys, model.log, hashes[order], counts[order]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,12 +99,15 @@ def score_texts(docs: DataFrame, learn: Column) -> DataFrame:
             codes, hashes, at = _distinct(words)
             place = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
             is_often = known[place] == hashes if len(known) else np.zeros(len(hashes), np.bool_)
-            base = np.log10((known_n[place] + _SMOOTH) / divisor) * is_often if len(known) else np.zeros(len(hashes))
+            n_held = np.where(is_often, known_n[place], 0) if len(known) else np.zeros(len(hashes))
+            # Where all words are held, others have no count.
+            settled = is_often | all_words
+            base = np.log10((n_held + _SMOOTH) / divisor) * settled
             log, keys, key_times, key_bounds = _coded(*event_keys(words), frequent, frequent_log)
             rows = words.rows()
             size = batch.num_rows
             per_row = lambda v: np.bincount(rows, v[codes], minlength=size)
-            rare = ~is_often[codes]
+            rare = np.flatnonzero(~settled[codes])
             pairs, n = np.unique(rows[rare] * len(hashes) + codes[rare], return_counts=True)
             bounds = np.searchsorted(pairs // max(len(hashes), 1), np.arange(size + 1)).astype(np.int32)
             word = pairs % max(len(hashes), 1)
@@ -127,6 +132,8 @@ def score_texts(docs: DataFrame, learn: Column) -> DataFrame:
     scored = write_shared(rows.mapInArrow(score, schema), "scored")
     rare = scored.select("row", F.explode(F.arrays_zip("hashes", "times")).alias("word"))
     rare = rare.select("row", F.col("word.hashes").alias("hash"), F.col("word.times").alias("times"))
+    if all_words and all_events:
+        return _result(scored, total)
     found = rare.join(words.select("hash", "n"), "hash", "left")
     n, log = F.coalesce("n", F.lit(0)), F.log10((F.coalesce("n", F.lit(0)) + _SMOOTH) / divisor)
     sums = found.groupBy("row").agg(
@@ -134,11 +141,16 @@ def score_texts(docs: DataFrame, learn: Column) -> DataFrame:
     )
     keys = scored.select("row", F.explode(F.arrays_zip("keys", "key_times")).alias("event"))
     keys = keys.select("row", F.col("event.keys").alias("key"), F.col("event.key_times").alias("times"))
-    coded = keys.join(model.events, "key").groupBy("row").agg(F.sum(F.col("log") * F.col("times")).alias("model"))
-    out = scored.drop("hashes", "times", "keys", "key_times").join(sums, "row", "left").join(coded, "row", "left")
-    return out.select(
-        "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("bigint").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("log", F.lit(0.0))).alias("base_score"),
-        ((F.col("score") + F.coalesce("model", F.lit(0.0))) / F.lit(float(np.log(10)))).alias("score"),
+    out = scored.join(sums, "row", "left")
+    if not all_events:
+        coded = keys.join(model.events, "key").groupBy("row").agg(F.sum(F.col("log") * F.col("times")).alias("model"))
+        out = out.join(coded, "row", "left").withColumn("score", F.col("score") + F.coalesce("model", F.lit(0.0)))
+    known, base = F.coalesce("known", F.lit(0)), F.coalesce("log", F.lit(0.0))
+    return _result(out.withColumns({"n_known": F.col("n_known") + known, "base_score": F.col("base_score") + base}), total)
+
+
+def _result(scored: DataFrame, tokens: int) -> DataFrame:
+    return scored.select(
+        "doc_id", "n_tokens", "n_known", F.lit(tokens).cast("bigint").alias("train_tokens"), "base_score",
+        (F.col("score") / F.lit(float(np.log(10)))).alias("score"),
     )

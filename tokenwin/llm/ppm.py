@@ -1,14 +1,16 @@
 """Prediction by partial matching over the bytes of whole texts, with all counted contexts.
 
 A text is coded as its words, a blank after each, and an end symbol. A byte's context is what precedes it, over
-blanks and words, up to ``ORDER`` bytes. Contexts of any count are kept in a table. Those that make up at least
-one in ``NODES`` of all coded bytes are in a trie as well, and bytes with contexts that make up one in ``OFTEN`` have
-their probabilities in every task; the others are looked up by a shuffle and give the same.
+blanks and words, up to ``ORDER`` bytes; contexts of any count take part. An event is a byte with its context, the
+latest byte first. Events in that order are the leaves of the context trie from left to right: those of a context of any size lie
+together. So the events are dealt out by ranges once, and each task finds all contexts of its range in its own rows. Only
+contexts that reach over the edge of a range, at most one of each size for each edge, are counted beforehand and sent to the tasks on
+both sides.
 
 Of N symbols in a context, T of them different, one that came n times has probability
 (2 n - 1) / (2 N), and T / (2 N) is left to escape. A symbol not seen is coded in the next shorter
 context, whose probabilities are spread over the symbols that the escape has not excluded; in the empty context all
-bytes left are equally likely.
+bytes left are equally likely. Without texts to learn from the empty context has one end.
 """
 
 from __future__ import annotations
@@ -18,130 +20,33 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenwin.llm.textbytes import Words, slices, words_of
-from tokenwin.operators.lookup import fits_broadcast
-from tokenwin.shared import write_shared
+from tokenwin.shared import row_count, write_shared
 
 ORDER = 6
-NODES = 1 << 16
-OFTEN = 1 << 22
-_HELD = 1 << 20
+# Events that tasks hold with their probabilities, 12 bytes each; the others are joined.
+HELD = 1 << 22
+# Events of one range on average.
+RANGE = 1 << 20
 _BLANK, _END = 0x20, 0x0A
 
 
-class Trie(NamedTuple):
-    """Nodes in the order of their size; the followers of a node lie together, by symbol."""
-
-    suffix: np.ndarray  # node of the context without its first byte
-    escape: np.ndarray  # log of what a symbol not seen here costs on its way to the suffix
-    seen: np.ndarray  # a bit for each symbol, in four words
-    place: np.ndarray  # where the followers of each of the four words start
-    log: np.ndarray  # log probability of each follower
-    following: np.ndarray  # node after each follower
-    start: int  # node where a word starts
-
-
-def build_trie(size: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np.ndarray, texts: int) -> Trie:
-    # The end follows where a word may start, and in the empty context; the latter node always exists.
-    ends = [(0, 0)] + [(1, _BLANK)] * bool(((size == 1) & (context == _BLANK)).any())
-    size = np.concatenate([size, [k for k, _ in ends]]).astype(np.int64)
-    context = np.concatenate([context, [c for _, c in ends]]).astype(np.int64)
-    symbol = np.concatenate([symbol, [_END] * len(ends)]).astype(np.int64)
-    n = np.concatenate([n, [max(texts, 1)] * len(ends)])
-    # A byte of text never is the end symbol, which is a blank, so every row has a symbol of its own.
-    key = size << 48 | context
-    order = np.lexsort((symbol, key))
-    key, size, context, symbol, n = key[order], size[order], context[order], symbol[order], n[order].astype(np.float64)
-    nodes, first, node = np.unique(key, return_index=True, return_inverse=True)
-    depth = nodes >> 48
-
-    def find(size: np.ndarray, context: np.ndarray) -> np.ndarray:
-        """Node of each context, or -1."""
-        wanted = size << 48 | context
-        at = np.minimum(np.searchsorted(nodes, wanted), len(nodes) - 1)
-        return np.where(nodes[at] == wanted, at, -1)
-
-    def last(context: np.ndarray, size: np.ndarray) -> np.ndarray:
-        return context & ((np.int64(1) << (8 * size)) - 1)
-
-    shorter = np.maximum(depth - 1, 0)
-    suffix = find(shorter, last(nodes & ((1 << 48) - 1), shorter))
-    total, kinds = np.bincount(node, n), np.bincount(node)
-    p = (2 * n - 1) / (2 * total[node])
-    escape = kinds / (2 * total)
-    # What the suffix gives to symbols seen here is excluded after an escape.
-    rows = node << 8 | symbol
-    same = suffix[node] << 8 | symbol
-    excluded = np.bincount(node, p[np.minimum(np.searchsorted(rows, same), len(rows) - 1)])
-    left = np.where(depth == 0, 256 - kinds, np.maximum(1 - excluded, 1e-12))
-    longest = np.minimum(size + 1, ORDER)
-    following = np.full(len(rows), -1)
-    for shorter in range(ORDER + 1):
-        open_ = np.flatnonzero((following < 0) & (longest >= shorter))
-        own = longest[open_] - shorter
-        following[open_] = find(own, last(context[open_] << 8 | symbol[open_], own))
-    start = int(find(np.array([1]), np.array([_BLANK]))[0])
-    start = max(start, 0)
-    following[symbol == _BLANK] = start
-    seen = np.zeros((len(nodes), 4), np.uint64)
-    np.bitwise_or.at(seen, (node, symbol >> 6), np.uint64(1) << (symbol & 63).astype(np.uint64))
-    before = np.cumsum(np.bitwise_count(seen).astype(np.int64), axis=1)
-    place = first[:, None] + np.concatenate([np.zeros((len(nodes), 1), np.int64), before[:, :3]], axis=1)
-    return Trie(
-        suffix.astype(np.int32), np.log(escape / np.maximum(left, 1e-12)).astype(np.float32), seen, place.astype(np.int32),
-        np.log(p).astype(np.float32), following.astype(np.int32), start,
-    )
-
-
-def _step(trie: Trie, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log probability of a symbol in each state, and the state after it."""
-    value, after = np.zeros(len(state)), np.zeros(len(state), np.int32)
-    lanes, at, s = np.arange(len(state)), state, symbol.astype(np.int64)
-    while len(lanes):
-        word, bit = trie.seen[at, s >> 6], (s & 63).astype(np.uint64)
-        found = (word >> bit) & np.uint64(1) == 1
-        below = np.bitwise_count(word[found] & ((np.uint64(1) << bit[found]) - np.uint64(1)))
-        row = trie.place[at[found], s[found] >> 6] + below
-        value[lanes[found]] += trie.log[row]
-        after[lanes[found]] = trie.following[row]
-        lost = ~found
-        value[lanes[lost]] += trie.escape[at[lost]]
-        lost &= at > 0  # the empty context is node 0
-        lanes, at, s = lanes[lost], trie.suffix[at[lost]], s[lost]
-    return value, after
-
-
-def word_scores(data: np.ndarray, start: np.ndarray, end: np.ndarray, trie: Trie) -> np.ndarray:
-    """Natural log probability of each word and the blank after it, a byte of all words at a time."""
-    order = np.argsort(start - end, kind="stable")
-    at, left = start[order], (end - start)[order]
-    state, total = np.full(len(at), trie.start, np.int32), np.zeros(len(at))
-    for step in range(int(left.max(initial=0))):
-        live = int(np.searchsorted(-left, -step, "left"))
-        value, state[:live] = _step(trie, state[:live], data[at[:live] + step])
-        total[:live] += value
-    total += _step(trie, state, np.full(len(at), _BLANK))[0]
-    out = np.empty(len(at))
-    out[order] = total
-    return out
-
-
 class Model(NamedTuple):
-    """What each task holds of the model, and the tables of all the rest."""
+    """What each task holds of the model, and the table of all the rest, None if there is no rest."""
 
-    keys: np.ndarray  # frequent events in ascending order
+    keys: np.ndarray  # the most used events in ascending order
     log: np.ndarray  # and their natural log probabilities
-    events: DataFrame  # (key, log) of all events of the texts
+    events: DataFrame | None  # (key, log) of all events of the texts
 
 
 def event_keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """An event for each byte of the texts, and the bounds of the texts in them.
 
-    A text is coded as its words, a blank after each, and an end symbol. An event is a byte with the ``ORDER`` before it,
-    which go over blanks; before a text there are ``ORDER`` blanks, which never follow each other within it.
+    Before a text there are ``ORDER`` blanks, which never follow each other within it. The highest byte of a key is the
+    one just before, the lowest the symbol.
     """
     size = words.end - words.start
     texts = len(words.first) - 1
@@ -152,141 +57,137 @@ def event_keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
     take = np.arange(ends[-1] if len(ends) else 0) + np.repeat(words.start - (ends - size), size)
     # Text r starts after ORDER blanks; a word moves by the blanks and ends before it.
     moved = np.arange(len(size)) + rows * (1 + ORDER) + ORDER
-    data = np.full(int(bounds[-1]) + ORDER * texts, _BLANK, np.uint8)
+    data = np.full(int(bounds[-1]) + ORDER * texts + 8, _BLANK, np.uint8)
     data[np.arange(len(take)) + np.repeat(moved, size)] = words.data[take]
     place = np.arange(bounds[-1]) + np.repeat(ORDER * np.arange(1, texts + 1), coded)
     data[place[bounds[1:] - 1]] = _END
-    keys = np.zeros(len(place), np.int64)
-    for k in range(ORDER + 1):
-        keys |= data[place - k].astype(np.int64) << (8 * k)
-    return keys, bounds
+    eight = np.ndarray((len(data) - 7,), "<i8", data, strides=(1,))[place - ORDER]
+    context, symbol = eight & ((np.int64(1) << (8 * ORDER)) - 1), (eight >> (8 * ORDER)) & 255
+    return context << 8 | symbol, bounds
 
 
 def _count_events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         keys, bounds = event_keys(words_of(batch.column("text")))
-        learned = np.repeat(batch.column("learned").to_numpy(zero_copy_only=False).astype(np.bool_), np.diff(bounds))
-        every, n = np.unique(keys, return_counts=True)
-        own, times = np.unique(keys[learned], return_counts=True)
-        train = np.zeros(len(every), np.int64)
-        train[np.searchsorted(every, own)] = times
-        yield pa.RecordBatch.from_arrays([pa.array(every), pa.array(train), pa.array(n)], ["key", "n", "uses"])
-
-
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(size, context, symbol, n, uses)`` for contexts of all sizes of learned events, each once for many events."""
-
-    def counted(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, n, uses = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("key", "n", "uses"))
-        for k in range(ORDER, -1, -1):
-            key, at = np.unique(key & ((np.int64(1) << (8 * k + 8)) - 1), return_inverse=True)
-            n, uses = (np.bincount(at, v, minlength=len(key)).astype(np.int64) for v in (n, uses))
-            columns = [np.full(len(key), k, np.int32), key >> 8, (key & 255).astype(np.int32), n, uses]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["size", "context", "symbol", "n", "uses"])
-
-    held, rows = [], 0
-    for batch in batches:
-        held.append(batch)
-        rows += batch.num_rows
-        if rows >= _HELD:
-            yield from counted(held)
-            held, rows = [], 0
-    if rows:
-        yield from counted(held)
-
+        learned = np.repeat(batch.column("learned").to_numpy(zero_copy_only=False).astype(np.int64), np.diff(bounds))
+        marked, times = np.unique(keys << 1 | learned, return_counts=True)
+        every, at = np.unique(marked >> 1, return_index=True)
+        uses = np.add.reduceat(times, at) if len(at) else times
+        n = np.add.reduceat(times * (marked & 1), at) if len(at) else times
+        yield pa.RecordBatch.from_arrays([pa.array(every), pa.array(n), pa.array(uses)], ["key", "n", "uses"])
 
-def _low_bytes(column: str | Column, size: int | Column) -> Column:
-    """The last bytes of a context."""
-    column = F.col(column) if isinstance(column, str) else column
-    return F.pmod(column, F.pow(F.lit(256.0), size).cast("bigint"))
 
+def _prefix(keys: np.ndarray, size: int) -> np.ndarray:
+    """The last ``size`` bytes before each event, the latest first."""
+    return keys >> (8 * (ORDER - size) + 8)
 
-def _some(counts: DataFrame, contexts: DataFrame) -> DataFrame:
-    """The counts in the contexts named, which move only if the names do not fit a broadcast."""
-    named = F.broadcast(contexts) if fits_broadcast(contexts, 24) else contexts
-    return counts.join(named, ["size", "context"], "left_semi")
 
+def _edge_counts(events: DataFrame, edges: list[np.ndarray]) -> DataFrame:
+    """``(size, key, symbol, n)`` of the contexts that reach over an edge; ``edges`` has them by size."""
 
-def train_model(docs: DataFrame, learn: Column, texts: int) -> Model:
-    """Log probability of every event of ``docs(text)``, learned from the ``texts`` rows where ``learn`` holds.
-
-    All counted contexts take part. Those of the trie are in every task; the others are joined, and no context
-    of theirs makes up more than one in ``NODES`` of the bytes learned from.
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, n = batch.column("key").to_numpy(), batch.column("n").to_numpy()
+            for size, names in enumerate(edges):
+                own = _prefix(keys, size)
+                some = np.isin(own, names) & (n > 0)
+                pairs, at = np.unique(own[some] << 8 | keys[some] & 255, return_inverse=True)
+                sums = np.bincount(at, n[some], len(pairs)).astype(np.int64)
+                columns = [np.full(len(pairs), size, np.int32), pairs >> 8, (pairs & 255).astype(np.int32), sums]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["size", "key", "symbol", "n"])
+
+    counted = events.mapInArrow(count, "size int, key bigint, symbol int, n bigint")
+    return counted.groupBy("size", "key", "symbol").agg(F.sum("n").alias("n"))
+
+
+def _log_probabilities(group: pa.Table) -> pa.Table:
+    """``(key, uses, log)`` of the events of a range, from themselves and the contexts at its edges."""
+    size, key, symbol, n, uses = (group.column(c).to_numpy() for c in ("size", "key", "symbol", "n", "uses"))
+    own = size < 0
+    events, uses, learned = key[own], uses[own], n[own]
+    seen, times = events[learned > 0], learned[learned > 0]
+    levels, shorter = [], None
+    for k in range(ORDER + 1):
+        edge = size == k
+        inner = ~np.isin(_prefix(seen, k), key[edge])
+        pairs = np.concatenate([_prefix(seen[inner], k) << 8 | seen[inner] & 255, key[edge] << 8 | symbol[edge]])
+        pairs, at = np.unique(pairs, return_inverse=True)
+        count = np.bincount(at, np.concatenate([times[inner], n[edge]]), len(pairs))
+        if k == 0 and not len(pairs):
+            pairs, count = np.array([_END]), np.ones(1)
+        names, first = np.unique(pairs >> 8, return_index=True)
+        kinds = np.diff(np.append(first, len(pairs)))
+        total = np.add.reduceat(count, first) if len(first) else count
+        p = (2 * count - 1) / (2 * np.repeat(total, kinds))
+        left = 256.0 - kinds
+        if k and len(pairs):
+            # What the context without its first byte gives to symbols seen here is excluded after an escape.
+            excluded = shorter[1][np.searchsorted(shorter[0], pairs >> 16 << 8 | pairs & 255)]
+            left = 1 - np.add.reduceat(excluded, first)
+        levels.append((names, np.log(kinds / (2 * total) / np.maximum(left, 1e-12)), pairs, np.log(p)))
+        shorter = pairs, p
+    value, open_ = np.zeros(len(events)), np.arange(len(events))
+    for k in range(ORDER, -1, -1):
+        names, escape, pairs, log = levels[k]
+        if not len(names):
+            continue
+        context = _prefix(events[open_], k)
+        wanted = context << 8 | events[open_] & 255
+        at = np.minimum(np.searchsorted(pairs, wanted), len(pairs) - 1)
+        found = pairs[at] == wanted
+        value[open_[found]] += log[at[found]]
+        node = np.minimum(np.searchsorted(names, context), len(names) - 1)
+        escapes = ~found & (names[node] == context)
+        value[open_[escapes]] += escape[node[escapes]]
+        open_ = open_[~found]
+    return pa.table([events, uses, value], ["key", "uses", "log"])
+
+
+def most_used(df: DataFrame, uses: str, held: int) -> tuple[DataFrame, bool]:
+    """Rows of the highest uses, ``held`` at most, and whether these are all rows.
+
+    Uses are compared by steps of a sixteenth of a doubling, so counting the rows by step gives some thousand numbers at most.
     """
+    if row_count(df) <= held:
+        return df, True
+    step = F.floor(F.log2(uses) * 16)
+    rows, cut = 0, None
+    for r in sorted(df.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):
+        rows += r["count"]
+        if rows > held:
+            break
+        cut = r["step"]
+    return df.where(step >= cut if cut is not None else F.lit(False)), False
+
+
+def train_model(docs: DataFrame, learn: Column) -> Model:
+    """Log probability of every event of ``docs(text)``, learned from the rows where ``learn`` holds."""
+    spark = docs.sparkSession
     learned = docs.select("text", F.coalesce(learn, F.lit(False)).alias("learned"))
     events = learned.mapInArrow(_count_events, "key bigint, n bigint, uses bigint")
     events = write_shared(events.groupBy("key").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses")), "events")
-    seen, unseen = events.where("n > 0"), events.where("n = 0")
-    coded, uses = events.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("uses"), F.lit(0))).first()
-    counts = seen.mapInArrow(_contexts, "size int, context bigint, symbol int, n bigint, uses bigint")
-    # One exchange serves the counts and the totals.
-    counts = counts.repartition("size", "context").groupBy("size", "context", "symbol")
-    counts = counts.agg(F.sum("n").alias("n"), F.sum("uses").alias("uses"))
-    node = Window.partitionBy("size", "context")
-    counts = counts.withColumn("total", F.sum("n").over(node)).withColumn("kinds", F.count("*").over(node))
-    counts = write_shared(counts, "contexts")
-    kept = counts.where(F.col("total") * NODES >= coded).select("size", "context", "symbol", "n")
-    # The end has a row of its own in the trie where a word may start and in the empty context.
-    kept = kept.where(~((F.col("symbol") == _END) & (F.col("size") <= 1))).toArrow()
-    size, context, symbol, n = (kept.column(c).to_numpy() for c in ("size", "context", "symbol", "n"))
-    trie = build_trie(size, context, symbol, n, texts)
-    ends = [0] + [1 << 48 | _BLANK] * bool(((size == 1) & (context == _BLANK)).any())
-    nodes = np.unique(np.concatenate([size.astype(np.int64) << 48 | context, np.array(ends, np.int64)]))
-    shipped = docs.sparkSession.sparkContext.broadcast((*trie, nodes))
-
-    p = F.log((2 * F.col("n") - 1) / (2 * F.col("total")))
-    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Events not learned: what the trie gives them, and the longer contexts to ask for."""
-        *parts, nodes = shipped.value
-        trie, names = Trie(*parts), ["key", "uses", "size", "context", "symbol", "base"]
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-row_count(events) // RANGE))
+    found = events.approxQuantile("key", [i / ranges for i in range(1, ranges)], 0.2 / ranges) if row_count(events) else []
+    cuts = np.unique(np.array(found, np.float64).astype(np.int64))
+    # An edge lies between two keys; of each size only the context that holds the cut itself can reach over it.
+    edges = [np.unique(_prefix(cuts, k)) for k in range(ORDER + 1)]
+    needs = {(i + side, k, int(_prefix(c, k))) for i, c in enumerate(cuts) for side in (0, 1) for k in range(ORDER + 1)}
+    # A dozen rows for each range, whatever it holds.
+    needed = F.broadcast(spark.createDataFrame(list(needs), "range int, size int, key bigint"))
+    at_edges = write_shared(_edge_counts(events, edges), "edges").join(needed, ["size", "key"])
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key, uses = batch.column("key").to_numpy(), batch.column("uses").to_numpy()
-            symbol, context = key & 255, key >> 8
-            state, longest = np.zeros(len(key), np.int32), np.zeros(len(key), np.int32)
-            for k in range(1, ORDER + 1):
-                wanted = np.int64(k) << 48 | context & ((np.int64(1) << (8 * k)) - 1)
-                at = np.minimum(np.searchsorted(nodes, wanted), len(nodes) - 1)
-                found = nodes[at] == wanted
-                state[found], longest[found] = at[found], k
-            value = _step(trie, state, symbol)[0]
-            for k in range(ORDER + 1):
-                some = np.flatnonzero(longest < k) if k else np.arange(len(key))
-                own = context[some] & ((np.int64(1) << (8 * k)) - 1)
-                base = value[some] if k == 0 else np.zeros(len(some))
-                columns = [key[some], uses[some], np.full(len(some), k, np.int32), own, symbol[some].astype(np.int32), base]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
-
-    asked = unseen.select("key", "uses").mapInArrow(steps, "key bigint, uses bigint, size int, context bigint, symbol int, base double")
-    asked = write_shared(asked, "asked")
-    # Of the contexts outside the trie, only those of events not learned are asked for an escape.
-    wanted = write_shared(asked.where("size > 0").select("size", "context").distinct(), "wanted")
-    shorter = wanted.select((F.col("size") - 1).alias("size"), _low_bytes("context", F.col("size") - 1).alias("context")).distinct()
-    rare = write_shared(_some(counts.withColumn("log", p).drop("uses"), wanted), "rare")
-    suffix = _some(counts, write_shared(shorter, "shorter")).select(
-        (F.col("size") + 1).alias("size"), F.col("context").alias("shorter"), "symbol", F.exp(p).alias("p_shorter")
-    )
-    both = rare.withColumn("shorter", _low_bytes("context", F.col("size") - 1)).join(suffix, ["size", "shorter", "symbol"])
-    # What the suffix gives to symbols seen here is excluded after an escape.
-    left = F.greatest(1 - F.sum("p_shorter"), F.lit(1e-12))
-    escape = F.log(F.first("kinds") / (2 * F.first("total")) / left)
-    escapes = both.groupBy("size", "context").agg(escape.alias("escape"))
-    found = asked.where("size > 0").join(escapes, ["size", "context"])
-    found = found.join(rare.select("size", "context", "symbol", "log"), ["size", "context", "symbol"], "left")
-    # The longest context that knows the symbol decides, after the escapes of longer ones; else the trie does.
-    found = found.select("key", "uses", "size", F.lit(0.0).alias("base"), "escape", "log")
-    last = asked.where("size = 0").withColumn("escape", F.lit(0.0)).withColumn("log", F.lit(None).cast("double"))
-    found = found.unionByName(last.select(*found.columns))
-    deciding = F.max(F.when(F.col("log").isNotNull(), F.col("size")))
-    tops = found.groupBy("key", "uses").agg(
-        deciding.alias("top"), F.max_by("log", F.when(F.col("log").isNotNull(), F.col("size"))).alias("log"),
-        F.sum("base").alias("base"), F.collect_list(F.struct("size", "escape")).alias("escapes"),
-    )
-    above = F.expr("aggregate(escapes, 0D, (a, e) -> a + if(top is null or e.size > top, e.escape, 0D))")
-    new = tops.select("key", "uses", (above + F.coalesce("log", "base")).alias("log"))
-    longest = counts.where(F.col("size") == ORDER)
-    old = longest.select((F.col("context") * 256 + F.col("symbol")).alias("key"), "uses", p.alias("log"))
-    events = write_shared(old.unionByName(new), "logs")
-    often = events.where(F.col("uses") * OFTEN > uses).select("key", "log").toArrow()
-    keys, log = often.column("key").to_numpy(), often.column("log").to_numpy()
+            of = np.searchsorted(cuts, batch.column("key").to_numpy(), "right").astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(of), *batch.columns], ["range", "key", "n", "uses"])
+
+    placed = events.mapInArrow(place, "range int, key bigint, n bigint, uses bigint")
+    columns = ["range", "size", "key", "symbol", "n", "uses"]
+    placed = placed.withColumns({"size": F.lit(-1), "symbol": F.lit(0)}).select(*columns)
+    whole = placed.unionByName(at_edges.withColumn("uses", F.lit(0).cast("bigint")).select(*columns))
+    logs = write_shared(whole.groupBy("range").applyInArrow(_log_probabilities, "key bigint, uses bigint, log double"), "logs")
+    often, complete = most_used(logs, "uses", HELD)
+    table = often.select("key", F.col("log").cast("float").alias("log")).toArrow()
+    keys, log = table.column("key").to_numpy(), table.column("log").to_numpy()
     order = np.argsort(keys)
-    return Model(keys[order], log[order].astype(np.float64), events.select("key", "log"))
+    return Model(keys[order], log[order], None if complete else logs.select("key", "log"))
