@@ -288,7 +288,7 @@ def test_likelier_documents_come_first(make_docs):
 
 def plain_classes(docs):
     """Components of weighted Jaccard at 0.8 over all pairs, with the operator's weights."""
-    idf = neardup.idf_by_bucket(docs)
+    idf = neardup.idf(neardup.frequencies(docs))
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect() if r["doc_id"] is not None]
     words = neardup.words_of(pa.array([t for _, t in rows], pa.string()))
     runs, times, bounds = neardup._weighted(words)

@@ -8,7 +8,8 @@ large group alike, whose common runs are frequent only because there are so many
 
 ``BANDS`` bands of ``ROWS`` samples each bring together texts with a band in common; two texts of
 similarity 0.8 miss each other in all bands with a probability of 0.002, of 0.9 below 1e-5. Weighted Jaccard
-similarity over all runs decides.
+similarity over all runs decides. Texts of a band are compared with one leader; where that leaves a band in several
+classes, its texts are joined by their rarest runs, which finds every link between two classes.
 """
 
 from __future__ import annotations
@@ -29,7 +30,6 @@ from tokenwin.shared import row_count, write_shared
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 12, 4
-LEADERS = 32
 RARE, RARE_GAIN = 200, 1.25
 _BUCKETS = 1 << 20
 _STEPS = 1 << 16  # values of each random figure
@@ -53,19 +53,23 @@ def _bucket(runs: np.ndarray) -> np.ndarray:
     return (mix(runs ^ _GOLD) >> np.uint64(44)).astype(np.int64)
 
 
-def idf_by_bucket(docs: DataFrame) -> np.ndarray:
-    """Inverse document frequency of each hash bucket, over all rows of ``docs``."""
+def frequencies(docs: DataFrame) -> np.ndarray:
+    """In how many rows of ``docs`` each hash bucket of runs occurs; behind them the number of rows."""
 
     def add(batches: Iterator[pa.RecordBatch], own: np.ndarray) -> None:
         for batch in slices(batches):
-            runs, _, bounds = _weighted(words_of(batch.column("text")))
+            runs, bounds = ngram_hashes(word_hashes(words := words_of(batch.column("text"))), words.first, WORDS, short=True)
             row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
             pairs = np.unique(row * _BUCKETS + _bucket(runs))
             own[:_BUCKETS] += np.bincount(pairs % _BUCKETS, minlength=_BUCKETS)
             own[_BUCKETS] += batch.num_rows
 
-    sums = sum_vectors(docs.select("text"), add, _BUCKETS + 1)
-    share = np.maximum(sums[:_BUCKETS], 1) / max(sums[_BUCKETS], 1)
+    return sum_vectors(docs.select("text"), add, _BUCKETS + 1)
+
+
+def idf(counts: np.ndarray) -> np.ndarray:
+    """Inverse document frequency of each hash bucket."""
+    share = np.maximum(counts[:_BUCKETS], 1) / max(counts[_BUCKETS], 1)
     part = np.clip(-np.log(share) / np.log(RARE), 0, 1)
     return (1 + (RARE_GAIN - 1) * part).astype(np.float32)
 
@@ -124,9 +128,9 @@ def _text_hashes(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
+def signatures(docs: DataFrame, weight: np.ndarray) -> DataFrame:
     """``(doc_id, t1, t2, weight, bands)``: hashes of the words, total weight, band keys (none if empty)."""
-    shipped = docs.sparkSession.sparkContext.broadcast(idf)
+    shipped = docs.sparkSession.sparkContext.broadcast(weight)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -149,9 +153,9 @@ def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
     return rows.mapInArrow(sign, "doc_id bigint, t1 bigint, t2 bigint, weight double, bands array<bigint>")
 
 
-def _vectors(docs: DataFrame, ids: DataFrame, idf: np.ndarray) -> DataFrame:
+def _vectors(docs: DataFrame, ids: DataFrame, weight: np.ndarray) -> DataFrame:
     """``(id, t1, runs, weights)`` of the documents named, as sorted hashes and their weights."""
-    shipped = docs.sparkSession.sparkContext.broadcast(idf)
+    shipped = docs.sparkSession.sparkContext.broadcast(weight)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -193,6 +197,49 @@ def _similarities(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     return joined.select("a", "b", *[n for n, _ in kinds]).mapInArrow(compare, "a bigint, b bigint, similarity double")
 
 
+def prefixes(vectors: DataFrame, counts: np.ndarray, similarity: float) -> DataFrame:
+    """``(run, id, class, weight)``: the rarest runs of each text, those before less than ``similarity`` of its weight is left.
+
+    Two texts of that similarity have as much in common, so the rarest run that they share is among these in both. A run
+    in one text alone is left out.
+    """
+    shipped = vectors.sparkSession.sparkContext.broadcast(counts)
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [[], [], [], []]
+            for key, class_, runs, weights in zip(*(batch.column(c).to_pylist() for c in ("id", "class", "runs", "weights"))):
+                runs, weights = np.frombuffer(runs, np.uint64), np.frombuffer(weights, np.float32).astype(np.float64)
+                often = shipped.value[_bucket(runs)]
+                order = np.lexsort((runs, often))
+                left = np.cumsum(weights[order][::-1])[::-1]
+                # A little more than needed, against rounding.
+                some = order[left >= (similarity - 1e-6) * left[0]]
+                some = some[often[some] > 1]
+                for held, values in zip(columns, (runs[some].view(np.int64), np.full(len(some), key), np.full(len(some), class_), np.full(len(some), left[0]))):
+                    held.append(values)
+            if columns[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["run", "id", "class", "weight"])
+
+    return vectors.select("id", "class", "runs", "weights").mapInArrow(rarest, "run bigint, id bigint, class bigint, weight double")
+
+
+def pairs_between_classes(postings: DataFrame, similarity: float) -> DataFrame:
+    """``(a, b)``: texts of different classes that share a run of ``postings`` and whose weights allow the similarity.
+
+    Nearly all texts of a common run are of one class, and those are not paired with each other: a side of every pair is
+    of another class than the run's largest.
+    """
+    classes = postings.groupBy("run", "class").agg(F.count("*").alias("n"))
+    largest = F.max_by("class", F.struct("n", "class")).alias("largest")
+    several = classes.groupBy("run").agg(largest, F.count("*").alias("kinds")).where("kinds > 1").select("run", "largest")
+    rows = write_shared(postings.join(several, "run"), "postings")
+    left = rows.where("class <> largest").select("run", F.col("id").alias("x"), F.col("class").alias("x_class"), F.col("weight").alias("x_weight"))
+    other = (F.col("x_class") != F.col("class")) & ((F.col("class") == F.col("largest")) | (F.col("x") < F.col("id")))
+    ratio = F.least("weight", "x_weight") / F.greatest("weight", "x_weight")
+    return left.join(rows, "run").where(other & (ratio >= similarity - 1e-6)).select(*_ordered("x", "id")).distinct()
+
+
 def _ordered(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -205,14 +252,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     (in lower case, whatever the blanks) are one node from the start; NULL and empty texts are alike. Rows that share
     an id are one document with the links of all of them. A row without id has no class and is not kept. An empty table gives no rows.
 
-    All texts that share a band could be pairs, but only these are compared: each with the band's leader,
-    the text that shares most bands with others. Those connected to the leader are done with each other. A text that is not may
-    still be linked to one that is; since 1 - similarity is a metric, only to those whose distance from
-    the leader is at least its own less the threshold's. Texts that remain meet again under up to ``LEADERS`` new
-    leaders, until all in the band are connected or have led.
+    All texts that share a band could be pairs, but each is compared with the band's leader only, the text that shares most bands
+    with others, and then again with the leader of those that are in another class. What links connect needs no further
+    comparison. Bands that are still in several classes go through an exact join by rarest runs, which pairs texts of different classes alone.
     """
-    idf = idf_by_bucket(docs)
-    signed = write_shared(signatures(docs, idf), "signatures")
+    counts = frequencies(docs)
+    weight = idf(counts)
+    signed = write_shared(signatures(docs, weight), "signatures")
     known = signed.where("doc_id is not null")
     nodes = known.groupBy("t1", "t2").agg(
         F.min("doc_id").alias("id"), F.first("weight").alias("weight"), F.first("bands").alias("bands")
@@ -224,7 +270,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     degree = shared.groupBy("id").agg(F.sum("n").alias("degree"))
     wanted = write_shared(shared.select("id", "t1").distinct(), "ids")
     members = write_shared(shared.drop("n", "t1").distinct().join(degree, "id"), "members")
-    vectors = _vectors(docs, wanted.select("id").distinct(), idf)
+    vectors = _vectors(docs, wanted.select("id").distinct(), weight)
     vectors = vectors.join(wanted, ["id", "t1"], "left_semi").dropDuplicates(["id", "t1"]).drop("t1")
     vectors = write_shared(vectors, "vectors")
 
@@ -233,47 +279,36 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     links = known.join(links, "doc_id").join(nodes.select("t1", "t2", "id"), ["t1", "t2"])
     links = write_shared(links.select(F.col("doc_id").alias("a"), F.col("id").alias("b")).distinct(), "links")
     classes = components(links)
-    ratio = F.least("weight", "leader_weight") / F.greatest("weight", "leader_weight")
-    led = ["band"]
-    while row_count(members):
-        best = F.max_by(F.struct("id", "weight"), F.struct("degree", -F.col("id"), "weight")).alias("best")
-        leaders = members.groupBy(*led).agg(best)
-        leaders = leaders.select("band", F.col("best.id").alias("leader"), F.col("best.weight").alias("leader_weight"))
-        leaders = write_shared(leaders, "leaders")
-        star = write_shared(members.join(leaders, "band").where("id <> leader").withColumn("most", ratio), "star")
-        pairs = star.where(F.col("most") >= similarity).select(*_ordered("id", "leader")).distinct()
-        compared = write_shared(_similarities(pairs, vectors), "compared")
-        new = write_shared(compared.where(F.col("similarity") >= similarity).select("a", "b"), "new")
+
+    def linked(pairs: DataFrame) -> None:
+        nonlocal links, classes
+        new = write_shared(_similarities(pairs, vectors).where(F.col("similarity") >= similarity).select("a", "b"), "new")
         if row_count(new):
             links = write_shared(links.unionByName(new), "links")
             classes = components(links)
-        star = star.select("*", *_ordered("id", "leader")).join(compared, ["a", "b"], "left").drop("a", "b")
-        # Without a comparison the weights bound the similarity from above, and nothing does from below.
-        star = _classed(_classed(star, classes, "id"), classes, "leader").withColumn("most", F.coalesce("similarity", "most"))
-        star = star.withColumn("least", F.coalesce("similarity", F.lit(0.0)))
-        star = write_shared(star.drop("similarity"), "star")
-        inside, rest = star.where("id_class = leader_class"), star.where("id_class <> leader_class")
-        near = inside.select(
-            "band", "leader", F.col("id").alias("near"), F.col("weight").alias("leader_weight"), F.col("least").alias("near_least")
-        )
-        shell = rest.drop("leader_weight").join(near, ["band", "leader"])
-        shell = shell.where(F.col("near_least") <= F.col("most") + (1 - similarity))
-        shell = shell.where(ratio >= similarity).select(*_ordered("id", "near")).distinct()
-        shell = shell.join(compared, ["a", "b"], "left_anti")
-        more = write_shared(_similarities(shell, vectors).where(F.col("similarity") >= similarity).select("a", "b"), "shell")
-        if row_count(more):
-            links = write_shared(links.unionByName(more), "links")
-            classes = components(links)
-        same = F.bool_or(F.col("id_class") == F.col("leader_class")).alias("same")
-        left = star.groupBy("band", "id", "weight", "degree", "id_class").agg(same).where("not same")
-        left = left.join(leaders.select("band", F.col("leader").alias("id")), ["band", "id"], "left_anti")
-        several = left.groupBy("band").agg(
-            F.min("id_class").alias("low"), F.max("id_class").alias("high"), F.count("*").alias("n")
-        )
-        several = several.where("low <> high").select("band", "n")
-        members = write_shared(left.join(several, "band").select("id", "weight", "band", "degree", "n"), "members")
-        # In a small band all lead; in a large one the best of each hash class.
-        led = ["band", F.when(F.col("n") <= LEADERS, F.col("id")).otherwise(F.pmod(F.xxhash64("id"), F.lit(LEADERS)))]
+
+    for _ in range(2):
+        if not row_count(members):
+            break
+        best = F.max_by(F.struct("id", "weight", "class"), F.struct("degree", -F.col("id"), "weight")).alias("best")
+        placed = _classed(members, classes, "id").withColumnRenamed("id_class", "class")
+        leaders = placed.groupBy("band").agg(best)
+        star = placed.join(leaders, "band").where("id <> best.id and class <> best.class")
+        ratio = F.least("weight", "best.weight") / F.greatest("weight", "best.weight")
+        linked(star.where(ratio >= similarity).select(*_ordered("id", "best.id")).distinct())
+        placed = _classed(members, classes, "id")
+        several = placed.groupBy("band").agg(F.min("id_class").alias("low"), F.max("id_class").alias("high")).where("low <> high")
+        open_ = placed.join(several.select("band"), "band")
+        # In each open band the largest class is done with itself; the best text of the others leads next.
+        size = open_.groupBy("band", "id_class").agg(F.count("*").alias("n"))
+        largest = size.groupBy("band").agg(F.max_by("id_class", F.struct("n", "id_class")).alias("largest"))
+        ahead = F.when(F.col("id_class") == F.col("largest"), F.lit(-1)).otherwise(F.col("degree"))
+        members = write_shared(open_.join(largest, "band").withColumn("degree", ahead).select("id", "weight", "band", "degree"), "members")
+    if row_count(members):
+        open_ = write_shared(members.select("id").distinct(), "open")
+        chosen = _classed(vectors.join(F.broadcast(open_) if fits_broadcast(open_, 16) else open_, "id", "left_semi"), classes, "id")
+        postings = prefixes(chosen.withColumnRenamed("id_class", "class"), counts, similarity)
+        linked(pairs_between_classes(write_shared(postings, "prefixes"), similarity))
     node = _classed(nodes.select("t1", "t2", "id"), classes, "id").select("t1", "t2", F.col("id_class").alias("class_id"))
     out = signed.select("doc_id", "t1", "t2").join(node, ["t1", "t2"], "left")
     class_id = F.when(F.col("doc_id").isNotNull(), F.col("class_id"))
