@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenwin.llm.ppm import event_keys, most_used, train_model
+from tokenwin.llm.ppm import PIECE, event_keys, most_used, train_model
 from tokenwin.llm.textbytes import Words, slices, word_hashes, words_of
 from tokenwin.shared import write_shared
 
@@ -47,17 +47,30 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _coded(
     keys: np.ndarray, bounds: np.ndarray, frequent: np.ndarray, log: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Log probability of the frequent events of each text; its other events, how often each comes, and bounds of the texts."""
+    """Log probability of the held events of each of at most 256 texts; its other events, how often each comes, and bounds of the texts."""
     size = len(bounds) - 1
-    code, every = pd.factorize(keys)
+    # The text in the lowest byte: one sort brings equal events together.
+    packed = np.sort(keys.astype(np.uint64) << np.uint64(8) | np.repeat(np.arange(size, dtype=np.uint64), np.diff(bounds)))
+    keys, rows = (packed >> np.uint64(8)).astype(np.int64), (packed & np.uint64(255)).astype(np.int64)
+    new = np.append(True, keys[1:] != keys[:-1])[: len(keys)]
+    every, code = keys[new], np.cumsum(new) - 1
     place = np.minimum(np.searchsorted(frequent, every), max(len(frequent) - 1, 0))
-    is_often = frequent[place] == every if len(frequent) else np.zeros(len(every), np.bool_)
-    value = np.where(is_often, log[place], 0) if len(frequent) else np.zeros(len(every))
-    rows = np.repeat(np.arange(size), np.diff(bounds))
-    rare = np.flatnonzero(~is_often[code])
-    pairs, n = np.unique(rows[rare] * len(every) + code[rare], return_counts=True)
-    first = np.searchsorted(pairs // max(len(every), 1), np.arange(size + 1)).astype(np.int32)
-    return np.bincount(rows, value[code], minlength=size), every[pairs % max(len(every), 1)], n.astype(np.int32), first
+    is_held = frequent[place] == every if len(frequent) else np.zeros(len(every), np.bool_)
+    value = np.where(is_held, log[place], 0) if len(frequent) else np.zeros(len(every))
+    sums = np.bincount(rows, value[code], minlength=size)
+    rare = packed[~is_held[code]]
+    first = np.flatnonzero(np.append(True, rare[1:] != rare[:-1])[: len(rare)])
+    times, rare = np.diff(np.append(first, len(rare))), rare[first]
+    order = np.argsort(rare & np.uint64(255), kind="stable")
+    of = (rare & np.uint64(255))[order].astype(np.int64)
+    return sums, (rare >> np.uint64(8)).astype(np.int64)[order], times[order].astype(np.int32), np.searchsorted(of, np.arange(size + 1)).astype(np.int32)
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """At most 256 texts of about ``PIECE`` bytes."""
+    for batch in slices(batches, most=PIECE):
+        for at in range(0, batch.num_rows, 256):
+            yield batch.slice(at, 256)
 
 
 def count_words(docs: DataFrame) -> DataFrame:
@@ -94,7 +107,7 @@ def score_texts(docs: DataFrame, learn: Column) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, row = TaskContext.get().partitionId(), 0
         frequent, frequent_log, known, known_n = shipped.value
-        for batch in slices(batches):
+        for batch in _pieces(batches):
             words = words_of(batch.column("text"))
             codes, hashes, at = _distinct(words)
             place = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))

@@ -31,6 +31,9 @@ ORDER = 6
 HELD = 1 << 22
 # Events of one range on average.
 RANGE = 1 << 20
+# Bytes of text that are taken apart at a time, and counted events that a task collects, eight bytes each.
+PIECE = 1 << 20
+_HELD = 1 << 22
 _BLANK, _END = 0x20, 0x0A
 
 
@@ -67,14 +70,31 @@ def event_keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count_events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
+    """Events with their times learned and their uses, summed over many texts before they leave the task."""
+
+    def summed(held: list[np.ndarray]) -> pa.RecordBatch:
+        # Key, whether it is learned, and up to 127 times, in 56, 1 and 7 bits.
+        packed = np.sort(np.concatenate(held))
+        keys, learned, times = packed >> np.uint64(8), (packed >> np.uint64(7)) & np.uint64(1), packed & np.uint64(127)
+        new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        sums = [np.add.reduceat(v.astype(np.int64), new) for v in (times * learned, times)]
+        return pa.RecordBatch.from_arrays([pa.array(v) for v in (keys[new].astype(np.int64), *sums)], ["key", "n", "uses"])
+
+    held, rows = [], 0
+    for batch in slices(batches, most=PIECE):
         keys, bounds = event_keys(words_of(batch.column("text")))
         learned = np.repeat(batch.column("learned").to_numpy(zero_copy_only=False).astype(np.int64), np.diff(bounds))
         marked, times = np.unique(keys << 1 | learned, return_counts=True)
-        every, at = np.unique(marked >> 1, return_index=True)
-        uses = np.add.reduceat(times, at) if len(at) else times
-        n = np.add.reduceat(times * (marked & 1), at) if len(at) else times
-        yield pa.RecordBatch.from_arrays([pa.array(every), pa.array(n), pa.array(uses)], ["key", "n", "uses"])
+        while len(marked):
+            held.append(marked.astype(np.uint64) << np.uint64(7) | np.minimum(times, 127).astype(np.uint64))
+            rows += len(marked)
+            more = times > 127
+            marked, times = marked[more], times[more] - 127
+        if rows > _HELD:
+            yield summed(held)
+            held, rows = [], 0
+    if rows:
+        yield summed(held)
 
 
 def _prefix(keys: np.ndarray, size: int) -> np.ndarray:
