@@ -122,13 +122,25 @@ def test_pieces_are_encoded_like_whole_texts():
         "日本語 text ½ ② _x_ a__b", "\x00\x01 \x1f \x85 \x7f", "...!!!'", "ÀÉÞ Ÿ ÿ Œ ΣΑΣ", "é x́y ́",
     ]
     whole = Tokenizer.from_file(TOKENIZER)
-    encoder = tokenids.PieceEncoder(TOKENIZER, 1)
+    encoder = tokenids.PieceEncoder(whole.to_str(), 1)
+    assert encoder.piecewise
     for _ in range(2):
         ids, bounds = encoder.encode(pa.array(texts))
         found = [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
         assert found == [whole.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
 
 
+def test_other_tokenizers_encode_whole_texts(spark, make_docs):
+    """One that keeps case and white space, and one whose ids the file has no room for."""
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder = tokenids.PieceEncoder(other.to_str(), 1)
+    texts = ["A b  C\n", None, "<|endoftext|>"]
+    ids, bounds = encoder.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [other.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+    with pytest.raises(ValueError):
+        tokenfile.token_file_index(make_docs([(1, "a")]), TOKENIZER, 1 << 16)
+
+
 def test_token_file_round_trip(spark, odd_docs, make_docs, tmp_path):
     path = f"file://{tmp_path}/odd"
     tokenfile.write_token_file(odd_docs, path, TOKENIZER)

@@ -7,6 +7,7 @@ ids and token counts, their codes one after another, each from a byte on, and ch
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -16,8 +17,10 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tokenwin.llm import huffman, tokenids
+from tokenwin.llm.spans import worker_memory
 from tokenwin.llm.tables import sum_vectors
 from tokenwin.llm.textbytes import slices
 from tokenwin.shared import new_path, write_shared
@@ -34,10 +37,18 @@ _BLOCK = "doc_ids array<bigint>, n_tokens array<int>, marks binary, bits binary"
 def _token_ids(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """``(doc_id, n_tokens, ids)``: two bytes an id, compressed."""
 
+    with open(tokenizer, encoding="utf-8") as file:
+        described = file.read()
+    if max(Tokenizer.from_str(described).get_vocab(with_added_tokens=True).values(), default=0) >= _IDS or end_id >= _IDS:
+        raise ValueError(f"ids of {_IDS} and more do not fit the file's two bytes")
+    shared = docs.sparkSession.sparkContext.broadcast(described)
+    key = f"pieces {end_id} {hashlib.sha256(described.encode()).hexdigest()}"
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
-        for batch in slices(batches, most=2 << 20):
-            ids, bounds = tokenids.encoder(tokenizer, end_id).encode(batch.column("text"))
+        encoder = worker_memory(key, lambda: tokenids.PieceEncoder(shared.value, end_id))
+        for batch in slices(batches, most=1 << 20):
+            ids, bounds = encoder.encode(batch.column("text"))
             plain, n = ids.astype("<u2").tobytes(), np.diff(bounds)
             packed = [packer.compress(plain[2 * a : 2 * b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
             columns = [batch.column("doc_id"), pa.array(n.astype(np.int32)), pa.array(packed, pa.binary())]
@@ -178,8 +189,8 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
     return rows.join(F.broadcast(starts), "part").select("doc_id", start.alias("start"), "n_tokens", "ids_crc32")
 
 
-def token_file_index(docs: DataFrame, tokenizer: str) -> DataFrame:
+def token_file_index(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """Write a token file into the shared folder and read it back as an index."""
     path = new_path(docs.sparkSession, "tokens")
-    write_token_file(docs, path, tokenizer)
+    write_token_file(docs, path, tokenizer, end_id)
     return token_index(docs.sparkSession, path)
