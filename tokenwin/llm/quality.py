@@ -18,11 +18,15 @@ from pyspark.sql import functions as F
 
 from tokenwin.llm.labelled import labelled_sample
 from tokenwin.llm.textbytes import Words, mix, ngram_hashes, plain_text, slices, span_hashes, split_words, text_bytes
+from tokenwin.shared import byte_count
 
 BUCKETS = 1 << 18
-# The most labelled rows of each class that training reads, and the parts it is trained in.
+# The most labelled rows of each class that training reads, the least parts it is trained in, and their bytes of text on average.
 PER_CLASS = 10_000
 SHARDS = 4
+SHARD_BYTES = 16 << 20
+# Bytes of text whose features are made at a time.
+_PIECE = 1 << 20
 # Passes over a shard, and more of them where it is small.
 _EPOCHS, _UPDATES = 3, 800
 _BATCH = 16
@@ -85,7 +89,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def fit_ftrl(texts: pa.Array, labels: np.ndarray) -> np.ndarray:
     """Weights after a few passes over the given texts in their order."""
-    index, count = features(texts)
+    parts = [features(b.column(0)) for b in slices([pa.RecordBatch.from_arrays([texts], ["text"])], most=_PIECE)]
+    index, count = (np.concatenate(p) for p in zip(*[(i.astype(np.uint32), n) for i, n in parts]))
     at = np.concatenate([[0], np.cumsum(count)])
     z, n, w = (np.zeros(BUCKETS + 1) for _ in range(3))
     for _ in range(max(_EPOCHS, -(-_UPDATES * _BATCH // len(labels)))):
@@ -110,8 +115,8 @@ def train_quality(
 ) -> QualityModel:
     """Fit on a bounded sample of the labelled documents; see ``labelled_sample``.
 
-    The sample is dealt into ``SHARDS`` groups by id. Each is trained alone and the weights are
-    averaged, so no task holds more than its share. Without labels all weights are 0.
+    The sample is dealt into ``SHARDS`` groups by id, or more where its texts have more than ``SHARD_BYTES`` for each. Each
+    is trained alone and the weights are averaged, so no task holds more than its share. Without labels all weights are 0.
     """
     sample, shift = labelled_sample(docs, labels, label, F.lit(True) if usable is None else usable, per_class)
 
@@ -123,7 +128,7 @@ def train_quality(
         w = fit_ftrl(group.column("text").combine_chunks(), group.column("label").to_numpy().astype(float))
         return pa.table({"rows": pa.array([group.num_rows], pa.int64()), "w": pa.array([w.tobytes()], pa.binary())})
 
-    shards = sample.withColumn("shard", F.col("part") % SHARDS)
+    shards = sample.withColumn("shard", F.col("part") % max(SHARDS, -(-byte_count(sample) // SHARD_BYTES)))
     fitted = shards.groupBy("shard").applyInArrow(fit, "rows bigint, w binary").collect()
     total = sum(r["rows"] for r in fitted)
     weights = np.zeros(BUCKETS + 1)
@@ -142,7 +147,7 @@ def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.3)
     weights = docs.sparkSession.sparkContext.broadcast(model.weights)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=_PIECE):
             value = _sigmoid(_logits(weights.value, *features(batch.column("text"))).astype(np.float64))
             out = [batch.column("doc_id"), pa.array(value), pa.array((value >= threshold).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(out, ["doc_id", "score", "predicted"])
@@ -156,7 +161,7 @@ def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) ->
     weights = docs.sparkSession.sparkContext.broadcast(train_quality(docs, labels).weights)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, most=_PIECE):
             value = _sigmoid(_logits(weights.value, *features(batch.column("text"))).astype(np.float64))
             yield batch.filter(pa.array(value >= threshold))
 
