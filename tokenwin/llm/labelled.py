@@ -11,13 +11,13 @@ from tokenwin.shared import write_shared
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, usable: Column, per_class: int, balanced: bool = False
+    docs: DataFrame, labels: DataFrame, label: str, usable: Column, per_class: int
 ) -> tuple[DataFrame, float]:
     """``(doc_id, text, label, part)`` of at most ``per_class`` labelled ids of each class, written once.
 
     ``labels`` has ``doc_id`` and the named 0/1 column; ``usable`` tells which ids may be learned
     from. An id with several labels counts with the smallest; rows without id or label are left
-    out. ``balanced`` takes as many of either class as the rarer one has. ``part`` is a hash of the
+    out. ``part`` is a hash of the
     id below 1,000, to split the sample further. Also returns what
     to add to the sample's log odds to get those of all usable labels.
     """
@@ -29,8 +29,6 @@ def labelled_sample(
     )
     known = write_shared(known, "labels")
     all_of = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    if balanced:
-        per_class = min(per_class, *(all_of.get(c, 0) for c in (0, 1)))
     picked = None
     for c in (0, 1):
         some = known.where(F.col("label") == c).orderBy("order", "doc_id").limit(per_class)

@@ -1,6 +1,6 @@
 """Toxicity by two class-conditional Kneser-Ney bigram models over one shared backoff.
 
-Both models learn from as many labelled rows. As in all but the highest order of such a model, counts are
+As in all but the highest order of such a model, counts are
 those of continuations: for a pair the different words before it, for a word the different words before
 it in its class. A text that comes in many copies thus counts as one. A discount, chosen from
 ``DISCOUNTS`` on rows kept out of the counts, takes nearly all of a small count and little of a large one;
@@ -131,7 +131,7 @@ def train_toxicity(
 
     Without rows of either class both models are the shared one and every text scores 0.5.
     """
-    sample, shift = labelled_sample(docs, labels, label, F.lit(True) if usable is None else usable, per_class, balanced=True)
+    sample, shift = labelled_sample(docs, labels, label, F.lit(True) if usable is None else usable, per_class)
     runs = sample.where("part >= 250").mapInArrow(_runs_of_three, "key bigint").distinct()
     key = F.col("key")
     before, word = (key.bitwiseAND(F.lit((1 << n) - 1)) for n in (41, 21))
