@@ -113,6 +113,37 @@ def _cooccurrences(tables: str, cells: str = "cells") -> str:
       where x.t < 64 group by ia.idx, ib.idx"""
 
 
+def _weights(width: int, hidden: int) -> str:
+    """Mean cells as the weights of a model, and where each of its parameters starts."""
+    sizes = {"input_weights": 4 * width * hidden, "state_weights": 4 * hidden * hidden, "gate_bias": 4 * hidden}
+    sizes |= {"output_weights": hidden * width, "output_bias": width}
+    parts, start = [], 0
+    for name, size in sizes.items():
+        parts.append(f"('{name}', {start}, {start + size})")
+        start += size
+    return f"""
+        parts(param, start, stop) as (values {", ".join(parts)}),
+        weights as (
+          select (vec_id * 64 + j - 1) % {start} as i, round(avg(x::double), 6) + 0.0 as v
+          from (select vec_id, unnest(embedding) as x, generate_subscripts(embedding, 1) as j from embeddings) group by 1),
+        flat as (select list(v order by i) as f from weights)"""
+
+
+def _gate(number: int) -> str:
+    """One of the eight gate sums of two hidden cells; there is no state before the first place."""
+    column = f"[f[j * 8 + {number + 1}] for j in range(0, 64)]"
+    return f"list_inner_product(embedding::double[], {column}) + f[{64 * 8 + 16 + number + 1}]"
+
+
+_PREDICTIONS = f"""
+    gates as (select vec_id as k, f, {", ".join(f"{_gate(n)} as g{n}" for n in range(8))} from embeddings, flat),
+    cells as (
+      select k, f, {", ".join(f"tanh(tanh(g{6 + m}) / (1 + exp(-g{m}))) / (1 + exp(-g{4 + m})) as h{m}" for m in range(2))} from gates),
+    predictions as (
+      select k, [h0 * f[{536 + 1} + d] + h1 * f[{536 + 64 + 1} + d] + f[{536 + 128 + 1} + d] for d in range(0, 64)] as prediction
+      from cells)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "read_token_ids": """
@@ -269,6 +300,49 @@ def oracle_sql() -> dict[str, str]:
               max(e / 64.0::double) as best_training_accuracy, max(e / 128.0::double) as best_validation_accuracy,
               sum(c % 3)::bigint as failed_tasks
             from days""",
+        "epoch_metrics": f"""
+            with stages as (
+              select stage_id, min_by(epoch, job) as epoch
+              from (select o_orderkey as job, o_orderkey % 5 as epoch, unnest([o_custkey, o_custkey + 1]) as stage_id from orders)
+              group by stage_id),
+            tasks as (select epoch, t.* from (select {_TASK} from lineitem) t join stages using (stage_id)),
+            averages as (select epoch, avg(duration) as a from tasks group by epoch),
+            totals as (
+              select epoch, sum(coalesce(shuffle_read_bytes, 0)) as r, sum(coalesce(shuffle_write_bytes, 0)) as w, max(duration) as most,
+                min(duration) as least, avg(duration) as mean, count(*) filter (failed) as failed, max(peak_execution_memory) as peak,
+                sum(cpu_time) / 1e6 / sum(run_time) as ratio, count(*) filter (duration > 2 * a) as skewed
+              from tasks join averages using (epoch) group by epoch),
+            log as (select o_orderkey % 7 as epoch, count(*) as n, sum(o_custkey) / 1024.0::double as loss from orders group by 1)
+            select epoch::int as epoch, n as duration_ms, 'nan'::double as gradient_variance,
+              coalesce(r, 0)::bigint as total_shuffle_read_bytes, coalesce(w, 0)::bigint as total_shuffle_write_bytes,
+              coalesce(most, 0)::bigint as max_task_duration, coalesce(least, 0)::bigint as min_task_duration,
+              coalesce(failed, 0) as failed_task_count, coalesce(peak, 0)::bigint as peak_execution_memory,
+              coalesce(skewed, 0) as skewed_task_count, round(loss, 6) + 0.0 as training_loss,
+              round(coalesce(mean, 0), 6) + 0.0 as avg_task_duration, round(coalesce(ratio, 0), 6) + 0.0 as cpu_ratio
+            from log left join totals using (epoch)""",
+        "saved_model": f"""
+            with {_weights(8, 4)}
+            select param, (i - start)::int as i, v from weights join parts on i >= start and i < stop""",
+        "model_predictions": f"""
+            with {_weights(64, 2)}, {_PREDICTIONS}
+            select 0::bigint as seq_id, k, len(prediction)::int as cells,
+              round(list_inner_product(prediction, [i::double for i in range(1, 65)]) / 64, 4) + 0.0 as prediction_sum
+            from predictions""",
+        "model_accuracy": f"""
+            with {_weights(64, 2)}, {_PREDICTIONS},
+            sims as (
+              select p.k, e.vec_id as idx, round(list_cosine_similarity(prediction, embedding::double[]), 12) as sim
+              from predictions p, embeddings e),
+            best as (select k, arg_min(idx, (-sim, idx)) as idx from sims where sim > 0.05 group by k),
+            truth as (
+              select a.vec_id as k, min(b.vec_id) as idx from embeddings a join embeddings b
+                on list_distance(a.embedding::double[], b.embedding::double[]) < 1e-5 group by a.vec_id),
+            scored as (
+              select e.label as class, coalesce(best.idx % 5 = truth.idx % 5, false) as correct
+              from embeddings e left join best on best.k = e.vec_id left join truth on truth.k = e.vec_id)
+            select class, count(*) as total, count(*) filter (where correct) as correct,
+              round(avg(correct::int::double), 6) + 0.0 as accuracy
+            from scored group by class""",
         "split_examples_95": f"""
             with {_CELLS}
             select 0::bigint as seq_id, k, token, {_split(0.95)} as split from cells where t = 64""",

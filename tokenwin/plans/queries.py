@@ -483,6 +483,74 @@ def q_recorded_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return epoch_table.summarize_recorded(epoch_table.read_epoch_metrics(spark, path, RECORDED_SCHEMA, "csv"))
 
 
+def q_epoch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven epochs made of orders, two of them without tasks, with the totals of the tasks of their stages."""
+    n, c = F.count("*"), F.sum("o_custkey")
+    value = {"duration_ms": n, "training_loss": c / 1024, "gradient_variance": F.lit(float("nan"))}
+    days = table(spark, sf_dir, "orders").groupBy((F.col("o_orderkey") % 7).cast("int").alias("epoch"))
+    log = days.agg(*[value.get(f.name, F.lit(0.0)).cast(f.dataType).alias(f.name) for f in training.EPOCH_LOG.fields[1:]])
+    tasks = job_metrics.tasks_by_epoch(event_log.task_metrics(_task_log(spark, sf_dir)), q_stage_epochs(spark, sf_dir))
+    row = job_metrics.epoch_metrics(log, tasks)
+    exact = ["training_loss", "avg_task_duration", "cpu_ratio"]
+    others = ["duration_ms", "gradient_variance", "total_shuffle_read_bytes", "total_shuffle_write_bytes", "max_task_duration"]
+    others += ["min_task_duration", "failed_task_count", "peak_execution_memory", "skewed_task_count"]
+    return row.select("epoch", *others, *(rounded(c).alias(c) for c in exact))
+
+
+# Models whose weights follow from the vectors
+
+
+def _model_of_vectors(spark: SparkSession, sf_dir: str, width: int, hidden: int) -> training.Model:
+    """Weight i is the mean of the cells whose number over all vectors leaves i; it is saved and loaded again."""
+    cfg = training.TrainConfig(hidden=hidden)
+    model = training.Model.create(width, cfg)
+    size = model.state.shape[1]
+    cells = vector_table(spark, sf_dir).select("idx", F.posexplode("vec").alias("j", "x"))
+    place = F.pmod(F.col("idx") * 64 + F.col("j"), F.lit(size))
+    # As many rows as the model has weights, whatever the table.
+    means = cells.groupBy(place.alias("i")).agg(F.avg(F.col("x").cast("double")).alias("v")).collect()
+    model.state[:] = 0
+    for r in means:
+        model.state[0][r["i"]] = round(r["v"], DIGITS)
+    path = new_path(spark, "model")
+    models.save_model(spark, model, path)
+    return models.load_model(spark, path)
+
+
+def q_saved_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weights of a model that was saved, loaded and saved again, as its folder has them."""
+    model = _model_of_vectors(spark, sf_dir, 8, 4)
+    path = new_path(spark, "model")
+    models.save_model(spark, model, path)
+    params = spark.read.parquet(f"{path}/params").where(F.col("param").startswith("weight/"))
+    return params.select(F.substring_index("param", "/", -1).alias("param"), "i", rounded("v").alias("v"))
+
+
+def _vector_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector as an example of one place, whose label is the vector itself."""
+    vecs = vector_table(spark, sf_dir)
+    columns = [F.lit(0).cast("bigint").alias("seq_id"), F.col("idx").alias("k")]
+    return vecs.select(*columns, F.col("vec").cast("array<double>").alias("features"), F.col("vec").alias("label"))
+
+
+def q_model_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = _model_of_vectors(spark, sf_dir, 64, 2)
+    predicted = training.predict(_vector_examples(spark, sf_dir), model, training.KEY)
+    return predicted.select("seq_id", "k", F.size("prediction").alias("cells"), checksum("prediction", 64).alias("prediction_sum"))
+
+
+def q_model_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the vector nearest to a prediction is that of the label, by the label's class."""
+    model = _model_of_vectors(spark, sf_dir, 64, 2)
+    labels = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("k"), F.col("label").alias("class"))
+    examples = _vector_examples(spark, sf_dir).join(labels, "k")
+    emb = vector_table(spark, sf_dir)
+    # Tokens are classes of vectors here, so that some predictions are right.
+    names = emb.select((F.col("idx") % 5).alias("token"), "idx")
+    found = training.compute_accuracy(examples, model, emb, names, by=["class"])
+    return found.select("class", "total", "correct", rounded("accuracy").alias("accuracy"))
+
+
 # Statistics
 
 
