@@ -198,46 +198,51 @@ def _similarities(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
 
 
 def prefixes(vectors: DataFrame, counts: np.ndarray, similarity: float) -> DataFrame:
-    """``(run, id, class, weight)``: the rarest runs of each text, those before less than ``similarity`` of its weight is left.
+    """``(run, id, class, weight, left)``: the rarest runs of each text, those before less than ``similarity`` of its weight is left.
 
     Two texts of that similarity have as much in common, so the rarest run that they share is among these in both. A run
-    in one text alone is left out.
+    in one text alone is left out. ``left`` is the weight of the run and of all that are less rare.
     """
     shipped = vectors.sparkSession.sparkContext.broadcast(counts)
 
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [[], [], [], []]
+            columns = [[], [], [], [], []]
             for key, class_, runs, weights in zip(*(batch.column(c).to_pylist() for c in ("id", "class", "runs", "weights"))):
                 runs, weights = np.frombuffer(runs, np.uint64), np.frombuffer(weights, np.float32).astype(np.float64)
                 often = shipped.value[_bucket(runs)]
                 order = np.lexsort((runs, often))
                 left = np.cumsum(weights[order][::-1])[::-1]
                 # A little more than needed, against rounding.
-                some = order[left >= (similarity - 1e-6) * left[0]]
-                some = some[often[some] > 1]
-                for held, values in zip(columns, (runs[some].view(np.int64), np.full(len(some), key), np.full(len(some), class_), np.full(len(some), left[0]))):
+                some = np.flatnonzero((left >= (similarity - 1e-6) * left[0]) & (often[order] > 1))
+                same = (np.full(len(some), v) for v in (key, class_, left[0]))
+                for held, values in zip(columns, (runs[order[some]].view(np.int64), *same, left[some])):
                     held.append(values)
             if columns[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["run", "id", "class", "weight"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["run", "id", "class", "weight", "left"])
 
-    return vectors.select("id", "class", "runs", "weights").mapInArrow(rarest, "run bigint, id bigint, class bigint, weight double")
+    schema = "run bigint, id bigint, class bigint, weight double, left double"
+    return vectors.select("id", "class", "runs", "weights").mapInArrow(rarest, schema)
 
 
 def pairs_between_classes(postings: DataFrame, similarity: float) -> DataFrame:
     """``(a, b)``: texts of different classes that share a run of ``postings`` and whose weights allow the similarity.
 
     Nearly all texts of a common run are of one class, and those are not paired with each other: a side of every pair is
-    of another class than the run's largest.
+    of another class than the run's largest. At the rarest run that two texts share, what is left of either must be as much as
+    they need to have in common, which no text with too many runs of its own has.
     """
     classes = postings.groupBy("run", "class").agg(F.count("*").alias("n"))
     largest = F.max_by("class", F.struct("n", "class")).alias("largest")
     several = classes.groupBy("run").agg(largest, F.count("*").alias("kinds")).where("kinds > 1").select("run", "largest")
     rows = write_shared(postings.join(several, "run"), "postings")
-    left = rows.where("class <> largest").select("run", F.col("id").alias("x"), F.col("class").alias("x_class"), F.col("weight").alias("x_weight"))
+    named = {"x": "id", "x_class": "class", "x_weight": "weight", "x_left": "left"}
+    left = rows.where("class <> largest").select("run", *[F.col(c).alias(name) for name, c in named.items()])
     other = (F.col("x_class") != F.col("class")) & ((F.col("class") == F.col("largest")) | (F.col("x") < F.col("id")))
     ratio = F.least("weight", "x_weight") / F.greatest("weight", "x_weight")
-    return left.join(rows, "run").where(other & (ratio >= similarity - 1e-6)).select(*_ordered("x", "id")).distinct()
+    need = (F.col("weight") + F.col("x_weight")) * (similarity / (1 + similarity) - 1e-6)
+    fits = (F.least("left", "x_left") >= need) & (ratio >= similarity - 1e-6)
+    return left.join(rows, "run").where(other & fits).select(*_ordered("x", "id")).distinct()
 
 
 def _ordered(x: str, y: str) -> list:
