@@ -109,19 +109,45 @@ def vector_blocks(
     )
 
 
+def _windows_of_blocks(
+    batches: Iterator[pa.RecordBatch], width: int, w: int, s: int
+) -> Iterator[tuple[list[pa.Array], np.ndarray]]:
+    """Keys of some windows and their vectors as (window, component, place), the target last; a strided view of the block."""
+    per_block = windows_per_block(w, s)
+    step = max(1, _BATCH_BYTES // (8 * width * (w + 1)))
+    for batch in batches:
+        for seq_id, block, flat in zip(*(batch.column(c) for c in ("seq_id", "block", "flat"))):
+            vecs = flat.values.to_numpy(zero_copy_only=False).reshape(-1, width)
+            if len(vecs) <= w:
+                continue
+            views = np.lib.stride_tricks.sliding_window_view(vecs, w + 1, axis=0)[::s][:per_block]
+            for i in range(0, len(views), step):
+                part = views[i : i + step]
+                k = block.as_py() * per_block + i + np.arange(len(part))
+                yield [pa.array(np.full(len(part), seq_id.as_py())), pa.array(k)], part
+
+
+def _lists(values: np.ndarray) -> pa.Array:
+    offsets = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(values).ravel()))
+
+
 def window_vectors(tokens: DataFrame, vocab: DataFrame, emb: DataFrame, width: int, w: int, s: int) -> DataFrame:
     """``(seq_id, k, rows ARRAY<ARRAY<DOUBLE>>)``: the sums of token and position vectors at the input places.
 
     The blocks' tokens are shuffled, not their vectors: a window cuts its rows out of its block, where the lookup
     put them.
     """
-    per_block = windows_per_block(w, s)
-    places = F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in position_matrix(w, width)])
-    numbers = F.sequence(F.lit(0), F.expr(f"least({per_block}, (size(flat) div {width} - {w + 1}) div {s} + 1) - 1").cast("int"))
-    cut = vector_blocks(tokens, vocab, emb, width, w, s).where(F.size("flat") >= (w + 1) * width)
-    rows = cut.select("seq_id", "block", "flat", F.explode(numbers).alias("_i"))
-    vec = F.transform(places, lambda p, t: vectors.add(F.slice("flat", (F.col("_i") * s + t) * width + 1, width), p))
-    return rows.select("seq_id", (F.col("block") * per_block + F.col("_i")).alias("k"), vec.alias("rows"))
+    positions = position_matrix(w, width)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, part in _windows_of_blocks(batches, width, w, s):
+            inner = _lists((part[:, :, :w].transpose(0, 2, 1) + positions).reshape(-1, width))
+            offsets = pa.array(np.arange(len(part) + 1, dtype=np.int32) * w)
+            yield pa.RecordBatch.from_arrays([*key, pa.ListArray.from_arrays(offsets, inner)], names=["seq_id", "k", "rows"])
+
+    blocks = vector_blocks(tokens, vocab, emb, width, w, s)
+    return blocks.mapInArrow(rows, "seq_id bigint, k bigint, rows array<array<double>>")
 
 
 def training_examples(
@@ -142,33 +168,16 @@ def training_examples(
     thousands of array elements per row are slow to write, shuffle and read.
     """
     width = width or embedding_width(emb)
-    per_block = windows_per_block(w, s)
     positions = position_matrix(w, width).T
-    step = max(1, _BATCH_BYTES // (8 * width * (w + 1)))
 
     def pack(values: np.ndarray) -> pa.Array:
         return pa.array([row.tobytes() for row in values.astype(np.float32)], pa.binary())
 
-    def lists(values: np.ndarray) -> pa.Array:
-        offsets = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(values).ravel()))
-
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for seq_id, block, flat in zip(*(batch.column(c) for c in ("seq_id", "block", "flat"))):
-                vecs = flat.values.to_numpy(zero_copy_only=False).reshape(-1, width)
-                if len(vecs) <= w:
-                    continue
-                views = np.lib.stride_tricks.sliding_window_view(vecs, w + 1, axis=0)[::s][:per_block]
-                for i in range(0, len(views), step):
-                    part = views[i : i + step]
-                    k = block.as_py() * per_block + i + np.arange(len(part))
-                    features = (part[:, :, :w] + positions).reshape(len(part), -1)
-                    key = [pa.array(np.full(len(part), seq_id.as_py())), pa.array(k)]
-                    values = pack(features) if packed else lists(features)
-                    yield pa.RecordBatch.from_arrays(
-                        [*key, values, lists(part[:, :, w])], names=["seq_id", "k", "features", "label"]
-                    )
+        for key, part in _windows_of_blocks(batches, width, w, s):
+            features = (part[:, :, :w] + positions).reshape(len(part), -1)
+            values = pack(features) if packed else _lists(features)
+            yield pa.RecordBatch.from_arrays([*key, values, _lists(part[:, :, w])], names=["seq_id", "k", "features", "label"])
 
     blocks = vector_blocks(tokens, vocab, emb, width, w, s, partitions)
     kind = "binary" if packed else "array<double>"
