@@ -284,8 +284,25 @@ def test_mix_repeats_and_takes_odd_rows(odd_docs, make_docs):
     assert mixing.mix(make_docs([])).count() == 0
     mixed = mixing.mixed_documents(odd_docs)
     assert mixed.columns == odd_docs.columns
-    copies = by_id(mixing.mix(odd_docs).where("doc_id > 1"), "copies")
-    assert Counter(r["doc_id"] for r in mixed.where("doc_id > 1").collect()) == Counter({i: n for i, n in copies.items() if n})
+    # Every row counts by itself: without id, with an id of another row, and equal to another one.
+    copies = Counter()
+    for r in mixing.mix(odd_docs).collect():
+        copies[r["doc_id"], r["size"]] += r["copies"]
+    found = Counter((r["doc_id"], len(WORD.findall(r["text"] or ""))) for r in mixed.collect())
+    assert found == +copies
+
+
+def test_mixed_rows_that_share_an_id_keep_to_the_budget(make_docs):
+    rng = np.random.default_rng(12)
+    rows = [(i % 20, sentence(rng, 10), "abc"[i % 3]) for i in range(300)] + [(7, "the same", "a")] * 5
+    docs = make_docs(rows)
+    taken = Counter()
+    for r in mixing.mix(docs).collect():
+        taken[r["source"]] += r["taken"]
+    words = Counter()
+    for r in mixing.mixed_documents(docs).collect():
+        words[r["source"]] += len(r["text"].split())
+    assert words == taken
 
 
 def test_likelier_documents_come_first(make_docs):

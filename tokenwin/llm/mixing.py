@@ -95,9 +95,9 @@ def _filled(rows: DataFrame, most_epochs: int) -> DataFrame:
 
 def mix(
     docs: DataFrame, size: Column | None = None, weight: Column | None = None,
-    weights: tuple[float, ...] = WEIGHTS, most_epochs: int = MOST_EPOCHS,
+    weights: tuple[float, ...] = WEIGHTS, most_epochs: int = MOST_EPOCHS, keep: list[Column] | None = None,
 ) -> DataFrame:
-    """``(doc_id, source, size, source_size, target, copies, taken)`` of every row of ``docs``.
+    """``(doc_id, source, size, source_size, target, copies, taken)`` of every row of ``docs``, and the columns ``keep``.
 
     ``copies`` is how often the mix repeats the document and ``taken`` the size of all copies. A
     source takes the documents whose prefix sums stay within what is left after whole epochs; a document longer than
@@ -115,7 +115,9 @@ def mix(
         F.col("source").cast("string").alias("source"),
         (word_count("text") if size is None else size).cast("bigint").alias("size"),
         key.alias("key"),
+        *(keep or []),
     )
+    kept = rows.columns[4:]
     slim = write_shared(rows, "sizes")
     targets = source_targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most_epochs)
     order = [F.col("source").asc_nulls_last(), "key", F.col("doc_id").asc_nulls_last(), "size"]
@@ -138,16 +140,25 @@ def mix(
     out = rows.join(best, same & (F.col("part") == F.col("last_part")) & (F.col("place") == F.col("last_place")), "left")
     extra = F.when(F.col("taken") | F.col("last_place").isNotNull(), 1).otherwise(0)
     out = out.withColumn("copies", (F.col("epochs") + extra).cast("bigint"))
-    return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    columns = ["doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")]
+    return out.select(*columns, *kept)
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The documents with all their columns, each as often as the mix takes it.
+    """The documents with all their columns, each row as often as the mix takes it.
 
-    Copies are by id, so rows that share an id get the copies of the one with most of them; rows without id go.
+    Rows are told apart by two hashes of all their columns, so rows without id and rows that share one count by themselves.
+    Rows equal in every column are one, with the copies of all of them.
     """
-    copies = mix(docs).where("copies > 0 and doc_id is not null").groupBy("doc_id").agg(F.max("copies").alias("copies"))
-    n, at = fresh(docs.columns, "copies"), fresh(docs.columns, "copy")
-    # Documents move only if the ids taken do not fit a broadcast.
-    rows = lookup(docs, write_shared(copies.withColumnRenamed("copies", n), "copies"), "doc_id", spread=["text"], how="inner")
+    names = [fresh(docs.columns, label) for label in ("row", "check", "copies", "copy")]
+    row, check, n, at = names
+    hashes = [F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias(row), F.xxhash64(F.lit(1), *[F.col(f"`{c}`") for c in docs.columns]).alias(check)]
+    mixed = mix(docs, keep=hashes).groupBy(row, check)
+    taken = write_shared(mixed.agg(F.sum("copies").alias(n), F.count("*").alias(at)).where(F.col(n) > 0), "copies")
+    marked = docs.select("*", *hashes)
+    # Documents move only if the rows taken do not fit a broadcast, and those equal to others.
+    one = lookup(marked, taken.where(F.col(at) == 1).drop(at), [row, check], spread=["text"], how="inner")
+    several = taken.where(F.col(at) > 1).drop(at)
+    equal = lookup(marked, several, [row, check], spread=["text"], how="inner").dropDuplicates([row, check])
+    rows = one.unionByName(equal)
     return rows.withColumn(at, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns)
