@@ -3,12 +3,12 @@ import pytest
 from pyspark.sql import functions as F
 from test_windows import sequences, tokens
 
-from tokenwin.operators import vocab
+from tokenwin.operators import embed_learning, vocab
 from tokenwin.operators.embed_learning import cooccurrence_counts, encoded_windows, learn_embeddings
 from tokenwin.operators.windows import with_length
 
 
-@pytest.mark.parametrize("method", ["skip-gram", "factorize"])
+@pytest.mark.parametrize("method", ["skip-gram", "blocks", "factorize"])
 def test_one_vector_per_index(spark, method):
     rows = tokens(spark, sequences(8, 4, seed=6))
     names = vocab.build_vocab(rows, 8, 4)
@@ -56,8 +56,10 @@ def test_tokens_used_alike_come_out_close(spark):
     rows = spark.createDataFrame([(0, p, v) for p, v in enumerate(values)], "seq_id bigint, pos bigint, token bigint")
     names = vocab.build_vocab(rows, 3, 4)
     idx = {r["token"]: r["idx"] for r in names.collect()}
-    for method in ("skip-gram", "factorize"):
-        emb = learn_embeddings(rows, names, 3, 4, size=6, epochs=8, method=method, parts=1)
+    for method in ("skip-gram", "factorize", "blocks"):
+        # Blocks of five tokens: three steps an epoch, and no model on the driver.
+        more = {"block_rows": 5, "epochs": 12, "max_bytes": 0} if method == "blocks" else {"epochs": 8}
+        emb = learn_embeddings(rows, names, 3, 4, size=6, method=method, parts=1, **more)
         vec = {r["idx"]: np.array(r["vec"]) / np.linalg.norm(r["vec"]) for r in emb.collect()}
         near = vec[idx[0]] @ vec[idx[1]] + vec[idx[2]] @ vec[idx[3]]
         far = vec[idx[0]] @ vec[idx[2]] + vec[idx[1]] @ vec[idx[3]]
@@ -76,3 +78,20 @@ def test_gaps_and_missing_tokens_raise(spark):
     missing = spark.range(100).select("id", F.when(F.col("id") != 50, F.col("id")).alias("v"))
     with pytest.raises(Exception, match="a token is NULL"):
         tokens_from_table(missing, "id", "v", dense=True).collect()
+
+
+def test_a_block_step_changes_its_own_vectors_alone():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    rows = [(k, i, 0, 3.0, rng.normal(size=4).astype(np.float32).tolist(), 0, 0) for k in (0, 1) for i in (3, 1, 8)]
+    rows += [(2, a, 0, float(n), None, 0, b) for a, b, n in ((1, 3, 5), (8, 8, 1))]
+    names = ["kind", "idx", "block", "n", "vec", "g", "other"]
+    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.float64(), pa.list_(pa.float32()), pa.int32(), pa.int64()]
+    group = pa.table([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+    out = embed_learning._fit_block(group, [1, 0, 0]).to_pylist()
+    before = {(r["kind"], r["idx"]): r["vec"] for r in group.to_pylist()}
+    after = {(r["kind"], r["idx"]): r["vec"] for r in out}
+    assert after.keys() == {key for key in before if key[0] < 2}
+    assert after[0, 3] == before[0, 3] and after[0, 1] != before[0, 1] and after[0, 8] != before[0, 8]
+    assert embed_learning._fit_block(group.slice(0, 6), [1, 0, 0]).to_pylist()[0]["vec"] == before[0, 1]

@@ -602,6 +602,11 @@ def q_learn_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learn_embeddings(tokens, names, WINDOW, STRIDE)
 
 
+def q_learn_embeddings_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens, names = _events_and_vocab(spark, sf_dir)
+    return learn_embeddings(tokens, names, WINDOW, STRIDE, size=16, method="blocks")
+
+
 def _train(spark: SparkSession, sf_dir: str, epochs: int):
     tokens, names, emb, width = _embedding_inputs(spark, sf_dir)
     examples = features.training_examples(tokens, names, emb, WINDOW, STRIDE, width, packed=True)
