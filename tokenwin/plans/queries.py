@@ -30,6 +30,8 @@ WINDOW, STRIDE = 64, 32
 SPARSE_WINDOW, SPARSE_STRIDE = 4, 97
 DIGITS = 6
 CHECKSUM_DIGITS = 4
+# Rows of one file of a written event log.
+LOG_ROWS = 1 << 20
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -417,7 +419,9 @@ def _event_log(rows: DataFrame, event: str, **fields: Column) -> DataFrame:
     """Write one JSON line for each row, as Spark's event log has them, and read the log back."""
     path = new_path(rows.sparkSession, "event-log")
     named = [F.lit(event).alias("Event"), *(value.alias(name.replace("_", " ")) for name, value in fields.items())]
-    rows.select(F.to_json(F.struct(*named)).alias("value")).write.text(path)
+    # Compressed, as Spark's own log may be; a gzip file is read by one task, so none has more rows than one should read.
+    lines = rows.select(F.to_json(F.struct(*named)).alias("value"))
+    lines.write.option("maxRecordsPerFile", LOG_ROWS).text(path, compression="gzip")
     return read_event_log(rows.sparkSession, path)
 
 
