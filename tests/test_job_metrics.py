@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rules import ROOT
 
 from tokenwin.operators import job_metrics
+from tokenwin.plans import queries
 from tokenwin.operators.training import EPOCH_LOG
 from tokenwin.sources import event_log
 from tokenwin.sources.epoch_table import RECORDED_SCHEMA, read_epoch_metrics, summarize_recorded, write_epoch_metrics
@@ -70,6 +71,28 @@ def test_a_diverged_run_keeps_its_nan(spark, tasks):
     assert math.isnan(row["training_loss"]) and math.isnan(row["learning_rate"]) and row["failed_task_count"] == 0
 
 
+def test_tasks_are_read_once_for_all_totals(spark, tasks):
+    log = spark.createDataFrame([(e, 100, 0.5, 0.1, 0.0, 1.0, 2.0, 0.0, 0.5, 0.001) for e in (1, 2, 3)], EPOCH_LOG)
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = job_metrics.epoch_metrics(log, tasks.mapInArrow(count, tasks.schema)).collect()
+    assert len(rows) == 3 and read.value == len(TASKS)
+
+
+def test_written_event_log_is_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "LOG_ROWS", 10)
+    monkeypatch.setattr(queries, "new_path", lambda _, label: str(tmp_path / label))
+    log = queries._event_log(spark.range(25).coalesce(1), "SparkListenerJobStart", Job_ID=F.col("id"))
+    assert sorted(r["Job ID"] for r in log.collect()) == list(range(25))
+    names = [p.name for p in (tmp_path / "event-log").glob("part-*")]
+    assert len(names) == 3 and all(n.endswith(".gz") for n in names)
+
+
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
 def test_epoch_table_appends(spark, tmp_path, fmt):
     path = str(tmp_path / "epochs")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tokenwin.shared import write_shared
+
 # Fixed value: a task is skewed when it takes longer than this many times the average.
 SKEW_FACTOR = 2
 
@@ -72,13 +74,30 @@ def epoch_metrics(epoch_log: DataFrame, tasks: DataFrame) -> DataFrame:
     """One row per epoch: the training log with the totals of the epoch's tasks.
 
     An epoch without tasks has totals of 0. Values of the log stay as they are, so the NaN of a run that
-    has diverged is seen.
+    has diverged is seen. Tasks are read once: those of an epoch that took equally long are summed up together,
+    and all totals, the average and the skewed tasks follow from these sums.
     """
-    by = ["epoch"]
-    skewed = skewed_tasks(tasks, "epoch").groupBy("epoch").agg(F.count("*").alias("skewed_task_count"))
-    parts = [shuffle_totals(tasks, by), duration_stats(tasks, by), failed_tasks(tasks, by), resource_use(tasks, by), skewed]
-    row = epoch_log
-    for part in parts:
-        row = row.join(part, "epoch", "left")
-    totals = [c for part in parts for c in part.columns if c != "epoch"]
-    return row.na.fill(0, subset=totals).orderBy("epoch")
+    n = F.count("*").alias("_n")
+    sums = [F.sum(F.coalesce(c, F.lit(0))).alias(f"_{c}") for c in ("shuffle_read_bytes", "shuffle_write_bytes")]
+    sums += [F.sum(c).alias(f"_{c}") for c in ("cpu_time", "run_time")]
+    most = F.max("peak_execution_memory").alias("_peak")
+    alike = write_shared(tasks.groupBy("epoch", "duration").agg(n, *sums, F.count_if("failed").alias("_failed"), most), "durations")
+    timed = F.when(F.col("duration").isNotNull(), F.col("_n"))
+    average = F.sum(F.col("duration") * F.col("_n")) / F.sum(timed)
+    ratio = F.try_divide(F.sum("_cpu_time") / 1e6, F.sum("_run_time"))
+    # One row for each epoch.
+    totals = alike.groupBy("epoch").agg(
+        F.sum("_shuffle_read_bytes").alias("total_shuffle_read_bytes"),
+        F.sum("_shuffle_write_bytes").alias("total_shuffle_write_bytes"),
+        F.coalesce(F.max("duration"), F.lit(0)).alias("max_task_duration"),
+        F.coalesce(F.min("duration"), F.lit(0)).alias("min_task_duration"),
+        F.coalesce(average, F.lit(0.0)).alias("avg_task_duration"),
+        F.sum("_failed").alias("failed_task_count"),
+        F.coalesce(F.max("_peak"), F.lit(0)).alias("peak_execution_memory"),
+        F.coalesce(ratio, F.lit(0.0)).alias("cpu_ratio"),
+    )
+    slow = F.col("duration") > SKEW_FACTOR * F.col("avg_task_duration")
+    skewed = alike.join(totals.select("epoch", "avg_task_duration"), "epoch").where(slow)
+    skewed = skewed.groupBy("epoch").agg(F.sum("_n").alias("skewed_task_count"))
+    row = epoch_log.join(totals, "epoch", "left").join(skewed, "epoch", "left")
+    return row.na.fill(0, subset=[*totals.columns[1:], "skewed_task_count"]).orderBy("epoch")
