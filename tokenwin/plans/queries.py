@@ -391,7 +391,9 @@ def _mean_vectors(tokens: DataFrame, names: DataFrame, emb: DataFrame, width: in
     """A plain prediction for each window: the mean vector of its inputs."""
     cells = features.embed_tokens(tokens, names, emb, width, WINDOW, STRIDE)
     means = (F.avg(F.get("vec", F.lit(j))) for j in range(width))
-    return cells.groupBy("seq_id", "k").agg(F.array(*means).alias("prediction"))
+    found = cells.groupBy("seq_id", "k").agg(F.array(*means).alias("prediction"))
+    # Adaptive sizing would merge these few bytes into a few tasks, but each row is compared with all vectors.
+    return found.repartition(windows.block_partitions(tokens), "seq_id", "k")
 
 
 def q_nearest_token(spark: SparkSession, sf_dir: str) -> DataFrame:
