@@ -120,3 +120,24 @@ def test_partitions_follow_measured_rows_through_joins(spark, monkeypatch):
     assert windows.block_partitions(features.embed_sequence(found.drop("idx"), names, emb, 2)) == want
     pairs = windows.window_pairs(vocab.indexed_tokens(rows, names), 8, 4)
     assert pairs.rdd.getNumPartitions() == want
+
+
+@pytest.mark.parametrize("w, s", [(4, 3), (3, 9), (5, 1)])
+def test_blocks_of_arrays_are_cut_without_a_shuffle(spark, monkeypatch, w, s):
+    monkeypatch.setattr(windows, "BLOCK_SPAN", 8)
+    arrays = [(i, [f"{i}.{p}" for p in range(n)]) for i, n in enumerate([0, 1, w, w + 1, w + s, 40, 97])] + [(9, None)]
+    rows = tokens_from_arrays(spark.createDataFrame(arrays, "id long, a array<string>"), "id", "a")
+    cut = windows.token_blocks(rows, w, s)
+    assert "collect_list" not in cut._jdf.queryExecution().toString()
+    # Another DataFrame of the same tokens goes through the shuffle.
+    shuffled = windows.token_blocks(rows.select("*"), w, s)
+    assert cut.dtypes == shuffled.dtypes
+    assert sorted(map(tuple, windows.window_pairs(rows, w, s).collect())) == sorted(map(tuple, windows.window_pairs(rows.select("*"), w, s).collect()))
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, shuffled.collect()))
+
+
+@pytest.mark.parametrize("arrays, error", [([(1, ["a"] * 9), (1, ["b"] * 9)], "positions must count"), ([(1, ["a"] * 9 + [None])], "a token is NULL")])
+def test_bad_arrays_raise(spark, arrays, error):
+    rows = tokens_from_arrays(spark.createDataFrame(arrays, "id long, a array<string>"), "id", "a")
+    with pytest.raises(Exception, match=error):
+        windows.window_pairs(rows, 4, 3).collect()

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tokenwin.operators.lookup import lookup
-from tokenwin.shared import measured_rows, remember_count, same_rows, write_shared
+from tokenwin.shared import arrays_of, measured_rows, remember_count, same_rows, write_shared
 
 # Positions that one block covers at least; blocks keep any sequence, however long, off one task.
 BLOCK_SPAN = 2048
@@ -91,8 +91,11 @@ def token_blocks(tokens: DataFrame, w: int, s: int, partitions: int | None = Non
     This is the only shuffle on the way to windows. A block has a bounded length, so one endless
     sequence spreads over all tasks. The number of partitions is set, as the rows are small here
     but the stages after it make many times more data of them than adaptive sizing expects; it grows
-    with the measured number of tokens. A gap within a block raises an error.
+    with the measured number of tokens. A gap within a block raises an error. Tokens as they come from arrays
+    need no shuffle at all.
     """
+    if arrays_of(tokens) is not None:
+        return _array_blocks(arrays_of(tokens), w, s)
     n = partitions or block_partitions(tokens)
     per_block = windows_per_block(w, s)
     first = F.expr(f"greatest(0L, (pos - {w} + {s - 1}) div {s}) div {per_block}")
@@ -112,6 +115,25 @@ def token_blocks(tokens: DataFrame, w: int, s: int, partitions: int | None = Non
     )
 
 
+def _array_blocks(arrays: DataFrame, w: int, s: int) -> DataFrame:
+    """The same blocks as slices of the arrays, which stay where they are; an id with two arrays raises an error."""
+    span = windows_per_block(w, s) * s
+    numbers = F.when(F.size("_a") > 0, F.sequence(F.lit(0), F.floor((F.size("_a") - 1) / span).cast("int")))
+    pieces = F.transform(numbers, lambda b: F.slice("_a", b * span + 1, span - s + w + 1))
+    again = arrays.where(F.size("_a") > 0).groupBy("seq_id").count().agg(F.max("count") > 1).scalar()
+    values = (
+        F.when(again, F.raise_error(F.lit("positions must count 0, 1, 2, ...")))
+        .when(F.exists("values", F.isnull), F.raise_error(F.lit("a token is NULL")))
+        .otherwise(F.col("values"))
+    )
+    # The outer form keeps the arrays from being computed twice, as in array_windows.
+    return (
+        arrays.select("seq_id", F.posexplode_outer(pieces).alias("block", "values"))
+        .where(F.col("block").isNotNull())
+        .select("seq_id", F.col("block").cast("bigint").alias("block"), values.alias("values"))
+    )
+
+
 def window_pairs(tokens: DataFrame, w: int, s: int, partitions: int | None = None) -> DataFrame:
     """``(seq_id, k, input ARRAY, target)``"""
     per_block = windows_per_block(w, s)

@@ -20,6 +20,7 @@ _written: list[str] = []
 _named: list[str] = []
 _row_counts: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
 _byte_counts: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+_arrays: WeakKeyDictionary[DataFrame, DataFrame] = WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -98,6 +99,15 @@ def byte_count(df: DataFrame) -> int | None:
     return _byte_counts.get(df)
 
 
+def remember_arrays(tokens: DataFrame, arrays: DataFrame) -> None:
+    """``arrays(seq_id, _a)`` are what ``tokens`` were made of, one array a sequence."""
+    _arrays[tokens] = arrays
+
+
+def arrays_of(tokens: DataFrame) -> DataFrame | None:
+    return _arrays.get(tokens)
+
+
 def release_tables(spark: SparkSession) -> None:
     """Delete the tables that this process has written with ``write_shared``."""
     while _named:

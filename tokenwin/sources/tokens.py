@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tokenwin.operators.lookup import lookup
 from tokenwin.operators.numbering import number_rows, number_rows_within
-from tokenwin.shared import write_shared
+from tokenwin.shared import remember_arrays, write_shared
 
 # Blank means every character up to U+0020, so tabs and carriage returns too.
 _EDGES = r"^[\x00-\x20]+|[\x00-\x20]+$"
@@ -98,9 +98,9 @@ def tokens_from_arrays(df: DataFrame, seq_col: str, array_col: str) -> DataFrame
     """One row per array element; the sequence length comes from the array.
 
     The outer form and the later condition keep the optimizer from testing the array in a filter
-    of its own, which would compute an expression such as a split again.
+    of its own, which would compute an expression such as a split again. Blocks of these tokens are cut out of the arrays.
     """
-    return (
+    tokens = (
         df.select(
             F.col(seq_col).cast("bigint").alias("seq_id"),
             F.size(array_col).cast("bigint").alias("seq_len"),
@@ -109,3 +109,5 @@ def tokens_from_arrays(df: DataFrame, seq_col: str, array_col: str) -> DataFrame
         .where(F.col("pos").isNotNull())
         .select("seq_id", F.col("pos").cast("bigint").alias("pos"), _known(F.col("token")).alias("token"), "seq_len")
     )
+    remember_arrays(tokens, df.select(F.col(seq_col).cast("bigint").alias("seq_id"), F.col(array_col).alias("_a")))
+    return tokens
