@@ -1,6 +1,7 @@
 """Token counts and the alignment of two tokenizers against the libraries and plain Python."""
 
 import hashlib
+import sys
 from collections import Counter
 from itertools import accumulate
 
@@ -121,3 +122,14 @@ def test_alignment_of_repeated_rows_and_of_none(spark):
         ("1", 2, 5), ("1", 2, 5), ("None", 1, 3),
     ]
     assert alignment.align(docs.where("doc_id > 5"), BYTES, PIECES).collect() == []
+
+
+def test_a_worker_gives_back_free_memory_before_it_goes_on(monkeypatch):
+    from tokenwin.llm import spans
+
+    given = []
+    monkeypatch.setattr(spans, "release_free_memory", lambda: given.append(1))
+    assert [spans.worker_memory(key, lambda: key) for key in ("a", "a", "b")] == ["a", "a", "b"] and len(given) == 2
+    monkeypatch.undo()
+    spans.release_free_memory()
+    vars(sys)["_tokenwin_memory"].clear()

@@ -8,12 +8,15 @@ neither looks back. So the tokens of a text are those of its chunks one after an
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 from collections.abc import Callable
 from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 from tokenwin.llm.textbytes import span_hashes
 
@@ -127,4 +130,14 @@ def worker_memory(key: str, make: Callable[[], Any]) -> Any:
     if key not in kept:
         kept.clear()
         kept[key] = make()
+        release_free_memory()
     return kept[key]
+
+
+def release_free_memory() -> None:
+    """Give back what this worker's stages before, and the making of something large, have left free."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library alone
+    if trim:
+        trim(0)
