@@ -133,3 +133,19 @@ def test_a_worker_gives_back_free_memory_before_it_goes_on(monkeypatch):
     monkeypatch.undo()
     spans.release_free_memory()
     vars(sys)["_tokenwin_memory"].clear()
+
+
+def test_workers_that_idle_or_code_blocks_hold_no_more_than_they_need(monkeypatch):
+    import numpy as np
+
+    from tokenwin.llm import spans, tokenfile
+
+    spans.worker_memory("encoder", object)
+    assert not list(tokenfile._blocks(iter([]), np.ones(4, np.uint8)))
+    assert "_tokenwin_memory" not in vars(sys)
+    given = []
+    monkeypatch.setattr(spans, "_trim", lambda: given.append(1))
+    rows = spans.releasing(lambda batches: (2 * b for b in batches))(iter([1, 2]))
+    assert [next(rows), next(rows)] == [2, 4] and not given
+    assert list(rows) == [] and len(given) == 1
+    assert spans.releasing_group(lambda table: table)(3) == 3 and len(given) == 2

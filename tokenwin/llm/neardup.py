@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenwin.llm.components import components
+from tokenwin.llm.spans import releasing
 from tokenwin.llm.tables import sum_vectors
 from tokenwin.llm.textbytes import Words, mix, ngram_hashes, slices, word_hashes, words_of
 from tokenwin.operators.lookup import fits_broadcast
@@ -150,7 +151,7 @@ def signatures(docs: DataFrame, weight: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "t1", "t2", "weight", "bands"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(sign, "doc_id bigint, t1 bigint, t2 bigint, weight double, bands array<bigint>")
+    return rows.mapInArrow(releasing(sign), "doc_id bigint, t1 bigint, t2 bigint, weight double, bands array<bigint>")
 
 
 def _vectors(docs: DataFrame, ids: DataFrame, weight: np.ndarray) -> DataFrame:
@@ -170,7 +171,7 @@ def _vectors(docs: DataFrame, ids: DataFrame, weight: np.ndarray) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     wanted = ids.select(F.col("id").alias("doc_id"))
     some = rows.join(F.broadcast(wanted) if fits_broadcast(ids, 16) else wanted, "doc_id", "left_semi")
-    return some.mapInArrow(vectors, "id bigint, t1 bigint, runs binary, weights binary")
+    return some.mapInArrow(releasing(vectors), "id bigint, t1 bigint, runs binary, weights binary")
 
 
 def weighted_jaccard(x: np.ndarray, wx: np.ndarray, y: np.ndarray, wy: np.ndarray) -> float:
@@ -194,7 +195,7 @@ def _similarities(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     left = vectors.select(F.col("id").alias("a"), F.col("runs").alias("ra"), F.col("weights").alias("wa"))
     right = vectors.select(F.col("id").alias("b"), F.col("runs").alias("rb"), F.col("weights").alias("wb"))
     joined = pairs.join(left, "a").join(right, "b")
-    return joined.select("a", "b", *[n for n, _ in kinds]).mapInArrow(compare, "a bigint, b bigint, similarity double")
+    return joined.select("a", "b", *[n for n, _ in kinds]).mapInArrow(releasing(compare), "a bigint, b bigint, similarity double")
 
 
 def prefixes(vectors: DataFrame, counts: np.ndarray, similarity: float) -> DataFrame:
@@ -222,7 +223,7 @@ def prefixes(vectors: DataFrame, counts: np.ndarray, similarity: float) -> DataF
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], ["run", "id", "class", "weight", "left"])
 
     schema = "run bigint, id bigint, class bigint, weight double, left double"
-    return vectors.select("id", "class", "runs", "weights").mapInArrow(rarest, schema)
+    return vectors.select("id", "class", "runs", "weights").mapInArrow(releasing(rarest), schema)
 
 
 def pairs_between_classes(postings: DataFrame, similarity: float) -> DataFrame:

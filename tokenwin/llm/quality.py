@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenwin.llm.labelled import labelled_sample
+from tokenwin.llm.spans import releasing, releasing_group
 from tokenwin.llm.textbytes import Words, mix, ngram_hashes, plain_text, slices, span_hashes, split_words, text_bytes
 from tokenwin.shared import byte_count
 
@@ -129,7 +130,7 @@ def train_quality(
         return pa.table({"rows": pa.array([group.num_rows], pa.int64()), "w": pa.array([w.tobytes()], pa.binary())})
 
     shards = sample.withColumn("shard", F.col("part") % max(SHARDS, -(-byte_count(sample) // SHARD_BYTES)))
-    fitted = shards.groupBy("shard").applyInArrow(fit, "rows bigint, w binary").collect()
+    fitted = shards.groupBy("shard").applyInArrow(releasing_group(fit), "rows bigint, w binary").collect()
     total = sum(r["rows"] for r in fitted)
     weights = np.zeros(BUCKETS + 1)
     for r in sorted(fitted, key=lambda r: (r["rows"], r["w"])):
@@ -153,7 +154,7 @@ def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.3)
             yield pa.RecordBatch.from_arrays(out, ["doc_id", "score", "predicted"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(score, "doc_id bigint, score double, predicted int")
+    return rows.mapInArrow(releasing(score), "doc_id bigint, score double, predicted int")
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
@@ -165,4 +166,4 @@ def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) ->
             value = _sigmoid(_logits(weights.value, *features(batch.column("text"))).astype(np.float64))
             yield batch.filter(pa.array(value >= threshold))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(releasing(keep), docs.schema)

@@ -11,7 +11,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
@@ -134,10 +134,41 @@ def worker_memory(key: str, make: Callable[[], Any]) -> Any:
     return kept[key]
 
 
+def forget_worker_memory() -> None:
+    """Drop what this worker has made, for tasks that come after its use and need the room."""
+    if vars(sys).pop("_tokenwin_memory", None):
+        release_free_memory()
+
+
 def release_free_memory() -> None:
     """Give back what this worker's stages before, and the making of something large, have left free."""
     gc.collect()
+    _trim()
+
+
+def _trim() -> None:
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library alone
     if trim:
         trim(0)
+
+
+def releasing(rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``rows`` for ``mapInArrow``, whose worker gives back free memory at the end of the task: while it idles, others need it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from rows(batches)
+        _trim()
+
+    return run
+
+
+def releasing_group(group: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """``group`` for ``applyInArrow``, whose worker gives back free memory after each group."""
+
+    def run(table: pa.Table) -> pa.Table:
+        out = group(table)
+        _trim()
+        return out
+
+    return run

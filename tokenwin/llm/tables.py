@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenwin.llm.spans import releasing
 from tokenwin.sources.spread import spread
 
 _CHUNK = 4096
@@ -62,9 +63,9 @@ def sum_vectors(
 
     schema = "chunk int, cells binary"
     # As many tasks as there are chunks to share out, so that a task holds a bounded number of sums.
-    parts = df.mapInArrow(partial, schema).repartition(max(1, min(16, chunks // 64)), "chunk")
+    parts = df.mapInArrow(releasing(partial), schema).repartition(max(1, min(16, chunks // 64)), "chunk")
     out = np.zeros(chunks * _CHUNK, np.int64).reshape(chunks, _CHUNK)
-    for batch in parts.mapInArrow(total, schema).toArrow().to_batches():
+    for batch in parts.mapInArrow(releasing(total), schema).toArrow().to_batches():
         for c, v in zip(batch.column(0).to_pylist(), batch.column(1)):
             out[c] = _unpacked(v.as_py())
     return out.ravel()[:size]

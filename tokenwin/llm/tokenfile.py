@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tokenwin.llm import huffman, tokenids
-from tokenwin.llm.spans import worker_memory
+from tokenwin.llm.spans import forget_worker_memory, releasing, worker_memory
 from tokenwin.llm.tables import sum_vectors
 from tokenwin.llm.textbytes import slices
 from tokenwin.shared import new_path, write_shared
@@ -30,7 +30,7 @@ END_ID = 1
 # Room for the ids of any vocabulary that codes of 16 bits can serve.
 _IDS = 1 << huffman.LIMIT
 # Ids that are coded at a time.
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 _BLOCK = "doc_ids array<bigint>, n_tokens array<int>, marks binary, bits binary"
 
 
@@ -55,7 +55,7 @@ def _token_ids(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(encode, "doc_id bigint, n_tokens int, ids binary")
+    return rows.mapInArrow(releasing(encode), "doc_id bigint, n_tokens int, ids binary")
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
@@ -72,6 +72,7 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatc
 
 def _token_counts(rows: DataFrame) -> np.ndarray:
     def add(batches: Iterator[pa.RecordBatch], own: np.ndarray) -> None:
+        forget_worker_memory()  # the encoder, as all texts are encoded
         for _, ids in _unpacked(batches):
             own += np.bincount(ids, minlength=_IDS)
 
@@ -80,6 +81,7 @@ def _token_counts(rows: DataFrame) -> np.ndarray:
 
 def _blocks(batches: Iterator[pa.RecordBatch], lengths: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Code documents in their order into blocks of about ``BLOCK_TOKENS``; a longer one is alone."""
+    forget_worker_memory()  # the encoder, as all texts are encoded
     names = ["doc_ids", "n_tokens", "marks", "bits"]
     kinds = [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
     codes = huffman.canonical_codes(lengths)
@@ -120,7 +122,7 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str, end_id: int = E
     spark.createDataFrame(used, "id int, bits int").coalesce(1).write.parquet(f"{path}/codes")
     # A hash stands for the ids, as a sample of the sort keys goes to the driver.
     ordered = rows.orderBy(F.col("doc_id").asc_nulls_first(), "n_tokens", F.xxhash64("ids"))
-    blocks = ordered.mapInArrow(lambda batches: _blocks(batches, lengths), _BLOCK)
+    blocks = ordered.mapInArrow(releasing(lambda batches: _blocks(batches, lengths)), _BLOCK)
     place = F.monotonically_increasing_id()
     blocks.select(F.spark_partition_id().alias("part"), place.alias("place"), "*").write.parquet(f"{path}/blocks")
 
@@ -140,12 +142,12 @@ def _decoded(spark: SparkSession, path: str, digest: bool) -> DataFrame:
         table = huffman.decode_table(lengths)
         for batch in batches:
             # Some blocks at a time, so that a step of the decoder works on many checkpoints.
-            for at in range(0, batch.num_rows, 32):
-                yield _decode_blocks(batch.slice(at, 32), table, digest)
+            for at in range(0, batch.num_rows, 16):
+                yield _decode_blocks(batch.slice(at, 16), table, digest)
 
     blocks = spark.read.parquet(f"{path}/blocks")
     value = "n_tokens bigint, ids_crc32 bigint" if digest else "ids array<int>"
-    return blocks.mapInArrow(decode, f"part int, place bigint, nth int, doc_id bigint, {value}")
+    return blocks.mapInArrow(releasing(decode), f"part int, place bigint, nth int, doc_id bigint, {value}")
 
 
 def _decode_blocks(batch: pa.RecordBatch, table: tuple[np.ndarray, np.ndarray], digest: bool) -> pa.RecordBatch:
