@@ -114,3 +114,59 @@ def test_the_most_used_rows_are_held(spark):
     kept = [r["uses"] for r in some.collect()]
     assert not complete and 200 < len(kept) <= 300 and min(kept) == 2001 - len(kept)
     assert ppm.most_used(uses, "uses", 2000)[1]
+
+
+def test_counted_events_leave_a_task_in_small_batches(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(bytes(w).decode() for w in rng.integers(97, 101, (60, 4), np.uint8)) for _ in range(40)] + ["z" * 3000, None]
+    learned = [i % 3 > 0 for i in range(len(texts))]
+    expected = {}
+    for text, own in zip(texts, learned):
+        for key in ppm.event_keys(words_of(pa.array([text], pa.string())))[0].tolist():
+            n, uses = expected.get(key, (0, 0))
+            expected[key] = n + own, uses + 1
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(learned)], ["text", "learned"])
+    rows = []
+    for held in (1 << 22, 20_000, 500):
+        monkeypatch.setattr(ppm, "_HELD", held)
+        monkeypatch.setattr(ppm, "_BATCH", 16, raising=False)
+        monkeypatch.setattr(ppm, "PIECE", 1000)
+        out, largest = {}, 0
+        rows.append(0)
+        for part in ppm._count_events(iter([batch] * 3)):
+            largest = max(largest, part.num_rows)
+            rows[-1] += part.num_rows
+            for row in part.to_pylist():
+                n, uses = out.get(row["key"], (0, 0))
+                out[row["key"]] = n + row["n"], uses + row["uses"]
+        assert out == {key: (3 * n, 3 * uses) for key, (n, uses) in expected.items()}
+        assert largest <= 16
+    # What is summed up fits in 20,000, what came before does not: each event still leaves once.
+    assert rows[0] == rows[1] == len(expected) < rows[2]
+
+
+def test_scoring_and_counting_hold_little_beside_the_texts():
+    """Peak of what numpy and Arrow hold for texts of 6 MB, without the texts."""
+    import tracemalloc
+
+    from tokenwin.llm import lm
+
+    rng = np.random.default_rng(5)
+    words = [bytes(w).decode() for w in rng.integers(97, 123, (5000, 5), np.uint8)]
+    texts = pa.array([" ".join(words[i] for i in rng.integers(0, 5000, 1000)) for _ in range(1000)])
+    batch = pa.RecordBatch.from_arrays([texts, pa.array([True] * 1000)], ["text", "learned"])
+
+    def peak(use):
+        tracemalloc.start()
+        use()
+        top = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return top / 1e6
+
+    def code():
+        for piece in lm._pieces(iter([batch])):
+            lm._coded(*ppm.event_keys(words_of(piece.column("text"))), np.arange(5), np.zeros(5))
+
+    assert peak(code) < 60
+    assert peak(lambda: [None for _ in lm._count_words(iter([batch]))]) < 60
+    assert peak(lambda: [None for _ in ppm._count_events(iter([batch]))]) < 140

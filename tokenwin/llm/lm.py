@@ -14,12 +14,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenwin.llm.ppm import PIECE, event_keys, most_used, train_model
+from tokenwin.llm.ppm import event_keys, most_used, train_model
+from tokenwin.llm.spans import releasing
 from tokenwin.llm.textbytes import Words, slices, word_hashes, words_of
 from tokenwin.shared import write_shared
 
 # Words that tasks hold with their counts, 16 bytes each; the others are joined.
 HELD = 1 << 21
+# Bytes of text whose words are counted at a time, and of those that are scored at a time.
+_COUNTED = 1 << 20
+_SCORED = 1 << 18
 _SMOOTH = 0.1
 
 
@@ -32,7 +36,7 @@ def _distinct(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
+    for batch in slices(batches, most=_COUNTED):
         words = words_of(batch.column("text"))
         codes, hashes, at = _distinct(words)
         size = words.end[at] - words.start[at]
@@ -67,15 +71,15 @@ def _coded(
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """At most 256 texts of about ``PIECE`` bytes."""
-    for batch in slices(batches, most=PIECE):
+    """At most 256 texts of about ``_SCORED`` bytes."""
+    for batch in slices(batches, most=_SCORED):
         for at in range(0, batch.num_rows, 256):
             yield batch.slice(at, 256)
 
 
 def count_words(docs: DataFrame) -> DataFrame:
     """``(word, hash, n)`` of all different words of ``text``, in lower case."""
-    counted = docs.select("text").mapInArrow(_count_words, "word string, hash bigint, n bigint")
+    counted = docs.select("text").mapInArrow(releasing(_count_words), "word string, hash bigint, n bigint")
     return counted.groupBy("word", "hash").agg(F.sum("n").alias("n"))
 
 
@@ -142,7 +146,7 @@ def score_texts(docs: DataFrame, learn: Column) -> DataFrame:
     hashes array<bigint>, times array<int>, keys array<bigint>, key_times array<int>"""
     names = ["doc_id", "row", "n_tokens", "n_known", "base_score", "score", "hashes", "times", "keys", "key_times"]
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    scored = write_shared(rows.mapInArrow(score, schema), "scored")
+    scored = write_shared(rows.mapInArrow(releasing(score), schema), "scored")
     rare = scored.select("row", F.explode(F.arrays_zip("hashes", "times")).alias("word"))
     rare = rare.select("row", F.col("word.hashes").alias("hash"), F.col("word.times").alias("times"))
     if all_words and all_events:

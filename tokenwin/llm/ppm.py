@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tokenwin.llm.spans import releasing, releasing_group
 from tokenwin.llm.textbytes import Words, slices, words_of
 from tokenwin.shared import row_count, write_shared
 
@@ -31,9 +32,10 @@ ORDER = 6
 HELD = 1 << 22
 # Events of one range on average.
 RANGE = 1 << 20
-# Bytes of text that are taken apart at a time, and counted events that a task collects, eight bytes each.
+# Bytes of text that are taken apart at a time, counted events that a task collects, eight bytes each, and those it hands over at a time.
 PIECE = 1 << 20
 _HELD = 1 << 22
+_BATCH = 1 << 16
 _BLANK, _END = 0x20, 0x0A
 
 
@@ -69,17 +71,51 @@ def event_keys(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return context << 8 | symbol, bounds
 
 
-def _count_events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Events with their times learned and their uses, summed over many texts before they leave the task."""
-
-    def summed(held: list[np.ndarray]) -> pa.RecordBatch:
-        # Key, whether it is learned, and up to 127 times, in 56, 1 and 7 bits.
-        packed = np.sort(np.concatenate(held))
-        keys, learned, times = packed >> np.uint64(8), (packed >> np.uint64(7)) & np.uint64(1), packed & np.uint64(127)
+def _parts(packed: np.ndarray) -> Iterator[np.ndarray]:
+    """Some ``_BATCH`` sorted events at a time, all of a key together."""
+    eight, at = np.uint64(8), 0
+    while at < len(packed):
+        to = len(packed)
+        if at + _BATCH < to:
+            # The last key is left to the next part, unless it is the only one.
+            cut = packed[at + _BATCH] >> eight
+            to = int(np.searchsorted(packed, (cut + np.uint64(cut == packed[at] >> eight)) << eight))
+        yield packed[at:to]
+        at = to
+
+
+def _compact(held: list[np.ndarray]) -> np.ndarray:
+    """The events of ``held``, which is emptied: sorted, and as few as there can be. They are written over the sorted ones."""
+    packed = np.concatenate(held)
+    held.clear()
+    packed.sort()
+    seven, most, size = np.uint64(7), np.uint64(127), 0
+    for part in _parts(packed):
+        marked = part >> seven
+        new = np.flatnonzero(np.append(True, marked[1:] != marked[:-1]))
+        marked, times = marked[new] << seven, np.add.reduceat(part & most, new)
+        full = (times - np.uint64(1)) // most
+        out = np.repeat(marked | most, full.astype(np.int64) + 1)
+        out[np.cumsum(full.astype(np.int64) + 1) - 1] = marked | times - full * most
+        packed[size : size + len(out)] = out
+        size += len(out)
+    return packed[:size].copy()
+
+
+def _summed(packed: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """``(key, n, uses)`` of sorted events."""
+    for part in _parts(packed):
+        keys, learned, times = part >> np.uint64(8), (part >> np.uint64(7)) & np.uint64(1), part & np.uint64(127)
         new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         sums = [np.add.reduceat(v.astype(np.int64), new) for v in (times * learned, times)]
-        return pa.RecordBatch.from_arrays([pa.array(v) for v in (keys[new].astype(np.int64), *sums)], ["key", "n", "uses"])
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (keys[new].astype(np.int64), *sums)], ["key", "n", "uses"])
+
 
+def _count_events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Events with their times learned and their uses, summed over many texts before they leave the task.
+
+    A task holds them as key, whether it is learned, and up to 127 times, in 56, 1 and 7 bits.
+    """
     held, rows = [], 0
     for batch in slices(batches, most=PIECE):
         keys, bounds = event_keys(words_of(batch.column("text")))
@@ -91,10 +127,13 @@ def _count_events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             more = times > 127
             marked, times = marked[more], times[more] - 127
         if rows > _HELD:
-            yield summed(held)
-            held, rows = [], 0
+            held = [_compact(held)]
+            rows = len(held[0])
+            if rows > _HELD * 3 // 4:
+                yield from _summed(held.pop())
+                rows = 0
     if rows:
-        yield summed(held)
+        yield from _summed(_compact(held))
 
 
 def _prefix(keys: np.ndarray, size: int) -> np.ndarray:
@@ -116,7 +155,7 @@ def _edge_counts(events: DataFrame, edges: list[np.ndarray]) -> DataFrame:
                 columns = [np.full(len(pairs), size, np.int32), pairs >> 8, (pairs & 255).astype(np.int32), sums]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["size", "key", "symbol", "n"])
 
-    counted = events.mapInArrow(count, "size int, key bigint, symbol int, n bigint")
+    counted = events.mapInArrow(releasing(count), "size int, key bigint, symbol int, n bigint")
     return counted.groupBy("size", "key", "symbol").agg(F.sum("n").alias("n"))
 
 
@@ -184,8 +223,9 @@ def train_model(docs: DataFrame, learn: Column) -> Model:
     """Log probability of every event of ``docs(text)``, learned from the rows where ``learn`` holds."""
     spark = docs.sparkSession
     learned = docs.select("text", F.coalesce(learn, F.lit(False)).alias("learned"))
-    events = learned.mapInArrow(_count_events, "key bigint, n bigint, uses bigint")
-    events = write_shared(events.groupBy("key").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses")), "events")
+    events = learned.mapInArrow(releasing(_count_events), "key bigint, n bigint, uses bigint")
+    # Tasks have summed their events, so these are dealt out at once, without a table of them in the executor before.
+    events = write_shared(events.repartition("key").groupBy("key").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses")), "events")
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-row_count(events) // RANGE))
     found = events.approxQuantile("key", [i / ranges for i in range(1, ranges)], 0.2 / ranges) if row_count(events) else []
     cuts = np.unique(np.array(found, np.float64).astype(np.int64))
@@ -193,7 +233,8 @@ def train_model(docs: DataFrame, learn: Column) -> Model:
     edges = [np.unique(_prefix(cuts, k)) for k in range(ORDER + 1)]
     needs = {(i + side, k, int(_prefix(c, k))) for i, c in enumerate(cuts) for side in (0, 1) for k in range(ORDER + 1)}
     # A dozen rows for each range, whatever it holds.
-    needed = F.broadcast(spark.createDataFrame(list(needs), "range int, size int, key bigint"))
+    columns = [pa.array([n[i] for n in needs], kind) for i, kind in enumerate((pa.int32(), pa.int32(), pa.int64()))]
+    needed = F.broadcast(spark.createDataFrame(pa.table(columns, ["range", "size", "key"])))
     at_edges = write_shared(_edge_counts(events, edges), "edges").join(needed, ["size", "key"])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,11 +242,12 @@ def train_model(docs: DataFrame, learn: Column) -> Model:
             of = np.searchsorted(cuts, batch.column("key").to_numpy(), "right").astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(of), *batch.columns], ["range", "key", "n", "uses"])
 
-    placed = events.mapInArrow(place, "range int, key bigint, n bigint, uses bigint")
+    placed = events.mapInArrow(releasing(place), "range int, key bigint, n bigint, uses bigint")
     columns = ["range", "size", "key", "symbol", "n", "uses"]
     placed = placed.withColumns({"size": F.lit(-1), "symbol": F.lit(0)}).select(*columns)
     whole = placed.unionByName(at_edges.withColumn("uses", F.lit(0).cast("bigint")).select(*columns))
-    logs = write_shared(whole.groupBy("range").applyInArrow(_log_probabilities, "key bigint, uses bigint, log double"), "logs")
+    logs = whole.groupBy("range").applyInArrow(releasing_group(_log_probabilities), "key bigint, uses bigint, log double")
+    logs = write_shared(logs, "logs")
     often, complete = most_used(logs, "uses", HELD)
     table = often.select("key", F.col("log").cast("float").alias("log")).toArrow()
     keys, log = table.column("key").to_numpy(), table.column("log").to_numpy()
