@@ -135,3 +135,28 @@ def test_window_vectors_travel_as_tokens(spark):
     cells = features.add_positions(features.embed_tokens(windows.with_length(rows), names, emb, 2, 4, 2), 2, 4)
     want = cells.groupBy("seq_id", "k").agg(F.sort_array(F.collect_list(F.struct("t", "x"))).alias("r")).select("seq_id", "k", F.col("r.x").alias("rows"))
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_training_stores_indices_not_vectors(spark):
+    """A token takes 4 bytes in the table that training reads, whatever the width; unknown tokens have zero vectors."""
+    rows, names, emb, want = inputs(spark, 8, 4, width=6)
+    names = names.where("idx != 2")
+    plain = features.training_examples(rows, names, emb, 8, 4)
+    encoded = features.training_examples(rows, names, emb, 8, 4, packed=True)
+    stored = features.encoded_of(encoded).rows
+    assert dict(stored.dtypes) == {"seq_id": "bigint", "k": "bigint", "input": "array<int>", "target": "int"}
+    assert encoded.dtypes == [("seq_id", "bigint"), ("k", "bigint"), ("features", "binary"), ("label", "array<float>")]
+    got = {(r["seq_id"], r["k"]): (np.frombuffer(r["features"], np.float32), r["label"]) for r in encoded.collect()}
+    made = {(r["seq_id"], r["k"]): (np.array(r["features"], np.float32), r["label"]) for r in plain.collect()}
+    assert got.keys() == made.keys() and len(got) == len(want)
+    for key, (f, label) in made.items():
+        assert (got[key][0] == f).all() and got[key][1] == label
+    with pytest.raises(Exception, match="no vector for index 1"):
+        features.training_examples(rows, names, emb.where("idx != 1"), 8, 4, packed=True).collect()
+
+
+def test_examples_are_stored_whole_where_an_index_has_two_vectors(spark):
+    rows, names, emb, _ = inputs(spark, 8, 4)
+    twice = emb.union(emb.where("idx = 1"))
+    assert features.encoded_of(features.training_examples(rows, names, twice, 8, 4, packed=True)) is None
+    assert features.encoded_of(features.training_examples(rows, names, emb, 8, 4)) is None
