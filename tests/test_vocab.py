@@ -77,3 +77,43 @@ def test_number_rows_is_dense(spark):
 
 def test_numbering_of_nothing(spark):
     assert number_rows(spark.range(0), ["id"], "n").collect() == []
+
+
+def test_first_places_need_no_sort(spark):
+    # A minimum of structs would sort all tokens of a task before it sums them up.
+    rows = tokens(spark, {0: [1, 2, 3] * 4})
+    plan = vocab.distinct_tokens(rows, 2, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("w,s", [(3, 2), (2, 5)])
+def test_first_places_of_odd_ids(spark, ansi, w, s):
+    # NULL ids come first, then by number; ids that come twice, a NULL token and sequences too short for a window.
+    ids = [None, -(2**63), -(2**63) + 1, -3, -1, 0, 0, 1, 2**40, 2**63 - 1]
+    seqs = [(i, [n % 4, n, 50, None, 7, 100 + n, 60 + n % 3, 200 + n]) for n, i in enumerate(ids)] + [(5, []), (6, [1, 2])]
+    table = [(i, p, t, len(seq)) for i, seq in seqs for p, t in enumerate(seq)]
+    rows = spark.createDataFrame(random.Random(w).sample(table, len(table)), "seq_id long, pos long, token long, seq_len long")
+    want = {}
+    for i, seq in seqs:
+        starts = range(0, max(0, len(seq) - w), s)
+        for is_target, places in ((0, {k + t for k in starts for t in range(w)}), (1, {k + w for k in starts})):
+            for p in places:
+                place = (is_target, i is not None, i or 0, p)
+                want[seq[p]] = min(place, want.get(seq[p], place))
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        found = vocab.distinct_tokens(rows, w, s)
+        assert dict(found.dtypes) == {"token": "bigint", "is_target": "int", "seq_id": "bigint", "pos": "bigint"}
+        got = [(r["token"], (r["is_target"], r["seq_id"] is not None, r["seq_id"] or 0, r["pos"])) for r in found.collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert len(got) == len(want) and dict(got) == want
+    assert any(place[0] for place in want.values()) and any(not place[1] for place in want.values())
+
+
+def test_first_places_of_long_sequences(spark):
+    rows = spark.createDataFrame([(-1, 10**16 - 2, 5, 10**16), (-2, 10**15, 5, 10**16)], "seq_id long, pos long, token long, seq_len long")
+    assert [tuple(r) for r in vocab.distinct_tokens(rows, 1, 1).collect()] == [(5, 0, -2, 10**15)]
+    assert [tuple(r) for r in vocab.distinct_tokens(rows.where("seq_id = -1"), 1, 1).collect()] == [(5, 0, -1, 10**16 - 2)]
